@@ -1,7 +1,7 @@
 """Lax-number / strict-string validation of event messages.
 
-A message is parsed once into a VARIANT; every field is then tested on its
-variant type tag, which separates "absent" (NULL tag), "JSON null" (VOID)
+A message is parsed once into a VARIANT, each field is extracted once, and
+every field is then tested on its variant type tag, which separates "absent" (NULL tag), "JSON null" (VOID)
 and "wrong type".  Numbers follow the validator's lax rules: an int field
 takes integers, integral decimals/doubles, booleans and numeric text such as
 "6", " 6 " or "6.0"; a float field takes any number, boolean or numeric text
@@ -30,39 +30,50 @@ def message_is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def _field(v: Column, name: str) -> Column:
+def field_variant(v: Column, name: str) -> Column:
+    """The field's own VARIANT (NULL when absent)."""
     return F.try_variant_get(v, f"$.{name}", "variant")
 
 
-def field_check(v: Column, name: str, kind: str):
-    """Return (value, code) columns for one field; code is NULL when valid."""
-    fv = _field(v, name)
+def field_probe(fv: Column, kind: str) -> dict[str, Column]:
+    """Per-field facts, each computed once in its own projection column:
+    the type tag and the candidate values the kind needs."""
     tag = F.schema_of_variant(fv)
-    missing = fv.isNull()
+    out = {"tag": tag}
+    if kind == "str":
+        out["s"] = F.when(tag == "STRING", F.try_variant_get(fv, "$", "string"))
+    elif kind == "int":
+        out["i"] = F.when(tag.isin(_INT_TAGS), F.try_variant_get(fv, "$", "bigint"))
+        out["d"] = F.when(~tag.isin(_INT_TAGS) & (tag != "VOID"),
+                          F.try_variant_get(fv, "$", "double"))
+    else:
+        out["d"] = F.when(tag != "VOID", F.try_variant_get(fv, "$", "double"))
+    return out
+
+
+def field_check(probe: dict[str, Column], kind: str):
+    """(value, code) from the probe columns; code is NULL when valid."""
+    tag = probe["tag"]
+    missing = tag.isNull()
     is_null = tag == "VOID"
     if kind == "str":
-        value = F.try_variant_get(fv, "$", "string")
         ok = tag == "STRING"
-        code = (F.when(missing, "missing").when(is_null, "null")
-                .when(~ok, "type"))
-        return F.when(ok, value), code
-    as_double = F.try_variant_get(fv, "$", "double")
+        code = F.when(missing, "missing").when(is_null, "null").when(~ok, "type")
+        return probe["s"], code
+    d = probe["d"]
     if kind == "float":
-        ok = as_double.isNotNull()
-        code = (F.when(missing, "missing").when(is_null, "null")
-                .when(~ok, "type"))
-        return F.when(ok, as_double), code
+        code = F.when(missing, "missing").when(is_null, "null").when(d.isNull(), "type")
+        return d, code
     # int: exact integers pass as they are; other numbers and numeric text
     # pass when integral and within int64.
+    i = probe["i"]
     is_int_tag = tag.isin(_INT_TAGS)
-    exact = F.try_variant_get(fv, "$", "bigint")
-    integral = (~F.isnan(as_double)) & (as_double % 1 == 0)
-    in_range = F.abs(as_double) < F.lit(_INT_FROM_FLOAT_LIMIT)
-    value = (F.when(is_int_tag, exact)
-             .when(as_double.isNotNull() & integral & in_range, as_double.cast("bigint")))
+    integral = (~F.isnan(d)) & (d % 1 == 0)
+    in_range = F.abs(d) < F.lit(_INT_FROM_FLOAT_LIMIT)
+    value = F.when(is_int_tag, i).when(d.isNotNull() & integral & in_range, d.cast("bigint"))
     code = (F.when(missing, "missing").when(is_null, "null")
-            .when(is_int_tag & exact.isNotNull(), F.lit(None))
-            .when(as_double.isNull(), "type")
+            .when(is_int_tag & i.isNotNull(), F.lit(None))
+            .when(d.isNull(), "type")
             .when(~integral, "fraction")
             .when(~in_range, "range"))
     return value, code

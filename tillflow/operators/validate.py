@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tillflow import schema as S
 from tillflow.functions.validation import (
-    field_check, message_is_object, parse_message, typed_error_expr,
-    typed_invalid_expr, wire_error_expr,
+    field_check, field_probe, field_variant, message_is_object, parse_message,
+    typed_error_expr, typed_invalid_expr, wire_error_expr,
 )
 
 VALIDATION_COLUMNS = ["error", "reason", "raw"]
@@ -20,28 +20,47 @@ def validate_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     ``reason`` is NULL for a valid record, ``malformed_json`` when the text is
     not a JSON object, ``schema`` when a field is absent, null or of the
     wrong type.  Other input columns (arrival order, offsets) pass through.
+
+    The work is laid out in projection layers so every expensive step runs
+    once per message: parse, then extract each field, then probe each
+    field's type tag and candidate value, then derive values and codes.
     """
     keep = [c for c in df.columns if c != value_col and c not in S.WIRE_NAMES]
     parsed = df.select(*keep, F.col(value_col).cast("string").alias("raw"),
                        parse_message(F.col(value_col)).alias("_msg"))
-    msg = F.col("_msg")
+    fields = parsed.select(
+        *keep, "raw", message_is_object(F.col("_msg")).alias("_obj"),
+        *[field_variant(F.col("_msg"), n).alias(f"_f_{n}") for n in S.WIRE_NAMES])
+    probe_cols, probes = [], {}
+    for name, kind in S.WIRE_FIELDS:
+        probes[name] = {}
+        for fact, expr in field_probe(F.col(f"_f_{name}"), kind).items():
+            col_name = f"_{fact}_{name}"
+            probe_cols.append(expr.alias(col_name))
+            probes[name][fact] = F.col(col_name)
+    probed = fields.select(*keep, "raw", "_obj", *probe_cols)
     values, codes = [], []
     for name, kind in S.WIRE_FIELDS:
-        value, code = field_check(msg, name, kind)
+        value, code = field_check(probes[name], kind)
         values.append(value.cast(S.WIRE_SCHEMA[name].dataType).alias(name))
-        codes.append((name, code))
-    is_obj = message_is_object(msg)
+        codes.append((name, code.alias(f"_c_{name}")))
+    checked = probed.select(*keep, "raw", "_obj", *values, *[c for _, c in codes])
+    code_cols = [(n, F.col(f"_c_{n}")) for n in S.WIRE_NAMES]
+    is_obj = F.col("_obj")
     any_bad = None
-    for _, code in codes:
+    for _, code in code_cols:
         any_bad = code.isNotNull() if any_bad is None else (any_bad | code.isNotNull())
     reason = (F.when(~is_obj, F.lit(S.REASON_MALFORMED))
               .when(any_bad, F.lit(S.REASON_SCHEMA)))
-    return parsed.select(
-        *keep, *values,
-        F.when(~is_obj, F.lit(S.REASON_MALFORMED))
-         .when(any_bad, wire_error_expr(codes)).otherwise(F.lit("")).alias("error"),
-        reason.alias("reason"),
-        "raw")
+    error = (F.when(~is_obj, F.lit(S.REASON_MALFORMED))
+             .when(any_bad, wire_error_expr(code_cols)).otherwise(F.lit("")))
+    # inline() over a one-element array is an optimizer fence: filters on
+    # its output (the valid/invalid split, the null drop) are never pushed
+    # below it, so the layers above are not re-inlined into a filter.
+    fenced = F.struct(*[F.col(n) for n in S.WIRE_NAMES], error.alias("error"),
+                      reason.alias("reason"))
+    return checked.select(*keep, "raw", F.inline(F.array(fenced))).select(
+        *keep, *S.WIRE_NAMES, "error", "reason", "raw")
 
 
 def validate_events(df: DataFrame) -> DataFrame:

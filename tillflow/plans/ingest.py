@@ -100,8 +100,12 @@ def ingest(validated: DataFrame, order_cols, scope_cols=(), target: DataFrame |
                   .withColumn("reason", F.when(dup, F.lit(S.REASON_DUPLICATE)))
                   .withColumn("error", F.when(dup, F.lit(S.REASON_DUPLICATE)))
                   .withColumn("data", F.when(dup, stored_record_json())))
+    # Outcome as a CASE over literals: a filter such as outcome = 'inserted'
+    # then folds to false on this branch and Catalyst drops the branch.
+    reject_outcome = (F.when(F.col("reason") == S.REASON_MALFORMED, F.lit(S.REASON_MALFORMED))
+                      .otherwise(F.lit(S.REASON_SCHEMA)))
     rejected = invalid.select(
-        F.col("reason").alias("outcome"), "reason", "error",
+        reject_outcome.alias("outcome"), "reason", "error",
         raw_record_json().alias("data"))
     parts = [
         _resolved(rejected),

@@ -7,9 +7,10 @@ can evaluate; every row is kept (the rules change values, never drop rows).
 
 Join order matters at scale: orders are joined to customer and nation first
 (orders is about a quarter of lineitem), then lineitem to that order-level
-frame and to part.  Nothing is hinted: nation is tiny and Spark broadcasts it
-through ``autoBroadcastJoinThreshold`` (a size check on the scan); the big
-sides shuffle on their keys and AQE re-plans at runtime.
+frame and to part.  Only the lineitem x orders join is hinted (sort-merge);
+nation is tiny and Spark broadcasts it through ``autoBroadcastJoinThreshold``
+(a size check on the scan); customer and part are broadcast or shuffled by
+the same size check, and AQE re-plans at run time.
 """
 
 from __future__ import annotations
@@ -65,8 +66,12 @@ def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .join(customer, orders.o_custkey == customer.c_custkey, "left")
                  .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
                  .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+    # lineitem x orders is a big-big join at any real scale: ask for the
+    # sort-merge plan so both sides are hash-partitioned on the order key
+    # (a small test file would otherwise be broadcast and every later step
+    # would run in the one task that reads the other file).
     joined = (lineitem
-              .join(order_dim, lineitem.l_orderkey == order_dim.o_orderkey, "left")
+              .join(order_dim.hint("merge"), lineitem.l_orderkey == order_dim.o_orderkey, "left")
               .join(part, lineitem.l_partkey == part.p_partkey, "left"))
 
     minutes = F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
