@@ -26,7 +26,7 @@ def mark_missing_ids(valid: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, order_cols, key=S.PAIR_KEY, scope_cols=(),
-                  count_col: str = GROUP_ROWS) -> DataFrame:
+                  count_col: str = GROUP_ROWS, extra_group=()) -> DataFrame:
     """Keep the first row (by ``order_cols``) of each key within a scope.
 
     A ``min_by`` aggregate rather than ``row_number`` over a window: the
@@ -35,12 +35,39 @@ def first_per_key(df: DataFrame, order_cols, key=S.PAIR_KEY, scope_cols=(),
     ever sees the whole group.  ``count_col`` keeps the group size so the
     dropped duplicates can be counted.
     """
-    group = [*scope_cols, *key]
+    group = [*scope_cols, *key, *extra_group]
+    out = [*scope_cols, *key]
     payload = [c for c in df.columns if c not in group]
     return (df.groupBy(*group)
             .agg(F.min_by(F.struct(*payload), F.struct(*order_cols)).alias("_first"),
                  F.count(F.lit(1)).alias(count_col))
-            .select(*group, "_first.*", count_col))
+            .select(*out, "_first.*", count_col))
+
+
+ROUTE_REJECT, ROUTE_DROP, ROUTE_KEEP = "reject", "drop", "keep"
+
+
+def route_and_dedupe(validated: DataFrame, order_cols, key=S.PAIR_KEY,
+                     scope_cols=()) -> DataFrame:
+    """P4 + P5 + A8 in one aggregate, so the input is read once.
+
+    Every received row goes through the same first-row aggregate: valid
+    rows group by (scope, key); rejected and null-dropped rows get their
+    arrival order as an extra grouping value, so each is a group of its own
+    and passes through unchanged.  (Arrival order must be unique within a
+    key: Kafka partition+offset, file+position, or the caller's columns.)
+    The raw text is kept for rejected rows only.
+    """
+    cust = F.col("CustomerID")
+    missing = cust.isNull() | F.isnan(cust) | F.col("InvoiceDate").isNull()
+    route = (F.when(F.col("reason").isNotNull(), F.lit(ROUTE_REJECT))
+             .when(missing, F.lit(ROUTE_DROP)).otherwise(F.lit(ROUTE_KEEP)))
+    staged = validated.select(
+        *[c for c in validated.columns if c != "raw"],
+        F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
+        route.alias("route"),
+        F.when(route != ROUTE_KEEP, F.struct(*order_cols)).alias("_solo"))
+    return first_per_key(staged, order_cols, key, scope_cols, extra_group=["_solo"])
 
 
 def last_per_key(df: DataFrame, order_cols, key=S.PAIR_KEY) -> DataFrame:
@@ -52,15 +79,17 @@ def last_per_key(df: DataFrame, order_cols, key=S.PAIR_KEY) -> DataFrame:
 
 
 def clean_events(df: DataFrame, allowed_months=None) -> DataFrame:
-    """Type, check and classify deduplicated rows.
+    """Type, check and classify rows.
 
     Output: the nine store columns (stored types), ``invoice_month``,
     ``outcome`` (``sign_drop``, ``bad_date``, ``store_reject``,
-    ``no_partition`` or ``clean``), ``reason``/``error`` for rejects and the
-    reject's ``data`` JSON, plus every non-wire input column.
+    ``no_partition`` or ``clean``; for routed input also the validation
+    reasons and ``null_drop``), ``reason``/``error`` for dead-letter rows and
+    their ``data`` JSON, plus every non-wire input column.
     """
+    routed = "route" in df.columns
     keep = [c for c in df.columns if c not in S.WIRE_NAMES
-            and c not in ("outcome", "reason", "error", "raw")]
+            and c not in ("outcome", "reason", "error", "raw", "route")]
     ts = parse_invoice_ts("InvoiceDate")
     qty, price = F.col("Quantity"), F.col("UnitPrice")
     sign_ok = (qty >= 0) & (price >= 0) & ~F.isnan(price)
@@ -89,8 +118,17 @@ def clean_events(df: DataFrame, allowed_months=None) -> DataFrame:
                .when(store_bad, F.lit(S.REASON_STORE))
                .when(no_part, F.lit(S.REASON_NO_PARTITION))
                .otherwise(F.lit(S.OUTCOME_CLEAN)))
+    carried = []
+    if routed:
+        r = F.col("route")
+        outcome = (F.when(r == ROUTE_REJECT,
+                          F.when(F.col("reason") == S.REASON_MALFORMED, F.lit(S.REASON_MALFORMED))
+                          .otherwise(F.lit(S.REASON_SCHEMA)))
+                   .when(r == ROUTE_DROP, F.lit(S.OUTCOME_NULL_DROP))
+                   .otherwise(outcome))
+        carried = [F.col("error").alias("_err_in")]
     staged = df.select(
-        *keep, *S.WIRE_NAMES, "raw",
+        *keep, *S.WIRE_NAMES, "raw", *carried,
         ts.alias("_ts"), qty_int.alias("_qty"), price_dec.alias("_price"),
         total_dec.alias("_total"), cust_text.alias("_cust"), month.alias("_month"),
         outcome.alias("outcome"))
@@ -102,10 +140,14 @@ def clean_events(df: DataFrame, allowed_months=None) -> DataFrame:
         (F.col("_total").isNull(), "TotalAmount:decimal_range"),
         *[(F.length(F.col("_cust") if n == "CustomerID" else F.col(n)) > lim, f"{n}:length")
           for n, lim in S.VARCHAR_LIMITS.items()]]])
-    is_reject = o.isin(S.REASON_BAD_DATE, S.REASON_STORE, S.REASON_NO_PARTITION)
+    dead = [S.REASON_BAD_DATE, S.REASON_STORE, S.REASON_NO_PARTITION]
     error = (F.when(o == S.REASON_BAD_DATE, F.lit("InvoiceDate:format"))
              .when(o == S.REASON_STORE, store_err)
              .when(o == S.REASON_NO_PARTITION, F.concat(F.lit("invoice_month:"), F.col("_month"))))
+    if routed:
+        dead += [S.REASON_MALFORMED, S.REASON_SCHEMA]
+        error = error.when(o.isin(S.REASON_MALFORMED, S.REASON_SCHEMA), F.col("_err_in"))
+    is_dead = o.isin(*dead)
     return staged.select(
         *keep,
         "InvoiceNo", "StockCode", "Description",
@@ -114,7 +156,7 @@ def clean_events(df: DataFrame, allowed_months=None) -> DataFrame:
         "Country", F.col("_total").alias("TotalAmount"),
         F.col("_month").alias(S.PARTITION_COLUMN),
         "outcome",
-        F.when(is_reject, o).alias("reason"),
+        F.when(is_dead, o).alias("reason"),
         error.alias("error"),
-        F.when(is_reject, raw_record_json()).alias("data"),
+        F.when(is_dead, raw_record_json()).alias("data"),
     )

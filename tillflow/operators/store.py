@@ -30,7 +30,7 @@ def _bounded(rows_bound) -> bool:
 def mark_present(batch: DataFrame, target: DataFrame, key=S.TRIPLE_KEY,
                  incoming_rows_bound: int | None = None,
                  query_id: str | None = None, batch_id: int | None = None) -> DataFrame:
-    """Tag every batch row ``inserted``, ``Duplicate`` or ``already_written``.
+    """Tag batch rows ``inserted``, ``Duplicate`` or ``already_written``.
 
     Step 1 finds the target rows whose key occurs in the batch (a semi join
     that builds on the batch keys, so the target is only scanned; the
@@ -38,26 +38,32 @@ def mark_present(batch: DataFrame, target: DataFrame, key=S.TRIPLE_KEY,
     partitioned target).  Step 2 joins those hits back to the batch.  A hit
     written by this very query and batch id is a replay of a batch that
     failed after its append, so it counts as written, not as a duplicate.
+    When ``batch`` already has an ``outcome`` column only its ``clean`` rows
+    are candidates; other rows keep their outcome.
     """
     month = S.PARTITION_COLUMN
-    keys = batch.select(*key, month)
+    classified = "outcome" in batch.columns
+    candidates = batch.where(F.col("outcome") == S.OUTCOME_CLEAN) if classified else batch
+    keys = candidates.select(*key, month)
     if _bounded(incoming_rows_bound):
         keys = F.broadcast(keys)
     same = F.lit(False)
     if query_id is not None and "query_id" in target.columns:
         same = ((F.col("query_id") == F.lit(query_id))
                 & (F.col("batch_id") == F.lit(batch_id)))
-    hits = (target.select(*key, month, *[c for c in ("query_id", "batch_id") if c in target.columns])
+    lineage = [c for c in ("query_id", "batch_id") if c in target.columns]
+    hits = (target.select(*key, month, *lineage)
             .join(keys, on=[*key, month], how="left_semi")
             .groupBy(*key).agg(F.max(same.cast("int")).alias("_same")))
     if _bounded(incoming_rows_bound):
         hits = F.broadcast(hits)
-    return (batch.join(hits, on=list(key), how="left")
-            .withColumn("outcome",
-                        F.when(F.col("_same").isNull(), F.lit(OUTCOME_INSERTED))
-                        .when(F.col("_same") == 1, F.lit(OUTCOME_ALREADY))
-                        .otherwise(F.lit(OUTCOME_DUPLICATE)))
-            .drop("_same"))
+    tag = (F.when(F.col("_same").isNull(), F.lit(OUTCOME_INSERTED))
+           .when(F.col("_same") == 1, F.lit(OUTCOME_ALREADY))
+           .otherwise(F.lit(OUTCOME_DUPLICATE)))
+    if classified:
+        tag = F.when(F.col("outcome") == S.OUTCOME_CLEAN, tag).otherwise(F.col("outcome"))
+    joined = batch.join(hits, on=list(key), how="left")
+    return joined.select(*[c for c in batch.columns if c != "outcome"], tag.alias("outcome"))
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, key=S.TRIPLE_KEY,

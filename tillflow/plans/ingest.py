@@ -2,11 +2,12 @@
 surviving record; the stored rows, dead-letter rows and counters are all
 projections of that frame, so they always agree.
 
-    validated ─┬─ invalid ───────────────────────────────┐
-               └─ valid ─┬─ null drop ───────────────────┤
-                         └─ first row per key (A8) ──────┤ resolved
-                             └─ clean (F1,P6-P11,D2) ──┬─┤
-                                   └─ clean rows ─ J1 ─┘
+    validated -> route (reject / null drop / keep)        P4, P5
+              -> first row per key, one aggregate          A8
+                 (rejects and drops are groups of one)
+              -> clean + classify                          F1, P6-P11, D2
+              -> insert-if-absent on the clean rows        J1
+              = resolved: one row per surviving record
 """
 
 from __future__ import annotations
@@ -17,35 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow import schema as S
-from tillflow.operators.clean import (
-    GROUP_ROWS, clean_events, first_per_key, mark_missing_ids,
-)
+from tillflow.operators.clean import GROUP_ROWS, clean_events, route_and_dedupe
 from tillflow.operators.dlq import dlq_rows, stored_record_json
 from tillflow.operators.metrics import ingest_metrics
 from tillflow.operators.store import (
     OUTCOME_DUPLICATE, OUTCOME_INSERTED, mark_present,
 )
-from tillflow.operators.validate import raw_record_json, split_valid
 
 RESOLVED_COLUMNS = S.STORE_COLUMNS + [S.PARTITION_COLUMN, "outcome", "reason",
                                       "error", "data", GROUP_ROWS]
 
 
-def _resolved(df: DataFrame) -> DataFrame:
-    types = {f.name: f.dataType for f in S.STORE_SCHEMA.fields}
-    cols = []
-    for c in RESOLVED_COLUMNS:
-        if c in types:
-            dtype = types[c]
-        elif c == GROUP_ROWS:
-            dtype = "bigint"
-        else:
-            dtype = "string"
-        src = F.col(c) if c in df.columns else F.lit(None)
-        cols.append(src.cast(dtype).alias(c))
-    return df.select(*cols)
-
-
 @dataclass
 class IngestResult:
     resolved: DataFrame
@@ -79,41 +62,26 @@ def ingest(validated: DataFrame, order_cols, scope_cols=(), target: DataFrame |
            allowed_months=None, incoming_rows_bound: int | None = None) -> IngestResult:
     """Classify validated events (see :mod:`tillflow.operators.validate`).
 
-    ``order_cols`` give arrival order inside a key, ``scope_cols`` the dedupe
-    scope (empty = the whole input is one batch).  ``target`` is the stored
-    table for the insert-if-absent split; without it every clean row is new.
+    ``order_cols`` give arrival order inside a key (unique within a key),
+    ``scope_cols`` the dedupe scope (empty = the whole input is one batch).
+    ``target`` is the stored table for the insert-if-absent split; without
+    it every clean row is new.  One pass: one shuffle for the first-row
+    aggregate (all rows), plus the insert-if-absent join when there is a
+    target.
     """
-    valid, invalid = split_valid(validated)
-    marked = mark_missing_ids(valid)
-    dropped = marked.where(F.col("outcome").isNotNull())
-    kept = marked.where(F.col("outcome").isNull()).drop("outcome")
-    winners = first_per_key(kept, order_cols, S.PAIR_KEY, scope_cols)
-    classified = clean_events(winners, allowed_months)
-    clean = classified.where(F.col("outcome") == S.OUTCOME_CLEAN).drop("outcome")
+    grouped = route_and_dedupe(validated, order_cols, S.PAIR_KEY, scope_cols)
+    classified = clean_events(grouped, allowed_months)
     if target is None:
-        stored = clean.withColumn("outcome", F.lit(OUTCOME_INSERTED))
+        o = F.col("outcome")
+        resolved = classified.withColumn(
+            "outcome", F.when(o == S.OUTCOME_CLEAN, F.lit(OUTCOME_INSERTED)).otherwise(o))
     else:
-        stored = mark_present(clean, target, S.TRIPLE_KEY, incoming_rows_bound,
+        marked = mark_present(classified, target, S.TRIPLE_KEY, incoming_rows_bound,
                               query_id, batch_id)
         dup = F.col("outcome") == OUTCOME_DUPLICATE
-        stored = (stored
-                  .withColumn("reason", F.when(dup, F.lit(S.REASON_DUPLICATE)))
-                  .withColumn("error", F.when(dup, F.lit(S.REASON_DUPLICATE)))
-                  .withColumn("data", F.when(dup, stored_record_json())))
-    # Outcome as a CASE over literals: a filter such as outcome = 'inserted'
-    # then folds to false on this branch and Catalyst drops the branch.
-    reject_outcome = (F.when(F.col("reason") == S.REASON_MALFORMED, F.lit(S.REASON_MALFORMED))
-                      .otherwise(F.lit(S.REASON_SCHEMA)))
-    rejected = invalid.select(
-        reject_outcome.alias("outcome"), "reason", "error",
-        raw_record_json().alias("data"))
-    parts = [
-        _resolved(rejected),
-        _resolved(dropped.select("outcome")),
-        _resolved(classified.where(F.col("outcome") != S.OUTCOME_CLEAN)),
-        _resolved(stored),
-    ]
-    resolved = parts[0]
-    for p in parts[1:]:
-        resolved = resolved.unionByName(p)
-    return IngestResult(resolved, query_id, batch_id)
+        resolved = marked.select(
+            *[c for c in marked.columns if c not in ("reason", "error", "data")],
+            F.when(dup, F.lit(S.REASON_DUPLICATE)).otherwise(F.col("reason")).alias("reason"),
+            F.when(dup, F.lit(S.REASON_DUPLICATE)).otherwise(F.col("error")).alias("error"),
+            F.when(dup, stored_record_json()).otherwise(F.col("data")).alias("data"))
+    return IngestResult(resolved.select(*RESOLVED_COLUMNS), query_id, batch_id)
