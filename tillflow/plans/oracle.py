@@ -173,6 +173,7 @@ SELECT InvoiceNo, StockCode, 'schema' AS reason, error, {RAW_JSON} AS data
 FROM validated WHERE error <> ''""",
         "clean_rows": BASE + "\nSELECT * FROM clean",
         "message_ingest": BASE + "\nSELECT * FROM clean",
+        "stream_ingest": BASE + "\nSELECT * FROM clean",
         "ingest_metrics": _metrics_sql(False),
         "replay_metrics": _metrics_sql(True),
         "dlq_all": BASE + f""",

@@ -98,6 +98,34 @@ def q_message_ingest(spark, sf):
     return res.stored().select(*S.STORE_COLUMNS, S.PARTITION_COLUMN)
 
 
+# Files the stream feed is cut into, and files per micro-batch.
+STREAM_FILES = 4
+STREAM_FILES_PER_BATCH = 2
+
+
+def q_stream_ingest(spark, sf):
+    """T1-T6 end to end: the feed is written as JSON-lines files (S7) to the
+    shared checkpoint folder, hash-partitioned by InvoiceNo so every key
+    lives in one file, lines in arrival order; a stream drains them in
+    micro-batches of a few files into a fresh month-partitioned table.
+    Dedupe per micro-batch then equals dedupe over the whole feed, so the
+    table must equal ``clean_rows``."""
+    from tillflow.session import shared_path
+    from tillflow.sources.files import read_messages_stream
+    from tillflow.streaming.ingest import start_ingest
+    root = shared_path(spark, "stream_ingest")
+    feed = (_feed(spark, sf).repartition(STREAM_FILES, "InvoiceNo")
+            .sortWithinPartitions("InvoiceNo", "StockCode", *RETAIL_ORDER_COLS))
+    to_messages(feed).write.text(f"{root}/src")
+    q = start_ingest(read_messages_stream(spark, f"{root}/src", STREAM_FILES_PER_BATCH),
+                     f"{root}/table", f"{root}/ckpt", dlq_path=f"{root}/dlq",
+                     metrics_path=f"{root}/metrics", available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/table").select(*S.STORE_COLUMNS, S.PARTITION_COLUMN)
+
+
 def q_ingest_metrics(spark, sf):
     return _ingested(spark, sf).metrics()
 
@@ -188,6 +216,7 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validation_rejects": q_validation_rejects,
         "clean_rows": q_clean_rows,
         "message_ingest": q_message_ingest,
+        "stream_ingest": q_stream_ingest,
         "ingest_metrics": q_ingest_metrics,
         "replay_metrics": q_replay_metrics,
         "dlq_all": q_dlq_all,
