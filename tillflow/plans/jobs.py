@@ -112,7 +112,7 @@ def ingest_micro_batch(spark: SparkSession, validated: DataFrame, order_cols,
                     allowed_months, rows)
     result.resolved = result.resolved.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        result.resolved.count()
+        # the counters are the first action and fill the cache
         return write_outcomes(spark, result, table_path, dlq_path, metrics_path, backup_csv)
     finally:
         result.resolved.unpersist()
