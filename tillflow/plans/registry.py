@@ -98,9 +98,14 @@ def q_message_ingest(spark, sf):
     return res.stored().select(*S.STORE_COLUMNS, S.PARTITION_COLUMN)
 
 
-# Files the stream feed is cut into, and files per micro-batch.
-STREAM_FILES = 4
-STREAM_FILES_PER_BATCH = 2
+# The stream feed is cut into one file per shuffle partition (the setting a
+# cluster sizes to its data, so files grow neither with the data nor into
+# one task), drained in this many micro-batches.
+STREAM_BATCHES = 2
+
+
+def _stream_files(spark: SparkSession) -> int:
+    return max(STREAM_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def q_stream_ingest(spark, sf):
@@ -114,10 +119,11 @@ def q_stream_ingest(spark, sf):
     from tillflow.sources.files import read_messages_stream
     from tillflow.streaming.ingest import start_ingest
     root = shared_path(spark, "stream_ingest")
-    feed = (_feed(spark, sf).repartition(STREAM_FILES, "InvoiceNo")
+    files = _stream_files(spark)
+    feed = (_feed(spark, sf).repartition(files, "InvoiceNo")
             .sortWithinPartitions("InvoiceNo", "StockCode", *RETAIL_ORDER_COLS))
     to_messages(feed).write.text(f"{root}/src")
-    q = start_ingest(read_messages_stream(spark, f"{root}/src", STREAM_FILES_PER_BATCH),
+    q = start_ingest(read_messages_stream(spark, f"{root}/src", -(-files // STREAM_BATCHES)),
                      f"{root}/table", f"{root}/ckpt", dlq_path=f"{root}/dlq",
                      metrics_path=f"{root}/metrics", available_now=True)
     q.awaitTermination()

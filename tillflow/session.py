@@ -45,8 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this comes from ``spark.checkpoint.dir`` (a shared file
-    system); we only pick a local folder when nothing is configured, as in
-    tests on one machine.
+    system); we only pick a local folder when nothing is configured and the
+    master is local, as in tests on one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +54,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            # A machine-local folder would not survive a lost executor and
+            # is not visible to the other nodes.
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; a cluster job needs a shared folder there")
         configured = tempfile.mkdtemp(prefix="tillflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
