@@ -75,12 +75,26 @@ def test_extra_field_ignored_and_several_errors_listed(spark):
     assert rows[1]["error"] == "Description:null;CustomerID:null"
 
 
-@pytest.mark.parametrize("text", ["{bad", "[1]", '"x"', "", "NaN"])
+@pytest.mark.parametrize("text", ["{bad", "[1]", '"x"', "", "NaN", "null", "5", " [{}]",
+                                  "\u00a0{}", "{} {}", '{"a": 1} x', '{"a": 1}]', "{},1",
+                                  '{},"\u0001end-of-message"'])
 def test_malformed(spark, text):
     r = run(spark, [text])[0]
     assert r["reason"] == S.REASON_MALFORMED and r["error"] == S.REASON_MALFORMED
 
 
+@pytest.mark.parametrize("pad", [" ", "\n\t ", "\r\n"])
+def test_object_after_blanks_is_valid(spark, pad):
+    r = run(spark, [pad + msg() + pad])[0]
+    assert r["reason"] is None, r["error"]
+
+
+def test_trailing_text_is_malformed(spark):
+    """A strict JSON reader refuses text after the value."""
+    rows = run(spark, [msg() + " x", msg() + msg(), msg() + "}", msg()])
+    assert [rows[i]["reason"] for i in range(4)] == [S.REASON_MALFORMED] * 3 + [None]
+
+
 def test_raw_kept_and_split(spark):
     texts = [msg(), msg(Quantity=6.5), "{bad"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "seq long, value string")

@@ -21,18 +21,40 @@ _INT_TAGS = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 _INT_FROM_FLOAT_LIMIT = 9.223372036854776e18
 
 
+# The blanks JSON allows around a value, and the end marker
+# appended after the message text (see parse_message).
+JSON_BLANKS = " \t\n\r"
+END_MARK = "\u0001end-of-message"
+_END_MARK_JSON = '"\\u0001end-of-message"'
+
+
 def parse_message(value: Column) -> Column:
-    """bytes/text -> VARIANT, NULL when the text is not JSON."""
-    return F.try_parse_json(value.cast("string"))
+    """bytes/text -> VARIANT, NULL when the text is not JSON.
+
+    The text is parsed as ``[<text>, "<END_MARK>"]``: Spark's parser stops
+    after the first value and ignores what follows, while a strict reader
+    rejects trailing text (``{} {}``, ``{"a": 1} x``).  Inside the array any
+    trailing text either breaks the parse or changes the element count, so
+    :func:`message_is_object` can tell one whole value from a value plus
+    extra text in the same single parse.  The message is element 0.
+    """
+    text = value.cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("," + _END_MARK_JSON + "]")))
 
 
-def message_is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def message_is_object(v: Column, text: Column) -> Column:
+    """The whole text is one JSON object.  A JSON value that opens with
+    ``{`` after blanks is an object (far cheaper than deriving the whole
+    message's schema); the end mark must be element 1 and the last one."""
+    whole = ((F.try_variant_get(v, "$[1]", "string") == F.lit(END_MARK))
+             & F.try_variant_get(v, "$[2]", "variant").isNull())
+    starts = F.ltrim(text.cast("string"), F.lit(JSON_BLANKS)).startswith("{")
+    return F.coalesce(v.isNotNull() & whole & starts, F.lit(False))
 
 
 def field_variant(v: Column, name: str) -> Column:
     """The field's own VARIANT (NULL when absent)."""
-    return F.try_variant_get(v, f"$.{name}", "variant")
+    return F.try_variant_get(v, f"$[0].{name}", "variant")
 
 
 def field_probe(fv: Column, kind: str) -> dict[str, Column]:

@@ -29,7 +29,7 @@ def validate_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = df.select(*keep, F.col(value_col).cast("string").alias("raw"),
                        parse_message(F.col(value_col)).alias("_msg"))
     fields = parsed.select(
-        *keep, "raw", message_is_object(F.col("_msg")).alias("_obj"),
+        *keep, "raw", message_is_object(F.col("_msg"), F.col("raw")).alias("_obj"),
         *[field_variant(F.col("_msg"), n).alias(f"_f_{n}") for n in S.WIRE_NAMES])
     probe_cols, probes = [], {}
     for name, kind in S.WIRE_FIELDS:
