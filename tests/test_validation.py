@@ -89,6 +89,15 @@ def test_object_after_blanks_is_valid(spark, pad):
     assert r["reason"] is None, r["error"]
 
 
+def test_repeated_key_keeps_last(spark):
+    """Python's JSON reader keeps the last value of a repeated key."""
+    good_last = msg()[:-1] + ', "Quantity": 7}'
+    bad_last = msg()[:-1] + ', "Quantity": 6.5}'
+    rows = run(spark, [good_last, bad_last])
+    assert rows[0]["reason"] is None and rows[0]["Quantity"] == 7
+    assert rows[1]["reason"] == S.REASON_SCHEMA and rows[1]["error"] == "Quantity:fraction"
+
+
 def test_trailing_text_is_malformed(spark):
     """A strict JSON reader refuses text after the value."""
     rows = run(spark, [msg() + " x", msg() + msg(), msg() + "}", msg()])

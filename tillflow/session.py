@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock (stored timestamps are
 # zone-less), ANSI casts (we use try_* where the reference coerces), AQE for
-# runtime coalescing and skew-join splitting, and no web UI.
+# runtime coalescing and skew-join splitting, last-wins JSON keys, and no
+# web UI.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -18,6 +19,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A repeated key in a JSON message keeps its last value, as Python's
+    # JSON reader does (Spark's parser refuses the message otherwise).
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
