@@ -86,12 +86,21 @@ def ingest_job(spark: SparkSession, validated: DataFrame, order_cols, table_path
                dlq_path: str | None = None, metrics_path: str | None = None,
                query_id: str = "batch", batch_id: int = 0, scope_cols=(),
                allowed_months=None, backup_csv: str | None = None,
-               incoming_rows_bound: int | None = None) -> dict:
+               incoming_rows_bound: int | None = None, prune_target: bool = False) -> dict:
     """Batch ingest of a whole input (S8 + S15 at scale).
 
     The resolved frame is checkpointed to the shared checkpoint folder
-    (reliable storage, survives lost executors) before any write."""
+    (reliable storage, survives lost executors) before any write.
+
+    ``prune_target`` limits the insert-if-absent scan of the table to the
+    months the input spans.  Spark applies no dynamic partition pruning to
+    this semi join, so without it every month is scanned; finding the range
+    costs one extra pass over the input, which pays off when the input is
+    small next to the table (persist ``validated`` first if it is costly to
+    recompute)."""
     target = read_target(spark, table_path)
+    if target is not None and prune_target:
+        target = prune_to_batch(target, validated)
     result = ingest(validated, order_cols, scope_cols, target, query_id, batch_id,
                     allowed_months, incoming_rows_bound)
     result.resolved = result.resolved.checkpoint(eager=True)
