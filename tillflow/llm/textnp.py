@@ -47,15 +47,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, ``n`` or more."""
     have = next(iter(_POWERS.values()), None)
     if have is None or len(have[0]) < n:
+        size = max(n, STEP_BYTES + 1)
+
         def run(b):
-            a = np.full(max(n, 1), b, np.uint64)
+            a = np.full(size, b, np.uint64)
             a[0] = 1
             return np.multiply.accumulate(a)
         with np.errstate(over="ignore"):
             have = run(np.uint64(_BASE)), run(np.uint64(_INV))
-        if n <= 2 * STEP_BYTES:
+        if size <= 2 * STEP_BYTES:  # what one very long text needs isn't kept
             _POWERS.clear()
-            _POWERS[n] = have
+            _POWERS[size] = have
     return have
 
 
