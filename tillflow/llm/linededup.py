@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.session import checkpoint_dir
+
 WHITE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_CHARS = 20
@@ -49,8 +51,10 @@ def repeated_keys(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the kept lines as ``text``, and ``n_lines`` and ``n_dropped``."""
+    checkpoint_dir(docs.sparkSession)
     lines = _lines(docs)
-    drops = (lines.join(repeated_keys(lines, min_docs), ["h1", "h2"])
+    # From a checkpoint both sides of the join are plain shuffles, so a hot line's rows can be split.
+    drops = (lines.join(repeated_keys(lines, min_docs).checkpoint(), ["h1", "h2"])
              .filter("doc_id != keeper")
              .groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
              .agg(F.collect_set("pos").alias("__drop")))

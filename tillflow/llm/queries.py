@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import linededup, minhash, quality
+from tillflow.llm import bpe, embed, html, langid, linededup, lm, minhash, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +22,49 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of every document, encoded and decoded again."""
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log-probability of every document."""
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences of at most 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines after corpus-wide line dedup, as counts and a digest."""
     return linededup.line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_quality, op7_line_dedup)}
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return embed.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_quality, op3_bpe, op4_langid, op5_lm, op6_packing, op7_line_dedup, op8_html,
+    op9_toxicity, op10_embeddings)}
 
 _OP2 = r"""
 with t as (select doc_id, row_number() over () as r, coalesce(text, '') as text from documents),
@@ -81,4 +119,39 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_
 from marked group by r, doc_id
 """
 
-SQL = {"op2_quality": _OP2, "op7_line_dedup": _OP7}
+_OP1 = r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (
+  select distinct doc_id, list_slice(w, i, i + 4) as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from t where len(w) > 0)),
+n as (select doc_id, count(*) as n from g group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from g a join g b on a.s = b.s and a.doc_id < b.doc_id group by all),
+link as (
+  select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where c >= 0.8 * (x.n + y.n - c)),
+pairs as (select a, b from link union select b, a from link),
+reach as (select doc_id as v, doc_id as r from documents union select reach.v, pairs.b from reach join pairs on pairs.a = reach.r),
+cls as (select v, min(r) as class_id from reach group by v)
+select doc_id, class_id, doc_id = class_id as kept, coalesce(n, 0)::bigint as n_shingles
+from documents join cls on v = doc_id left join n using (doc_id)
+"""
+
+_OP10 = r"""
+with recursive v as (
+  select vec_id, label, embedding::double[] as e, list_sum(list_transform(embedding::double[], lambda x: x * x)) as q
+  from embeddings),
+ok as (
+  select * from v where vec_id is not null and label is not null and q > 0 and isfinite(q)
+  and len(list_filter(e, lambda x: x is null)) = 0),
+link as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_inner_product(a.e, b.e) / sqrt(a.q * b.q) >= 0.98),
+reach as (select vec_id as v, vec_id as r from embeddings union select reach.v, link.b from reach join link on link.a = reach.r),
+comp as (select v, min(r) as c from reach group by v),
+many as (select a, count(*) as n from link group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, c as component_id, vec_id = c as kept
+from embeddings join comp on v = vec_id left join many on a = vec_id
+"""
+
+SQL = {"op1_minhash": _OP1, "op10_embeddings": _OP10, "op2_quality": _OP2, "op7_line_dedup": _OP7}
