@@ -91,15 +91,13 @@ def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] | None = N
     cut = _with_repeat_words(cut)
     t, w, lines = F.col("__t"), F.col("__w"), F.col("__l")
     chars = _length_without(t, WHITE)
-    measured = cut.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.size(w).cast("long").alias("n_words"),
-        chars.cast("long").alias("word_chars"),
-        (F.length(t) - _length_without(t, SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.col("__rep").cast("long").alias("n_repeat_words"),
-        (F.length(t) - F.length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
-        F.size(lines).cast("long").alias("n_lines"))
+    values = (
+        F.size(w), chars, F.length(t) - _length_without(t, SYMBOLS), F.size(lines) - F.size(F.array_distinct(lines)),
+        F.col("__rep"), F.length(t) - _length_without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.size(lines))
+    # A one-row generator keeps later filters from being pushed below, where every condition
+    # would evaluate the measurements anew.
+    measured = cut.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(
+        *[v.cast("long").alias(name) for name, v in zip(MEASURES, values, strict=True)]))))
     bits = F.lit(0).cast("long")
     for name, fails in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
