@@ -12,7 +12,8 @@ f(i) + c_i enters a monotone queue once and leaves it once, so the work grows wi
 the number of cuts. What remains of a task's stream at its end is shorter than a window;
 sequences of a power of two need no padding, so it is cut into powers of two as
 long as that costs less than padding does. The stream is handled chunk by chunk: the last
-window of a chunk is carried over into the next.
+window of a chunk is carried over into the next. So a last window's room costs nothing in
+the recursion, or slack that the end absorbs would be spread over windows that can't be cut.
 
 Edge cases: a null or empty text is its closing id alone; a text longer than a window
 spans several; ties between cuts go to the earlier one; repeated rows are packed like any
@@ -38,7 +39,7 @@ SIZE = 1024
 END_ID = 0
 #: Penalties in tokens of padding, and the distance of cuts inside a sentence.
 SENTENCE, INSIDE = 0.5, 4.0
-STRIDE = 16
+STRIDE = 8
 _STOPS = (b".", b"!", b"?", b"\n")
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -68,8 +69,9 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, stops: np.ndarray, stride:
     return at, pen[at]
 
 
-def best_cuts(at: np.ndarray, pen: np.ndarray, size: int = SIZE) -> list[int]:
-    """Indices into ``at`` of the best cuts, first and last included."""
+def best_cuts(at: np.ndarray, pen: np.ndarray, size: int = SIZE, open_end: bool = False) -> list[int]:
+    """Indices into ``at`` of the best cuts, first and last included. With ``open_end`` the last
+    window's room is no padding (it is carried over or cut into powers of two), only its cuts cost."""
     places, penalties = at.tolist(), pen.tolist()
     back = [0] * len(places)
     queue: deque[tuple[float, int, int]] = deque([(float(places[0]), places[0], 0)])  # (f + c, c, index), rising
@@ -80,6 +82,8 @@ def best_cuts(at: np.ndarray, pen: np.ndarray, size: int = SIZE) -> list[int]:
         while queue[0][1] < low:
             head()
         best = queue[0]
+        if open_end and j == len(places) - 1:
+            best = min(queue, key=lambda q: q[0] - q[1] + INSIDE * (c - q[1]).bit_count())
         back[j] = best[2]
         key = best[0] + size + penalties[j]  # f(j) + c
         while queue and queue[-1][0] > key:
@@ -127,7 +131,7 @@ class Stream:
             return None
         begins = np.cumsum(self.tokens) - self.tokens - self.skip
         at, pen = cut_points(self.ids, (begins + self.tokens), self.stops)
-        cuts = at[best_cuts(at, pen, self.size)]
+        cuts = at[best_cuts(at, pen, self.size, True)]
         if last:
             rest = tail_cuts(int(cuts[-1] - cuts[-2]), self.size)
             cuts = np.concatenate([cuts[:-2], cuts[-2] + np.cumsum([0, *rest])])
