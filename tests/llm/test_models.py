@@ -1,0 +1,198 @@
+"""Language identification, language model and toxicity: exact parts against brute force, the rest on held-out rows."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import LABELS, ODD, SCHEMA, WORD, crc, docs
+from tillflow.llm import langid, lm, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def table(spark, name, sf=SF):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# --- language identification -------------------------------------------------
+
+def test_phrases_are_longest_matches():
+    rng = random.Random(1)
+    learned = "".join(rng.choice("abc") for _ in range(300))
+    model = langid.fit([("x", learned)], {"x": 1})
+    text = "".join(rng.choice("abcd") for _ in range(200))
+    syms = model.symbols[[ord(c) for c in text]]
+
+    def brute(s):
+        n = at = 0
+        while at < len(s):
+            k = 1
+            while at + k <= len(s) and s[at: at + k] in learned:
+                k += 1
+            at += max(k - 1, 1)
+            n += 1
+        return n
+    got = langid.phrases(model, syms, np.array([0, len(syms)]))[0, 0]
+    want = brute(text)
+    assert abs(got - want) <= 1 + text.count("d")  # an unknown letter ends a phrase and begins the next
+
+
+def test_languages_on_held_out_rows(spark):
+    got = langid.identify(table(spark, "documents")).join(table(spark, "documents").select("doc_id", "lang"), "doc_id")
+    rows = got.filter("held_out").collect()
+    assert len(rows) > 150 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    assert all(r["held_out"] == (crc(r["doc_id"]) % 4 == 2) for r in got.collect())
+
+
+def test_odd_texts_and_no_labels(spark):
+    got = {r["doc_id"]: r for r in langid.identify(docs(spark, ODD)).collect()}
+    assert len(got) == len(ODD)
+    for i, text in enumerate(ODD):
+        letters = any(c.isalpha() for c in text or "")
+        assert (got[i]["lang_pred"] == "und") != letters and (letters or got[i]["score"] == 0)
+    bare = docs(spark, ODD).withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in langid.identify(bare).collect()} == {"und"}
+    assert langid.identify(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+# --- language model ----------------------------------------------------------
+
+def brute_base(rows):
+    def tokens(t):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return [*WORD.findall(low), None]
+    held = [d is not None and crc(d) % 7 == 2 for d, _ in rows]
+    count = Counter(w for (_, t), h in zip(rows, held, strict=True) if not h for w in tokens(t))
+    n, v = sum(count.values()), len(count)
+    out = []
+    for (d, t), h in zip(rows, held, strict=True):
+        w = tokens(t)
+        out.append((d, h, len(w), sum(count[x] > 0 for x in w), n, sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w)))
+    return out
+
+
+def test_base_scores_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 2000)  # several chunks, as counts must cross them
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["Aa", "aA", "bb", "É", "é", "x y"]) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [(200 + i, t) for i, t in enumerate(ODD)] + [(None, "aa bb"), (7, rows[7][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = lm.score_texts(df).collect()
+
+    def order(r):
+        return (str(r[0]), r[2], r[5])
+    assert len(got) == len(rows)
+    for r, w in zip(sorted(map(tuple, got), key=order), sorted(brute_base(rows), key=order), strict=True):
+        assert r[:5] == w[:5] and r[5] == pytest.approx(w[5], rel=1e-9, abs=1e-6)
+        assert math.isfinite(r[6]) and r[6] < 0
+
+
+def test_model_beats_base_on_held_out_rows(spark):
+    rows = lm.score_texts(table(spark, "documents")).filter("held_out").collect()
+    assert sum(r["score"] for r in rows) > 0.97 * sum(r["base_score"] for r in rows)  # log10, both negative
+    assert np.mean([r["score"] > r["base_score"] for r in rows]) > 0.8
+
+
+def test_class_probabilities_sum_to_one():
+    rng = np.random.default_rng(3)
+    w = rng.standard_normal((lm.FEATURES, lm.CLASSES)).astype(np.float32)
+    f = np.stack([rng.integers(0, lm.FEATURES, 1) for _ in range(4)]).repeat(lm.CLASSES, 1)
+    logs = lm.class_logs(w, f, np.arange(lm.CLASSES))
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_no_rows_and_no_training_rows(spark):
+    assert lm.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+    held = [i for i in range(200) if crc(i) % 7 == 2][:3]
+    df = spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")
+    for r in lm.score_texts(df).collect():
+        assert (r["train_tokens"], r["n_known"], r["base_score"]) == (0, 0, 0.0) and r["score"] < 0
+
+
+# --- toxicity ----------------------------------------------------------------
+
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(0)
+    p = {k: v.astype(np.float64) for k, v in toxicity._fresh(rng).items()}
+    ids = np.where(rng.random((3, toxicity.LENGTH)) < 0.8, rng.integers(0, 6, (3, toxicity.LENGTH)), -1)
+    ids[:, 0] = 0
+    table = {s: rng.standard_normal((7, 3 * toxicity.HIDDEN)) for s in "fb"}
+    y = np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        logit = toxicity.forward(p, table, ids)[0]
+        return float(np.sum(np.log1p(np.exp(logit)) - y * logit))
+    tapes = {}
+    logit, h, a, pooled, there = toxicity.forward(p, table, ids, tapes)
+    grad, gates = toxicity._back(p, h, a, pooled, there, tapes, toxicity._sigmoid(logit) - y)
+    for name in ("u", "v", "Uf", "Ub"):
+        for _ in range(4):
+            at = tuple(rng.integers(0, n) for n in p[name].shape)
+            keep, eps = p[name][at], 1e-2
+            p[name][at] = keep + eps
+            up = loss()
+            p[name][at] = keep - eps
+            down = loss()
+            p[name][at] = keep
+            assert np.asarray(grad[name])[at] == pytest.approx((up - down) / (2 * eps), rel=0.05, abs=3e-3)
+
+
+def test_quick_inference_equals_training_forward():
+    rng = np.random.default_rng(4)
+    p = toxicity._fresh(rng)
+    table = {s: np.concatenate([rng.standard_normal((9, 3 * toxicity.HIDDEN)), np.zeros((1, 3 * toxicity.HIDDEN))]).astype(np.float32) for s in "fb"}
+    ids = rng.integers(0, 9, (20, toxicity.LENGTH))
+    for k in range(20):
+        ids[k, rng.integers(0, toxicity.LENGTH + 1):] = -1
+    assert np.allclose(toxicity.forward(p, table, ids)[0], toxicity.infer(p, toxicity._quick(p, table), ids), atol=1e-4)
+
+
+def test_windows_cover_every_word():
+    for n in (0, 1, 31, 32, 33, 56, 57, 200):
+        ids, owner = toxicity.windows(np.zeros(n, np.int64), 1)
+        assert set(ids[ids >= 0].tolist()) == set(range(n)) and (owner == 0).all() and len(ids) >= 1
+
+
+def test_toxic_words_are_found_on_held_out_rows(spark):
+    rng = random.Random(6)
+    bad = ["scumbag", "vileness", "rotter"]
+    rows, labels = [], []
+    for i in range(900):
+        w = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(rng.randint(0, 150))]
+        toxic = int(rng.random() < 0.3)
+        for _ in range(rng.randint(1, 4) * toxic):
+            w.insert(rng.randint(0, len(w)), rng.choice(bad))
+        rows.append((i, " ".join(w) or None))
+        labels.append((i, 1, toxic))
+    labels += [(None, 1, 1), (5, None, None), (7, 0, 9)]
+    got = toxicity.scores(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert all(r["held_out"] == (crc(r["doc_id"]) % 3 == 1) for r in got)
+    assert sum(r["predicted"] == labels[r["doc_id"]][2] for r in held) >= 0.97 * len(held)
+
+
+def test_toxicity_odd_texts(spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(len(ODD))], LABELS)
+    got = toxicity.scores(docs(spark, ODD, extra=True), labels).collect()
+    assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
+    none = toxicity.scores(docs(spark, ODD), spark.createDataFrame([], LABELS)).collect()
+    assert {r["score"] for r in none} == {0.0}
+    df = docs(spark, ODD, extra=True)
+    kept = toxicity.keep_clean(df, spark.createDataFrame([], LABELS))
+    assert kept.columns == df.columns and kept.count() == len(ODD)
+    assert toxicity.scores(spark.createDataFrame([], SCHEMA), labels).count() == 0
+
+
+def test_scores_of_several_batches_equal_one():
+    model = toxicity.train([("good day " * 20, 0), ("bad words " * 20, 1)] * 20)
+    texts = ["good " * 100, "bad " * 100, "", "mixed bad good " * 50]
+    one = toxicity.score_texts(model, pa.array(texts, pa.large_string()))
+    each = [toxicity.score_texts(model, pa.array([t], pa.large_string()))[0] for t in texts]
+    assert np.allclose(one, each, atol=1e-5)
