@@ -72,7 +72,8 @@ def test_customer_id_text_and_total(spark):
 
 
 @pytest.mark.parametrize("date", ["bad-date", "2010-12-01", "2010-12-01T08:26:00",
-                                  "2010-12-1 8:26:00", "2010-13-01 00:00:00"])
+                                  "2010-13-01 00:00:00", "0001-01-01 00:00:00",
+                                  "2999-01-01 00:00:00"])
 def test_bad_dates_routed(spark, date):
     res = ingest(feed(spark, [R(1, date=date)]), ORDER)
     dlq = res.dlq().collect()
@@ -100,11 +101,29 @@ def test_no_partition_rule(spark):
     assert outcomes(res) == {"A": "inserted", "B": S.REASON_NO_PARTITION}
 
 
+def test_one_digit_date_fields(spark):
+    res = ingest(feed(spark, [R(1, date="2010-12-1 8:26:00")]), ORDER)
+    assert str(res.stored().first()["InvoiceDate"]) == "2010-12-01 08:26:00"
+
+
 def test_scope_limits_dedupe(spark):
-    rows = [R(1, q=1), R(2, q=2), R(3, q=3)]
+    """A key survives once per scope, and the table's unique rule takes the first of them."""
+    rows = [R(1, q=1), R(2, q=2), R(3, q=3), R(4, q=4, date="2010-12-01 09:00:00")]
     df = feed(spark, rows).withColumn("scope", F.floor(F.col("seq") / 2))
-    got = sorted(r["Quantity"] for r in ingest(df, ORDER, scope_cols=["scope"]).stored().collect())
-    assert got == [1, 2]   # same key survives once per scope
+    res = ingest(df, ORDER, scope_cols=["scope"])
+    assert [r["Quantity"] for r in res.stored().collect()] == [1, 4]
+    m = res.metrics().first()
+    assert (m["in_batch_duplicates"], m["success"], m["failed"]) == (1, 2, 1)
+    assert [r["reason"] for r in res.dlq().collect()] == [S.REASON_DUPLICATE]
+
+
+def test_rejects_of_one_key_and_order_all_arrive(spark):
+    from tillflow.operators.validate import validate_messages
+    bad = [(0, "{x"), (0, "{y"), (0, "{z"), (0, '{"InvoiceNo": "1"}'), (0, '{"InvoiceNo": "1"}')]
+    res = ingest(validate_messages(spark.createDataFrame(bad, "seq long, value string")), ORDER)
+    m = res.metrics().first()
+    assert (m["received"], m["malformed"], m["invalid"], m["in_batch_duplicates"]) == (5, 3, 5, 0)
+    assert sorted(r["data"] for r in res.dlq().collect())[-3:] == ["{x", "{y", "{z"]
 
 
 def test_reconciliation_and_no_python(spark):

@@ -54,13 +54,9 @@ def test_real_session_has_a_folder(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_stream_feed_files_follow_shuffle_partitions(spark):
-    from tillflow.plans.registry import STREAM_BATCHES, _stream_files
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "640")
-        assert _stream_files(spark) == 640
-        spark.conf.set("spark.sql.shuffle.partitions", "1")
-        assert _stream_files(spark) == STREAM_BATCHES
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+def test_stream_batches_are_bounded_by_events(spark, monkeypatch):
+    from tillflow.plans import registry
+    feed = spark.range(1000)
+    assert registry._stream_files(feed) == registry.STREAM_LEAST_FILES
+    monkeypatch.setattr(registry, "STREAM_FILE_EVENTS", 10)
+    assert registry._stream_files(feed) == 100  # more events, more files and batches

@@ -62,3 +62,28 @@ def test_bounded_upsert_leaves_target_unshuffled(spark, no_auto_broadcast):
     assert "BroadcastHashJoin" in X.plan_text(out, "simple")
     row = out.collect()[0]
     assert row["Description"] == "new" and row["InvoiceDate"] == dt.datetime(2011, 1, 1)
+
+
+def test_upsert_is_the_same_with_and_without_a_bound(spark):
+    """A key at two times, an untouched key, a new key: one meaning in both branches."""
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.STORE_SCHEMA.fields)
+    def row(key, day, desc, *more):
+        return (key, "A", desc, 1, dt.datetime(2011, 1, day), D("1.00"), "10", "UK", D("1.00"), *more)
+    tgt = spark.createDataFrame([row("1", 3, "late"), row("1", 1, "early"), row("2", 1, "other"), row("2", 2, "other")], cols)
+    inc = spark.createDataFrame([row("1", 9, "first", 1), row("1", 8, "last", 2), row("3", 5, "n1", 1), row("3", 6, "n2", 1)],
+                                cols + ", seq int")
+    got = [sorted((r["InvoiceNo"], r["InvoiceDate"].day, r["Description"]) for r in
+                  upsert_latest(tgt, inc, ["seq"], incoming_rows_bound=b).collect()) for b in (4, None)]
+    assert got[0] == got[1] == [("1", 1, "last"), ("1", 3, "late"), ("2", 1, "other"), ("2", 2, "other"), ("3", 5, "n2")]
+
+
+def test_unbounded_insert_if_absent_reads_the_target_once(spark, target, batch, no_auto_broadcast):
+    plan = X.plan_text(mark_present(batch, target), "simple")
+    assert plan.count("FileScan parquet") == 1 and "BroadcastHashJoin" not in plan
+
+
+def test_rejects_stay_out_of_the_key_join(spark, target):
+    rows = [(None, None, None, None, "schema")] * 5 + [("1", "A", dt.datetime(2011, 2, 1, 8, 0), "2011_02", "clean")]
+    marked = mark_present(spark.createDataFrame(rows, KEYS + ", outcome string"), target)
+    assert "Union" in X.plan_text(marked, "simple")
+    assert sorted(r["outcome"] for r in marked.collect()) == ["Duplicate"] + ["schema"] * 5

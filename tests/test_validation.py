@@ -127,3 +127,15 @@ def test_no_python_in_plan(spark):
     df = spark.createDataFrame([(0, msg())], "seq long, value string")
     assert not has_python_udf(validate_messages(df))
     assert validate_messages(df).where(F.col("reason").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("text,as_int,as_float", [
+    ("6d", None, None), ("6f", None, None), ("0x1p3", None, None), ("1e1", None, 10.0), ("6.", None, 6.0),
+    ("1_000", 1000, 1000.0), ("1__0", None, None), ("_1", None, None), (" 6 ", 6, 6.0), ("+6.00", 6, 6.0),
+    ("9007199254740993", 9007199254740993, 9007199254740992.0), ("inf", None, float("inf")), (".5", None, 0.5),
+])
+def test_numeric_text(spark, text, as_int, as_float):
+    got = run(spark, [msg(Quantity=text), msg(UnitPrice=text)])
+    q, p = got[0], got[1]
+    assert q["Quantity"] == as_int and (q["reason"] is None) == (as_int is not None)
+    assert p["UnitPrice"] == as_float and (p["reason"] is None) == (as_float is not None)

@@ -39,8 +39,14 @@ def _c(c) -> Column:
 
 
 def parse_invoice_ts(c) -> Column:
-    """strict ``yyyy-MM-dd HH:mm:ss`` text -> timestamp_ntz, bad -> NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(S.WIRE_TS_FORMAT)).cast("timestamp_ntz")
+    """``yyyy-MM-dd HH:mm:ss`` text -> timestamp_ntz, bad -> NULL.
+
+    Month, day and time fields may have one digit.  Times outside the
+    reference parser's range (nanoseconds in 64 bits around 1970) are bad dates.
+    """
+    ts = F.try_to_timestamp(_c(c), F.lit(S.WIRE_TS_PARSE_FORMAT)).cast("timestamp_ntz")
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in S.TS_RANGE)
+    return F.when((ts >= lo) & (ts <= hi), ts)
 
 
 def customer_id_text(c) -> Column:
@@ -90,6 +96,11 @@ def month_label(c) -> Column:
     return F.date_format(_c(c), "yyyy_MM")
 
 
+def month_text(t: dt.datetime) -> str:
+    """F10 of a driver-side time: the label that :func:`month_label` stores."""
+    return f"{t.year:04d}_{t.month:02d}"
+
+
 def add_month(c, n: int = 1) -> Column:
     """F11."""
     return F.add_months(_c(c), n)

@@ -57,19 +57,40 @@ def field_variant(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$[0].{name}", "variant")
 
 
+# Numeric text the validator takes: digits may be grouped by single underscores;
+# an int may have a fraction of zeros only and no exponent.
+_DIGITS = r"\d+(_\d+)*"
+INT_TEXT = rf"^[+-]?{_DIGITS}(\.0+)?$"
+INT_OR_FRACTION_TEXT = rf"^[+-]?{_DIGITS}(\.{_DIGITS})?$"
+FLOAT_TEXT = (rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
+              r"|^[+-]?([nN][aA][nN]|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$")
+TEXT_BLANKS = " \t\n\r\f\x0b"
+
+
+def _number_text(text: Column, pattern: str) -> Column:
+    """Trimmed text without underscores, NULL unless the validator would read it as a number."""
+    bare = F.btrim(text, F.lit(TEXT_BLANKS))
+    return F.when(bare.rlike(pattern), F.replace(bare, F.lit("_"), F.lit("")))
+
+
 def field_probe(fv: Column, kind: str) -> dict[str, Column]:
     """Per-field facts, each computed once in its own projection column:
     the type tag and the candidate values the kind needs."""
     tag = F.schema_of_variant(fv)
     out = {"tag": tag}
+    text = F.try_variant_get(fv, "$", "string")
+    is_text = tag == "STRING"
     if kind == "str":
-        out["s"] = F.when(tag == "STRING", F.try_variant_get(fv, "$", "string"))
+        out["s"] = F.when(is_text, text)
     elif kind == "int":
-        out["i"] = F.when(tag.isin(_INT_TAGS), F.try_variant_get(fv, "$", "bigint"))
-        out["d"] = F.when(~tag.isin(_INT_TAGS) & (tag != "VOID"),
-                          F.try_variant_get(fv, "$", "double"))
+        whole = F.regexp_replace(_number_text(text, INT_TEXT), r"\.0+$", "")
+        out["i"] = (F.when(tag.isin(_INT_TAGS), F.try_variant_get(fv, "$", "bigint"))
+                    .when(is_text, whole.try_cast("bigint")))
+        out["d"] = (F.when(is_text, _number_text(text, INT_OR_FRACTION_TEXT).try_cast("double"))
+                    .when(~tag.isin(_INT_TAGS) & (tag != "VOID"), F.try_variant_get(fv, "$", "double")))
     else:
-        out["d"] = F.when(tag != "VOID", F.try_variant_get(fv, "$", "double"))
+        out["d"] = (F.when(is_text, _number_text(text, FLOAT_TEXT).try_cast("double"))
+                    .when(tag != "VOID", F.try_variant_get(fv, "$", "double")))
     return out
 
 
@@ -89,12 +110,11 @@ def field_check(probe: dict[str, Column], kind: str):
     # int: exact integers pass as they are; other numbers and numeric text
     # pass when integral and within int64.
     i = probe["i"]
-    is_int_tag = tag.isin(_INT_TAGS)
     integral = (~F.isnan(d)) & (d % 1 == 0)
     in_range = F.abs(d) < F.lit(_INT_FROM_FLOAT_LIMIT)
-    value = F.when(is_int_tag, i).when(d.isNotNull() & integral & in_range, d.cast("bigint"))
+    value = F.when(i.isNotNull(), i).when(d.isNotNull() & integral & in_range, d.cast("bigint"))
     code = (F.when(missing, "missing").when(is_null, "null")
-            .when(is_int_tag & i.isNotNull(), F.lit(None))
+            .when(i.isNotNull(), F.lit(None))
             .when(d.isNull(), "type")
             .when(~integral, "fraction")
             .when(~in_range, "range"))

@@ -51,12 +51,12 @@ def route_and_dedupe(validated: DataFrame, order_cols, key=S.PAIR_KEY,
                      scope_cols=()) -> DataFrame:
     """P4 + P5 + A8 in one aggregate, so the input is read once.
 
-    Every received row goes through the same first-row aggregate: valid
-    rows group by (scope, key); rejected and null-dropped rows get their
-    arrival order as an extra grouping value, so each is a group of its own
-    and passes through unchanged.  (Arrival order must be unique within a
-    key: Kafka partition+offset, file+position, or the caller's columns.)
-    The raw text is kept for rejected rows only.
+    Only valid rows are deduplicated: they group by (scope, key). A rejected
+    or null-dropped row gets a row id of its own as an extra grouping value, so
+    it is a group of one whatever its key and arrival order are, and passes
+    through unchanged.  (Among valid rows arrival order decides, so it must be
+    unique within a key: Kafka partition+offset, file+position, or the
+    caller's columns.)  The raw text is kept for rejected rows only.
     """
     cust = F.col("CustomerID")
     missing = cust.isNull() | F.isnan(cust) | F.col("InvoiceDate").isNull()
@@ -66,18 +66,10 @@ def route_and_dedupe(validated: DataFrame, order_cols, key=S.PAIR_KEY,
         *[c for c in validated.columns if c != "raw"],
         F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
         route.alias("route"),
-        F.when(route != ROUTE_KEEP, F.struct(*order_cols)).alias("_solo"))
+        F.when(route != ROUTE_KEEP, F.monotonically_increasing_id()).alias("_solo"))
     return first_per_key(staged, order_cols, key, scope_cols, extra_group=["_solo"])
 
 
-def last_per_key(df: DataFrame, order_cols, key=S.PAIR_KEY) -> DataFrame:
-    """Keep the last row of each key (``max_by``, combined map-side)."""
-    payload = [c for c in df.columns if c not in key]
-    return (df.groupBy(*key)
-            .agg(F.max_by(F.struct(*payload), F.struct(*order_cols)).alias("_last"))
-            .select(*key, "_last.*"))
-
-
 def clean_events(df: DataFrame, allowed_months=None) -> DataFrame:
     """Type, check and classify rows.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +30,10 @@ def dlq_rows(df: DataFrame, query_id=None, batch_id=None) -> DataFrame:
         F.lit(batch_id).cast("bigint").alias("batch_id"))
 
 
-def union_dlq(*frames: DataFrame) -> DataFrame:
-    """Merge reject kinds of differing shapes (``data`` is JSON text)."""
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def envelope_json() -> F.Column:
-    """The topic message ``{"error": .., "data": {..}}``."""
-    return F.to_json(F.struct(F.col("error"), F.parse_json(F.col("data")).alias("data")))
-
-
-def write_dlq(dlq: DataFrame, path: str) -> None:
-    """S9/S10 stand-in: JSON-lines dead-letter table, partitioned by reason."""
-    dlq.write.mode("append").partitionBy("reason").json(path)
+    """The topic message ``{"error": .., "data": {..}}`` (S9).  Text that is not
+    JSON (a malformed message) travels as a JSON string."""
+    parsed = F.try_parse_json(F.col("data"))
+    text = F.parse_json(F.to_json(F.array(F.col("data"))))
+    data = F.coalesce(parsed, F.variant_get(text, "$[0]", "variant"))
+    return F.to_json(F.struct(F.col("error"), data.alias("data")), {"ignoreNullFields": "false"})

@@ -27,43 +27,62 @@ def _bounded(rows_bound) -> bool:
     return rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS
 
 
+def first_in_input(clean: DataFrame, order_cols, key=S.TRIPLE_KEY, flag: str = "_first") -> DataFrame:
+    """``clean`` with a flag on the first row (by ``order_cols``) of each key.
+
+    Needed where an input has several dedupe scopes: rows of one table key that
+    survive in different scopes meet the table's unique rule among themselves.
+    The first position per key is an aggregate (combined map-side), joined back.
+    """
+    place = F.struct(*[F.col(c) for c in order_cols])
+    first = clean.groupBy(*key).agg(F.min(place).alias("_place"))
+    return (clean.join(first, on=list(key), how="left")
+            .withColumn(flag, F.struct(*[F.col(c) for c in order_cols]) == F.col("_place"))
+            .drop("_place"))
+
+
+def _present(candidates: DataFrame, target: DataFrame, key, bounded: bool, same) -> DataFrame:
+    """(key, _same) of the target keys that a batch row may hold.
+
+    Unbounded: one aggregate of the target on the key, joined once.  Bounded: a
+    semi join with the broadcast batch keys first, so the target is only
+    scanned; the month column is part of the key so partition pruning applies.
+    """
+    month = S.PARTITION_COLUMN
+    lineage = [c for c in ("query_id", "batch_id") if c in target.columns]
+    rows = target.select(*key, month, *lineage)
+    if bounded:
+        rows = rows.join(F.broadcast(candidates.select(*key, month)), on=[*key, month], how="left_semi")
+    hits = rows.groupBy(*key).agg(F.max(same.cast("int")).alias("_same"))
+    return F.broadcast(hits) if bounded else hits
+
+
 def mark_present(batch: DataFrame, target: DataFrame, key=S.TRIPLE_KEY,
                  incoming_rows_bound: int | None = None,
                  query_id: str | None = None, batch_id: int | None = None) -> DataFrame:
     """Tag batch rows ``inserted``, ``Duplicate`` or ``already_written``.
 
-    Step 1 finds the target rows whose key occurs in the batch (a semi join
-    that builds on the batch keys, so the target is only scanned; the
-    month column is part of the key so partition pruning applies to a
-    partitioned target).  Step 2 joins those hits back to the batch.  A hit
-    written by this very query and batch id is a replay of a batch that
-    failed after its append, so it counts as written, not as a duplicate.
-    When ``batch`` already has an ``outcome`` column only its ``clean`` rows
-    are candidates; other rows keep their outcome.
+    A key that the target holds from this very query and batch id is a replay
+    of a batch that failed after its append, so it counts as written, not as a
+    duplicate.  When ``batch`` already has an ``outcome`` column only its
+    ``clean`` rows take part in the join; the others (whose keys may all be
+    null) go around it with their outcome.
     """
-    month = S.PARTITION_COLUMN
     classified = "outcome" in batch.columns
     candidates = batch.where(F.col("outcome") == S.OUTCOME_CLEAN) if classified else batch
-    keys = candidates.select(*key, month)
-    if _bounded(incoming_rows_bound):
-        keys = F.broadcast(keys)
     same = F.lit(False)
     if query_id is not None and "query_id" in target.columns:
         same = ((F.col("query_id") == F.lit(query_id))
                 & (F.col("batch_id") == F.lit(batch_id)))
-    lineage = [c for c in ("query_id", "batch_id") if c in target.columns]
-    hits = (target.select(*key, month, *lineage)
-            .join(keys, on=[*key, month], how="left_semi")
-            .groupBy(*key).agg(F.max(same.cast("int")).alias("_same")))
-    if _bounded(incoming_rows_bound):
-        hits = F.broadcast(hits)
+    hits = _present(candidates, target, key, _bounded(incoming_rows_bound), same)
     tag = (F.when(F.col("_same").isNull(), F.lit(OUTCOME_INSERTED))
            .when(F.col("_same") == 1, F.lit(OUTCOME_ALREADY))
            .otherwise(F.lit(OUTCOME_DUPLICATE)))
-    if classified:
-        tag = F.when(F.col("outcome") == S.OUTCOME_CLEAN, tag).otherwise(F.col("outcome"))
-    joined = batch.join(hits, on=list(key), how="left")
-    return joined.select(*[c for c in batch.columns if c != "outcome"], tag.alias("outcome"))
+    rest = [c for c in batch.columns if c != "outcome"]
+    marked = candidates.join(hits, on=list(key), how="left").select(*rest, tag.alias("outcome"))
+    if not classified:
+        return marked
+    return marked.unionByName(batch.where(F.col("outcome") != S.OUTCOME_CLEAN).select(*rest, "outcome"))
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, key=S.TRIPLE_KEY,
@@ -80,35 +99,34 @@ UPSERT_SET = ["Description", "Quantity", "UnitPrice", "TotalAmount"]
 UPSERT_KEEP = ["InvoiceDate", "CustomerID", "Country"]
 
 
-def _merge(rows: DataFrame, key, order) -> DataFrame:
-    return (rows.groupBy(*key)
-            .agg(F.min_by(F.struct(*UPSERT_KEEP), order).alias("_keep"),
-                 F.max_by(F.struct(*UPSERT_SET), order).alias("_set"))
-            .select(*key, "_keep.*", "_set.*")
-            .select(*S.STORE_COLUMNS))
-
-
 def upsert_latest(target: DataFrame, incoming: DataFrame, order_cols,
                   key=S.PAIR_KEY, incoming_rows_bound: int | None = None) -> DataFrame:
     """Apply incoming rows in arrival order as ``INSERT .. ON CONFLICT
     (pair) DO UPDATE SET Description, Quantity, UnitPrice, TotalAmount``.
 
-    Per key the kept columns come from the first writer (the existing row,
-    else the first incoming row) and the updated ones from the last incoming
-    row: a ``min_by``/``max_by`` aggregate over (version, arrival order),
-    combined map-side.  With a bounded incoming side only the touched target
-    rows are merged (broadcast semi/anti joins, the target is not shuffled);
-    otherwise one aggregate runs over the union.
+    Which rows change: a key that the target lacks gets one new row, with the
+    kept columns of its first and the updated ones of its last incoming row.
+    Of a key that the target holds, the row with the earliest InvoiceDate gets
+    the updated columns of the last incoming row; rows of the key at other
+    times, and rows of other keys, stay as they are.  Ties in arrival order are
+    decided by the rows' values.  The result doesn't depend on
+    ``incoming_rows_bound``: with a bound the incoming side is broadcast and the
+    target is not shuffled, without one it is joined.
     """
-    order = F.struct(F.col("_version"), *[F.col(c) for c in order_cols])
-    inc = incoming.select(*S.STORE_COLUMNS, *order_cols).withColumn("_version", F.lit(1))
-    tgt = target.select(*S.STORE_COLUMNS)
-    for c in order_cols:
-        tgt = tgt.withColumn(c, F.lit(None).cast(incoming.schema[c].dataType))
-    tgt = tgt.withColumn("_version", F.lit(0))
-    if not _bounded(incoming_rows_bound):
-        return _merge(tgt.unionByName(inc), key, order)
-    keys = F.broadcast(incoming.select(*key).distinct())
-    touched = tgt.join(keys, on=list(key), how="left_semi")
-    untouched = target.select(*S.STORE_COLUMNS).join(keys, on=list(key), how="left_anti")
-    return untouched.unionByName(_merge(touched.unionByName(inc), key, order))
+    place = F.struct(*[F.col(c) for c in order_cols])
+    value = F.struct(*S.STORE_COLUMNS)
+    change = (incoming.select(*S.STORE_COLUMNS, *order_cols).groupBy(*key)
+              .agg(F.min_by(F.struct(*UPSERT_KEEP), F.struct(place, value)).alias("_keep"),
+                   F.max_by(F.struct(*UPSERT_SET), F.struct(place, value)).alias("_set")))
+    hint = F.broadcast if _bounded(incoming_rows_bound) else lambda df: df
+    joined = target.select(*S.STORE_COLUMNS).join(hint(change.select(*key, "_set")), on=list(key), how="left")
+    touched = joined.where(F.col("_set").isNotNull())
+    first = touched.groupBy(*key).agg(F.min("InvoiceDate").alias("_first"))
+    now = touched.join(first, on=list(key), how="inner")
+    hit = F.col("InvoiceDate") == F.col("_first")
+    updated = now.select(*[F.when(hit, F.col(f"_set.{c}")).otherwise(F.col(c)).alias(c) if c in UPSERT_SET else F.col(c)
+                           for c in S.STORE_COLUMNS])
+    new = change.join(first.select(*key), on=list(key), how="left_anti")
+    return (joined.where(F.col("_set").isNull()).select(*S.STORE_COLUMNS)
+            .unionByName(updated)
+            .unionByName(new.select(*key, "_keep.*", "_set.*").select(*S.STORE_COLUMNS)))

@@ -9,8 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow import schema as S
-from tillflow.functions.scalar import window_bounds
+from tillflow.functions.scalar import month_text, window_bounds
 
 
 def ntz_literal(t: dt.datetime) -> F.Column:
@@ -19,10 +18,6 @@ def ntz_literal(t: dt.datetime) -> F.Column:
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def _month(t: dt.datetime) -> str:
-    return f"{t.year:04d}_{t.month:02d}"
-
-
 def time_window(df: DataFrame, duration: str, now: dt.datetime,
                 ts_col: str = "InvoiceDate", month_col: str | None = None) -> DataFrame:
     """Rows with ``lower <= ts <= now``; "All time" keeps every row."""
@@ -32,7 +27,7 @@ def time_window(df: DataFrame, duration: str, now: dt.datetime,
     lo, hi = bounds
     cond = (F.col(ts_col) >= ntz_literal(lo)) & (F.col(ts_col) <= ntz_literal(hi))
     if month_col:
-        cond = cond & F.col(month_col).between(_month(lo), _month(hi))
+        cond = cond & F.col(month_col).between(month_text(lo), month_text(hi))
     return df.where(cond)
 
 
@@ -42,7 +37,3 @@ def coerce_timestamp(df: DataFrame, col: str = "invoicedate") -> DataFrame:
     if dtype.startswith("timestamp"):
         return df
     return df.withColumn(col, F.try_to_timestamp(F.col(col).cast("string")).cast("timestamp_ntz"))
-
-
-def month_range_predicate(lo: dt.datetime, hi: dt.datetime, month_col: str = S.PARTITION_COLUMN):
-    return F.col(month_col).between(_month(lo), _month(hi))

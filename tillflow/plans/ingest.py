@@ -22,7 +22,7 @@ from tillflow.operators.clean import GROUP_ROWS, clean_events, route_and_dedupe
 from tillflow.operators.dlq import dlq_rows, stored_record_json
 from tillflow.operators.metrics import ingest_metrics
 from tillflow.operators.store import (
-    OUTCOME_DUPLICATE, OUTCOME_INSERTED, mark_present,
+    OUTCOME_DUPLICATE, OUTCOME_INSERTED, first_in_input, mark_present,
 )
 
 RESOLVED_COLUMNS = S.STORE_COLUMNS + [S.PARTITION_COLUMN, "outcome", "reason",
@@ -62,26 +62,34 @@ def ingest(validated: DataFrame, order_cols, scope_cols=(), target: DataFrame |
            allowed_months=None, incoming_rows_bound: int | None = None) -> IngestResult:
     """Classify validated events (see :mod:`tillflow.operators.validate`).
 
-    ``order_cols`` give arrival order inside a key (unique within a key),
-    ``scope_cols`` the dedupe scope (empty = the whole input is one batch).
-    ``target`` is the stored table for the insert-if-absent split; without
-    it every clean row is new.  One pass: one shuffle for the first-row
-    aggregate (all rows), plus the insert-if-absent join when there is a
-    target.
+    ``order_cols`` give arrival order inside a key (unique among a key's valid
+    rows), ``scope_cols`` the dedupe scope (empty = the whole input is one
+    batch).  ``target`` is the stored table for the insert-if-absent split;
+    without it every clean row is new.  With scopes, rows of one table key that
+    survive in several scopes meet the unique rule among themselves too: the first
+    by (scope, arrival) is the one that may be inserted, the rest are duplicates.
+    One pass: one shuffle for the first-row aggregate (all rows), plus joins of
+    the clean rows alone where there are scopes or a target.
     """
     grouped = route_and_dedupe(validated, order_cols, S.PAIR_KEY, scope_cols)
     classified = clean_events(grouped, allowed_months)
+    o = F.col("outcome")
+    if scope_cols:
+        flagged = first_in_input(classified.where(o == S.OUTCOME_CLEAN), [*scope_cols, *order_cols])
+        later = F.when(~F.col("_first"), F.lit(OUTCOME_DUPLICATE)).otherwise(o)
+        classified = (flagged.withColumn("outcome", later).drop("_first")
+                      .unionByName(classified.where(o != S.OUTCOME_CLEAN)))
     if target is None:
-        o = F.col("outcome")
-        resolved = classified.withColumn(
+        marked = classified.withColumn(
             "outcome", F.when(o == S.OUTCOME_CLEAN, F.lit(OUTCOME_INSERTED)).otherwise(o))
     else:
         marked = mark_present(classified, target, S.TRIPLE_KEY, incoming_rows_bound,
                               query_id, batch_id)
-        dup = F.col("outcome") == OUTCOME_DUPLICATE
-        resolved = marked.select(
+    if target is not None or scope_cols:
+        dup = o == OUTCOME_DUPLICATE
+        marked = marked.select(
             *[c for c in marked.columns if c not in ("reason", "error", "data")],
             F.when(dup, F.lit(S.REASON_DUPLICATE)).otherwise(F.col("reason")).alias("reason"),
             F.when(dup, F.lit(S.REASON_DUPLICATE)).otherwise(F.col("error")).alias("error"),
             F.when(dup, stored_record_json()).otherwise(F.col("data")).alias("data"))
-    return IngestResult(resolved.select(*RESOLVED_COLUMNS), query_id, batch_id)
+    return IngestResult(marked.select(*RESOLVED_COLUMNS), query_id, batch_id)

@@ -26,48 +26,67 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tillflow import schema as S
-from tillflow.functions.scalar import parse_invoice_ts
+from tillflow.functions.scalar import month_label, parse_invoice_ts
+from tillflow.operators.dlq import envelope_json
 from tillflow.operators.metrics import METRIC_COLUMNS
 from tillflow.plans.ingest import IngestResult, ingest
-from tillflow.plans.table import write_partitioned
-from tillflow.sources.files import append_backup_csv
+from tillflow.plans.table import register_partitions, write_partitioned
+from tillflow.sources.files import write_backup_csv, write_messages
 
 ROWS_PER_FILE = 2_000_000
+MAX_MONTHS = 240
+
+
+# Analysis errors that mean "no table yet"; any other one must surface, as
+# inserting without the target would store every duplicate again.
+NO_TABLE_YET = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 def read_target(spark: SparkSession, table_path: str) -> DataFrame | None:
     """The stored table, or None before the first write."""
     try:
         return spark.read.parquet(table_path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if (e.getCondition() or "") in NO_TABLE_YET:
+            return None
+        raise
 
 
 def prune_to_batch(target: DataFrame, validated: DataFrame) -> DataFrame:
-    """Static partition pruning: keep the target months the batch spans.
-    One global min/max row is read from the (persisted) batch."""
-    ts = parse_invoice_ts("InvoiceDate")
-    lo, hi = (validated.where(F.col("reason").isNull())
-              .agg(F.min(ts), F.max(ts)).first())
-    if lo is None:
-        return target.limit(0)
-    return target.where(F.col(S.PARTITION_COLUMN).between(
-        lo.strftime("%Y_%m"), hi.strftime("%Y_%m")))
+    """Static partition pruning: keep the months that occur in the batch.
+
+    The distinct months (as stored, from :func:`month_label`) of the
+    (persisted) batch reach the driver: at most MAX_MONTHS + 1 of them.  A batch
+    with more months than that reads the whole table."""
+    months = [r[0] for r in (validated.where(F.col("reason").isNull())
+                             .select(month_label(parse_invoice_ts("InvoiceDate")).alias("m"))
+                             .where("m is not null").distinct().limit(MAX_MONTHS + 1).collect())]
+    if len(months) > MAX_MONTHS:
+        return target
+    return target.where(F.col(S.PARTITION_COLUMN).isin(months)) if months else target.limit(0)
 
 
 def write_outcomes(spark: SparkSession, result: IngestResult, table_path: str,
                    dlq_path: str | None, metrics_path: str | None,
-                   backup_csv: str | None = None, rows_hint: int | None = None) -> dict:
+                   backup_csv: str | None = None, dlq_messages: str | None = None,
+                   table_name: str | None = None) -> dict:
     """Write stored rows, dead-letter rows and counters of one ingest pass;
-    ``result.resolved`` must already be materialized.  Returns the counters."""
+    ``result.resolved`` must already be materialized.  ``dlq_messages`` gets the
+    dead letters as envelope messages (S9), ``table_name`` is a table registered
+    at ``table_path`` whose new months are to become visible.  Returns the counters."""
     metrics = result.metrics().first().asDict()
     stored = result.stored()
     n_parts = max(1, (metrics["success"] - metrics["already_written"]) // ROWS_PER_FILE + 1)
     if metrics["success"] - metrics["already_written"] > 0:
         write_partitioned(stored, table_path, mode="append", num_partitions=n_parts)
+        if table_name:
+            register_partitions(spark, table_name)
     if dlq_path:
         (result.dlq().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("query_id", "batch_id", "reason").json(dlq_path))
+    if dlq_messages:
+        folder = f"{dlq_messages}/query_id={result.query_id}/batch_id={result.batch_id}"
+        write_messages(result.dlq().select(envelope_json().alias("value")), folder, mode="overwrite")
     if metrics_path:
         row = dict(metrics, query_id=result.query_id, batch_id=result.batch_id,
                    written_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -78,7 +97,7 @@ def write_outcomes(spark: SparkSession, result: IngestResult, table_path: str,
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("query_id", "batch_id").parquet(metrics_path))
     if backup_csv:
-        append_backup_csv(result.clean(), backup_csv)
+        write_backup_csv(result.clean(), backup_csv, result.query_id, result.batch_id)
     return metrics
 
 
@@ -86,7 +105,8 @@ def ingest_job(spark: SparkSession, validated: DataFrame, order_cols, table_path
                dlq_path: str | None = None, metrics_path: str | None = None,
                query_id: str = "batch", batch_id: int = 0, scope_cols=(),
                allowed_months=None, backup_csv: str | None = None,
-               incoming_rows_bound: int | None = None, prune_target: bool = False) -> dict:
+               incoming_rows_bound: int | None = None, prune_target: bool = False,
+               dlq_messages: str | None = None, table_name: str | None = None) -> dict:
     """Batch ingest of a whole input (S8 + S15 at scale).
 
     The resolved frame is checkpointed to the shared checkpoint folder
@@ -104,7 +124,8 @@ def ingest_job(spark: SparkSession, validated: DataFrame, order_cols, table_path
     result = ingest(validated, order_cols, scope_cols, target, query_id, batch_id,
                     allowed_months, incoming_rows_bound)
     result.resolved = result.resolved.checkpoint(eager=True)
-    return write_outcomes(spark, result, table_path, dlq_path, metrics_path, backup_csv)
+    return write_outcomes(spark, result, table_path, dlq_path, metrics_path, backup_csv,
+                          dlq_messages, table_name)
 
 
 def ingest_micro_batch(spark: SparkSession, validated: DataFrame, order_cols,

@@ -4,13 +4,32 @@ tables ``lineitem orders customer nation part events`` are views."""
 
 from __future__ import annotations
 
-from tillflow import schema as S
-from tillflow.functions.scalar import PY_WHITESPACE_CLASS
-from tillflow.plans.registry import (
-    EVENTS_NOW, LOADED_BEFORE, RETAIL_NOW, WINDOW_KEYS,
-)
-from tillflow.functions.scalar import window_bounds
-from tillflow.sources.tables import BAD_DATE_TEXT, FAULTS
+# Nothing here comes from the engine: the literals are written out, so that a
+# mistake in an engine constant shows as a mismatch.
+
+# The wire fields, the stored columns, the length limits.
+WIRE = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
+FLOATS = {"UnitPrice", "CustomerID"}
+STORED = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "TotalAmount"]
+LIMITS = {"InvoiceNo": 20, "StockCode": 20, "CustomerID": 20, "Country": 50}
+# Fault rules of the feed, (multiplier of the part key, modulus).
+FAULTS = {"desc_null": (3, 41), "desc_blank": (17, 97), "qty_neg": (5, 29), "price_neg": (7, 53), "cust_null": (11, 37),
+          "date_bad": (13, 59)}
+BAD_DATE_TEXT = "bad-date"
+LOADED_BEFORE = "1999-01-01 00:00:00"
+# Whitespace as Python's split() has it.
+PY_WHITESPACE_CLASS = (
+    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# Bounds of the dashboard windows that end at the two "now" times.
+RETAIL_WINDOWS = {
+    "30m": ("1996-12-14 13:52:00", "1996-12-14 14:22:00"), "1h": ("1996-12-14 13:22:00", "1996-12-14 14:22:00"),
+    "3h": ("1996-12-14 11:22:00", "1996-12-14 14:22:00"), "6h": ("1996-12-14 08:22:00", "1996-12-14 14:22:00"),
+    "24h": ("1996-12-13 14:22:00", "1996-12-14 14:22:00")}
+EVENTS_WINDOWS = {
+    "30m": ("2024-01-15 11:30:00", "2024-01-15 12:00:00"), "1h": ("2024-01-15 11:00:00", "2024-01-15 12:00:00"),
+    "3h": ("2024-01-15 09:00:00", "2024-01-15 12:00:00"), "6h": ("2024-01-15 06:00:00", "2024-01-15 12:00:00"),
+    "24h": ("2024-01-14 12:00:00", "2024-01-15 12:00:00")}
 
 
 def _hit(rule):
@@ -43,8 +62,8 @@ retail AS (
   LEFT JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 _NULL_CHECKS = ",\n     ".join(
-    f"CASE WHEN {n} IS NULL{' OR isnan(' + n + ')' if k == 'float' else ''} THEN '{n}:null' END"
-    for n, k in S.WIRE_FIELDS)
+    f"CASE WHEN {n} IS NULL{' OR isnan(' + n + ')' if n in FLOATS else ''} THEN '{n}:null' END"
+    for n in WIRE)
 
 VALIDATED = f"""
 validated AS (
@@ -55,7 +74,7 @@ valid AS (SELECT * EXCLUDE (error) FROM validated WHERE error = ''),
 kept AS (SELECT * FROM valid
          WHERE NOT (CustomerID IS NULL OR isnan(CustomerID) OR InvoiceDate IS NULL))"""
 
-RAW_JSON = ("to_json(struct_pack(" + ", ".join(f"{n} := {n}" for n in S.WIRE_NAMES) + "))")
+RAW_JSON = ("to_json(struct_pack(" + ", ".join(f"{n} := {n}" for n in WIRE) + "))")
 
 WINNERS = """
 ranked AS (
@@ -67,14 +86,19 @@ winners AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1)"""
 
 _LIMITS = ",\n       ".join(
     f"CASE WHEN length({'cust_text' if n == 'CustomerID' else n}) > {lim} THEN '{n}:length' END"
-    for n, lim in S.VARCHAR_LIMITS.items())
+    for n, lim in LIMITS.items())
+
+
+# The time of a text, within the range of 64-bit nanoseconds around 1970.
+TS = ("CASE WHEN try_strptime(text, '%Y-%m-%d %H:%M:%S') BETWEEN TIMESTAMP '1677-09-21 00:12:44' "
+      "AND TIMESTAMP '2262-04-11 23:47:16' THEN try_strptime(text, '%Y-%m-%d %H:%M:%S') END")
 
 
 def classify(name: str, src: str) -> str:
     """Clean chain over ``src`` -> CTE ``name`` with outcome and stored values."""
     return f"""
 {name}_staged AS (
-  SELECT *, try_strptime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS ts,
+  SELECT *, {TS.replace('text', 'InvoiceDate')} AS ts,
          TRY_CAST(Quantity AS INTEGER) AS qty_int,
          TRY_CAST(UnitPrice AS DECIMAL(10,2)) AS price_dec,
          TRY_CAST(Quantity * UnitPrice AS DECIMAL(10,2)) AS total_dec,
@@ -114,7 +138,7 @@ STORED_JSON = ("to_json(struct_pack(InvoiceNo := InvoiceNo, StockCode := StockCo
                "UnitPrice := CAST(price_dec AS DOUBLE), CustomerID := cust_text, "
                "Country := Country, TotalAmount := CAST(total_dec AS DOUBLE)))")
 
-STORE_COLS = ", ".join(S.STORE_COLUMNS)
+STORE_COLS = ", ".join(STORED)
 
 
 def _metrics_sql(with_target: bool) -> str:
@@ -136,15 +160,8 @@ SELECT (SELECT count(*) FROM retail) AS received,
        CAST(0 AS BIGINT) AS already_written"""
 
 
-def _ts(t) -> str:
-    return t.strftime("%Y-%m-%d %H:%M:%S")
-
-
-def _window_where(col: str, duration: str, now) -> str:
-    b = window_bounds(duration, now)
-    if b is None:
-        return "TRUE"
-    return f"{col} >= TIMESTAMP '{_ts(b[0])}' AND {col} <= TIMESTAMP '{_ts(b[1])}'"
+def _between(col: str, bounds) -> str:
+    return f"{col} >= TIMESTAMP '{bounds[0]}' AND {col} <= TIMESTAMP '{bounds[1]}'"
 
 
 KPI_FROM = """
@@ -165,6 +182,86 @@ WHERE category IS NOT NULL
 GROUP BY category ORDER BY revenue DESC, category ASC LIMIT {n}"""
 
 
+# Messages of which every 43rd key is malformed text.
+BAD_MESSAGE = "(CAST(InvoiceNo AS BIGINT) + 2 * CAST(StockCode AS BIGINT)) % 43 = 0"
+FAULTY = ("WITH " + RETAIL.replace("retail AS (", "every AS (", 1) + f""",
+retail AS (SELECT * FROM every WHERE NOT ({BAD_MESSAGE})),
+broken AS (SELECT '{{bad ' || InvoiceNo AS data FROM every WHERE {BAD_MESSAGE})""")
+
+# One dedupe scope a line number; among equal table keys the first by (scope, arrival) is inserted.
+SCOPED = ("WITH " + RETAIL + "," + VALIDATED + """,
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_linenumber, InvoiceNo, StockCode ORDER BY l_suppkey, l_extendedprice) AS rn,
+         count(*) OVER (PARTITION BY l_linenumber, InvoiceNo, StockCode) AS group_rows
+  FROM kept),
+winners AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1),""" + classify("classified0", "winners") + """,
+classified AS (
+  SELECT *, outcome = 'clean' AND row_number() OVER (
+    PARTITION BY outcome, InvoiceNo, StockCode, ts ORDER BY l_linenumber, l_suppkey, l_extendedprice) > 1 AS later
+  FROM classified0)""")
+
+
+def _counts(received: str, malformed: str, failed: str) -> str:
+    return f"""
+SELECT (SELECT count(*) FROM {received}) AS received,
+       (SELECT count(*) FROM {malformed}) AS malformed,
+       (SELECT count(*) FROM {malformed}) + (SELECT count(*) FROM validated WHERE error <> '') AS invalid,
+       (SELECT CAST(coalesce(sum(group_rows - 1), 0) AS BIGINT) FROM winners) AS in_batch_duplicates,
+       (SELECT count(*) FROM valid) - (SELECT count(*) FROM kept) AS null_dropped,
+       (SELECT count(*) FROM classified WHERE outcome = 'sign_drop') AS sign_dropped,
+       (SELECT count(*) FROM classified WHERE outcome = 'bad_date') AS bad_date,
+       (SELECT count(*) FROM classified WHERE outcome = 'store_reject') AS store_reject,
+       CAST(0 AS BIGINT) AS no_partition,
+       (SELECT count(*) FROM classified WHERE outcome = 'clean') AS processed,
+       (SELECT count(*) FROM classified WHERE outcome = 'clean') - {failed} AS success,
+       {failed} AS failed,
+       CAST(0 AS BIGINT) AS already_written"""
+
+
+def _messages() -> dict[str, str]:
+    k, p = "CAST(InvoiceNo AS BIGINT)", "CAST(StockCode AS BIGINT)"
+    later = "(SELECT count(*) FROM classified WHERE later)"
+    return {
+        "messages_faulty": FAULTY + "," + VALIDATED + "," + WINNERS + "," + CLEAN + _counts("every", "broken", "0"),
+        "messages_faulty_dlq": FAULTY + "\nSELECT 'malformed_json' AS error, 'malformed_json' AS reason, data FROM broken",
+        "dlq_envelope": FAULTY + """
+SELECT '{"error":"malformed_json","data":"' || data || '"}' AS envelope FROM broken""",
+        "messages_lax": "WITH " + RETAIL + f""",
+forms AS (SELECT *, ({k} + {p}) % 13 AS q, ({k} + 2 * {p}) % 11 AS u FROM retail),
+read AS (
+  SELECT InvoiceNo, StockCode, l_linenumber,
+    CAST(CASE WHEN q IN (0, 1, 2, 3, 10) THEN 6 WHEN q = 5 THEN 1000 WHEN q = 7 THEN 1 END AS BIGINT) AS Quantity,
+    CAST(CASE WHEN u IN (0, 1) THEN 2.5 WHEN u = 2 THEN 10 WHEN u = 4 THEN 2 WHEN u = 5 THEN 1000.5 WHEN u = 7 THEN 0
+         WHEN u = 10 THEN 0.5 END AS DOUBLE) AS UnitPrice, q, u FROM forms)
+SELECT InvoiceNo, StockCode, l_linenumber, Quantity, UnitPrice, concat_ws(';',
+  CASE WHEN q = 11 THEN 'Quantity:null' WHEN q IN (9, 12) THEN 'Quantity:fraction' WHEN Quantity IS NULL THEN 'Quantity:type' END,
+  CASE WHEN u = 9 THEN 'UnitPrice:null' WHEN UnitPrice IS NULL THEN 'UnitPrice:type' END) AS error
+FROM read""",
+        "permissive_decode": "WITH " + RETAIL + """
+SELECT l_linenumber, InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,
+       CAST(CustomerID AS VARCHAR) AS CustomerID, Country FROM retail""",
+        "dates_mixed": f"""WITH t AS (
+  SELECT o_orderkey, o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS m FROM orders),
+x AS (
+  SELECT o_orderkey, CASE o_orderkey % 7
+    WHEN 1 THEN strftime(m, '%Y-%-m-%-d %-H:%-M:%-S') WHEN 2 THEN strftime(m, '%Y-%m-%dT%H:%M:%S')
+    WHEN 3 THEN '0001' || strftime(m, '-%m-%d %H:%M:%S') WHEN 4 THEN '2999' || strftime(m, '-%m-%d %H:%M:%S')
+    WHEN 5 THEN strftime(m, '%Y-%m-%d') ELSE strftime(m, '%Y-%m-%d %H:%M:%S') END AS text FROM t)
+SELECT o_orderkey, text, {TS} AS ts FROM x""",
+        "scoped_metrics": SCOPED + _counts("retail", "(SELECT 1 WHERE false)", later),
+        "scoped_dlq": SCOPED + f"""
+SELECT 'Duplicate' AS error, 'Duplicate' AS reason, {STORED_JSON} AS data FROM classified WHERE later""",
+        "csv_roundtrip": "WITH " + RETAIL + f"""
+SELECT InvoiceNo, StockCode, CASE WHEN ({k} + {p}) % 7 = 0 THEN 'WHITE "HEART", ' || Description ELSE Description END AS Description,
+       Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM retail""",
+        "text_formats": BASE + """,
+top AS (SELECT Country AS country, CAST(sum(TotalAmount) AS DOUBLE) AS s FROM clean WHERE Country IS NOT NULL
+        GROUP BY Country ORDER BY s DESC, country ASC LIMIT 10)
+SELECT country, format('${:,.2f}', s) AS sales, format('{:,}', CAST(floor(s) AS BIGINT)) AS whole,
+       printf('%.1f%%', 100.0 * s / sum(s) OVER ()) AS share FROM top""",
+    }
+
+
 def _build() -> dict[str, str]:
     out = {
         "retail_raw": "WITH " + RETAIL + "\nSELECT * FROM retail",
@@ -185,11 +282,10 @@ UNION ALL
 SELECT store_err, 'store_reject', {RAW_JSON} FROM classified WHERE outcome = 'store_reject'
 UNION ALL
 SELECT 'Duplicate', 'Duplicate', {STORED_JSON} FROM dupes""",
-        "insert_if_absent": BASE + "," + EXISTING + """
-SELECT c.InvoiceNo, c.StockCode, c.InvoiceDate,
-       CASE WHEN e.InvoiceNo IS NULL THEN 'inserted' ELSE 'Duplicate' END AS outcome
-FROM clean c LEFT JOIN existing e
-  ON c.InvoiceNo = e.InvoiceNo AND c.StockCode = e.StockCode AND c.InvoiceDate = e.InvoiceDate""",
+        "insert_if_absent": "WITH " + RETAIL + """
+SELECT InvoiceNo, StockCode, InvoiceDate,
+       CASE WHEN bool_or(l_linenumber <= 4) THEN 'Duplicate' ELSE 'inserted' END AS outcome
+FROM retail GROUP BY InvoiceNo, StockCode, InvoiceDate""",
         "upsert_latest": BASE + "," + EXISTING + "," + classify("inc_all", "kept") + f""",
 incoming AS (
   SELECT InvoiceNo, StockCode, Description, qty_int AS Quantity, ts AS InvoiceDate,
@@ -243,13 +339,12 @@ SELECT invoice_month, count(*) AS n_rows FROM clean GROUP BY invoice_month""",
 SELECT InvoiceNo, StockCode, InvoiceDate, count(*) AS copies
 FROM retail GROUP BY InvoiceNo, StockCode, InvoiceDate HAVING count(*) > 1""",
     }
-    for k, d in WINDOW_KEYS.items():
-        if k == "all":
-            continue
-        out[f"kpi_window_{k}"] = BASE + KPI_FROM + " WHERE " + _window_where(
-            "InvoiceDate", d, RETAIL_NOW)
+    for k, bounds in RETAIL_WINDOWS.items():
+        out[f"kpi_window_{k}"] = BASE + KPI_FROM + " WHERE " + _between("InvoiceDate", bounds)
+    for k, bounds in EVENTS_WINDOWS.items():
         out[f"events_window_{k}"] = ("SELECT event_id, ts, user_id, event_type, value FROM events WHERE "
-                                     + _window_where("ts", d, EVENTS_NOW))
+                                     + _between("ts", bounds))
+    out.update(_messages())
     return out
 
 

@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schema as S
-from tillflow.functions.scalar import anchor_now
+from tillflow.functions.scalar import (
+    anchor_now, count_text, money_text, parse_invoice_ts, percent_text,
+)
 from tillflow.operators import aggregates as A
 from tillflow.operators.clean import clean_events, mark_missing_ids
 from tillflow.operators.store import mark_present, upsert_latest
-from tillflow.operators.validate import raw_record_json, validate_events, validate_messages
+from tillflow.operators.dlq import envelope_json
+from tillflow.operators.validate import decode_permissive, raw_record_json, validate_events, validate_messages
 from tillflow.operators.window import time_window
 from tillflow.plans import table as TBL
 from tillflow.plans.ingest import ingest
-from tillflow.sources.files import to_messages
+from tillflow.plans.table import write_partitioned
+from tillflow.session import shared_path
+from tillflow.sources.files import read_event_csv, read_messages_stream, to_messages, write_event_csv
 from tillflow.sources.tables import RETAIL_ORDER_COLS, read_table, retail_events
 
 # Fixed test parameters (shared with the SQL oracle).
@@ -26,8 +31,8 @@ from tillflow.sources.tables import RETAIL_ORDER_COLS, read_table, retail_events
 # LOADED_BEFORE; the re-delivered feed is the whole topic from the start.
 LOADED_BEFORE = "1999-01-01 00:00:00"
 # Dashboard "now" for the retail windows: the anchor day (P13) moved into
-# the data's years, time of day kept.
-RETAIL_NOW = anchor_now(dt.datetime(2024, 1, 1, 12, 0, 0), dt.date(1998, 8, 2))
+# the data's years, time of day kept; a time whose shortest window has orders.
+RETAIL_NOW = anchor_now(dt.datetime(2024, 1, 1, 14, 22, 0), dt.date(1996, 12, 14))
 # Dashboard "now" for the events table windows.
 EVENTS_NOW = dt.datetime(2024, 1, 15, 12, 0, 0)
 WINDOW_KEYS = {"30m": "30 minutes", "1h": "1 hour", "3h": "3 hours",
@@ -73,8 +78,18 @@ def _existing(spark: SparkSession, sf: str) -> DataFrame:
         F.col("InvoiceDate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz")))
 
 
+def stored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The month-partitioned table of one batch ingest: written once a session to
+    the shared checkpoint folder, and read by every dashboard query."""
+    def build():
+        path = shared_path(spark, "table")
+        write_partitioned(_ingested(spark, sf).stored(), path, mode="overwrite")
+        return spark.read.parquet(path)
+    return _memo(spark, sf, "table", build)
+
+
 def _dash(spark: SparkSession, sf: str) -> DataFrame:
-    return _memo(spark, sf, "dash", lambda: A.dashboard_frame(stored_rows(spark, sf)))
+    return _memo(spark, sf, "dash", lambda: A.dashboard_frame(stored_table(spark, sf)))
 
 
 def q_retail_raw(spark, sf):
@@ -98,14 +113,16 @@ def q_message_ingest(spark, sf):
     return res.stored().select(*S.STORE_COLUMNS, S.PARTITION_COLUMN)
 
 
-# The stream feed is cut into one file per shuffle partition (the setting a
-# cluster sizes to its data, so files grow neither with the data nor into
-# one task), drained in this many micro-batches.
-STREAM_BATCHES = 2
+# The stream feed is cut into files of at most this many events, and a
+# micro-batch takes a fixed number of files (T1): batches are bounded by
+# events, and their number grows with the feed.
+STREAM_FILE_EVENTS = 100_000
+STREAM_BATCH_FILES = 4
+STREAM_LEAST_FILES = 2 * STREAM_BATCH_FILES
 
 
-def _stream_files(spark: SparkSession) -> int:
-    return max(STREAM_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _stream_files(feed: DataFrame) -> int:
+    return max(STREAM_LEAST_FILES, -(-feed.count() // STREAM_FILE_EVENTS))
 
 
 def q_stream_ingest(spark, sf):
@@ -116,15 +133,13 @@ def q_stream_ingest(spark, sf):
     micro-batches of a few files into a fresh month-partitioned table.
     Dedupe per micro-batch then equals dedupe over the whole feed, so the
     table must equal ``clean_rows``."""
-    from tillflow.session import shared_path
-    from tillflow.sources.files import read_messages_stream
     from tillflow.streaming.ingest import start_ingest
     root = shared_path(spark, "stream_ingest")
-    files = _stream_files(spark)
+    files = _stream_files(_feed(spark, sf))
     feed = (_feed(spark, sf).repartition(files, *S.PAIR_KEY)
             .sortWithinPartitions("InvoiceNo", "StockCode", *RETAIL_ORDER_COLS))
     to_messages(feed).write.text(f"{root}/src")
-    q = start_ingest(read_messages_stream(spark, f"{root}/src", -(-files // STREAM_BATCHES)),
+    q = start_ingest(read_messages_stream(spark, f"{root}/src", STREAM_BATCH_FILES),
                      f"{root}/table", f"{root}/ckpt", dlq_path=f"{root}/dlq",
                      metrics_path=f"{root}/metrics", available_now=True)
     q.awaitTermination()
@@ -146,11 +161,114 @@ def q_dlq_all(spark, sf):
 
 
 def q_insert_if_absent(spark, sf):
-    incoming = stored_rows(spark, sf)
-    marked = mark_present(incoming, _existing(spark, sf))
+    """Distinct feed keys against a table of those with an early line: other rows
+    of the same key are present, the rest is new (J1 on its key alone)."""
+    rows = _feed(spark, sf).withColumn(S.PARTITION_COLUMN, F.substring("InvoiceDate", 1, 7))
+    keys = [*S.TRIPLE_KEY, S.PARTITION_COLUMN]
+    marked = mark_present(rows.select(*keys).distinct(), rows.where("l_linenumber <= 4").select(*keys))
     return marked.select("InvoiceNo", "StockCode", "InvoiceDate", "outcome")
 
 
+# Faults of the message queries: k and p are the numbers in InvoiceNo and StockCode.
+def _key_rule(mult: int, mod: int) -> F.Column:
+    return (F.col("InvoiceNo").cast("bigint") + F.lit(mult) * F.col("StockCode").cast("bigint")) % mod
+
+
+def _faulty_messages(spark, sf):
+    """Messages of which every 43rd key is cut to malformed text; those all have one arrival order."""
+    feed = _feed(spark, sf)
+    bad = _key_rule(2, 43) == 0
+    text = to_messages(feed, ["InvoiceNo", "StockCode", *RETAIL_ORDER_COLS])
+    return text.select(F.when(bad, F.concat(F.lit("{bad "), F.col("InvoiceNo"))).otherwise(F.col("value")).alias("value"),
+                       *[F.when(~bad, F.col(c)).alias(c) for c in RETAIL_ORDER_COLS])
+
+
+def _faulty(spark, sf):
+    return _memo(spark, sf, "faulty", lambda: ingest(
+        validate_messages(_faulty_messages(spark, sf)), RETAIL_ORDER_COLS))
+
+
+def q_messages_faulty(spark, sf):
+    return _faulty(spark, sf).metrics()
+
+
+def q_messages_faulty_dlq(spark, sf):
+    return _faulty(spark, sf).dlq().where(F.col("reason") == S.REASON_MALFORMED).select("error", "reason", "data")
+
+
+def q_dlq_envelope(spark, sf):
+    """Envelopes of malformed messages, whose text travels as a JSON string."""
+    return (_faulty(spark, sf).dlq().where(F.col("reason") == S.REASON_MALFORMED)
+            .select(envelope_json().alias("envelope")))
+
+
+def q_messages_lax(spark, sf):
+    """Numbers as text, with blanks, underscores, fractions, exponents and booleans."""
+    feed = _feed(spark, sf)
+    def pick(rule, forms):
+        out = F.lit(forms[0])
+        for i, form in enumerate(forms):
+            out = F.when(rule == i, F.lit(form)).otherwise(out)
+        return out
+    qty = pick(_key_rule(1, 13), ['6', '"6"', '" 6 "', '"6.0"', '"6d"', '"1_000"', '"6."', 'true', '"0x1p3"', '6.5', '6.0', 'null', '"6.5"'])
+    price = pick(_key_rule(2, 11), ['2.5', '"2.5"', '"1e1"', '"0x1p3"', '"2."', '"1_000.5"', '"2f"', 'false', '"x"', 'null', '".5"'])
+    text = F.concat(F.lit('{"InvoiceNo":"'), "InvoiceNo", F.lit('","StockCode":"'), "StockCode",
+                    F.lit('","Description":"d","Quantity":'), qty,
+                    F.lit(',"InvoiceDate":"2010-12-01 08:26:00","UnitPrice":'), price,
+                    F.lit(',"CustomerID":1,"Country":"UK"}'))
+    got = validate_messages(feed.select("l_linenumber", text.alias("value")))
+    return got.select("InvoiceNo", "StockCode", "l_linenumber", "Quantity", "UnitPrice", "error")
+
+
+def q_permissive_decode(spark, sf):
+    """P2 over the feed's messages."""
+    return decode_permissive(to_messages(_feed(spark, sf), ["l_linenumber"]))
+
+
+def q_dates_mixed(spark, sf):
+    """F1 on one-digit fields, other forms, and years outside the range."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    ts = F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
+    k = F.col("o_orderkey") % 7
+    text = (F.when(k == 1, F.date_format(ts, "yyyy-M-d H:m:s"))
+            .when(k == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+            .when(k == 3, F.concat(F.lit("0001"), F.date_format(ts, "-MM-dd HH:mm:ss")))
+            .when(k == 4, F.concat(F.lit("2999"), F.date_format(ts, "-MM-dd HH:mm:ss")))
+            .when(k == 5, F.date_format(ts, "yyyy-MM-dd"))
+            .otherwise(F.date_format(ts, S.WIRE_TS_FORMAT)))
+    return o.select("o_orderkey", text.alias("text")).select("o_orderkey", "text", parse_invoice_ts("text").alias("ts"))
+
+
+def _scoped(spark, sf):
+    return _memo(spark, sf, "scoped", lambda: ingest(
+        _validated(spark, sf).withColumn("scope", F.col("l_linenumber")), RETAIL_ORDER_COLS, scope_cols=["scope"]))
+
+
+def q_scoped_metrics(spark, sf):
+    """Dedupe scopes (a line number each): a key that survives in two scopes is inserted once."""
+    return _scoped(spark, sf).metrics()
+
+
+def q_scoped_dlq(spark, sf):
+    return _scoped(spark, sf).dlq().where(F.col("reason") == S.REASON_DUPLICATE).select("error", "reason", "data")
+
+
+def q_csv_roundtrip(spark, sf):
+    """The feed as replay CSV, with quotes and commas in descriptions, read back."""
+    path = shared_path(spark, "csv")
+    feed = _feed(spark, sf).withColumn("Description", F.when(
+        _key_rule(1, 7) == 0, F.concat(F.lit('WHITE "HEART", '), F.col("Description"))).otherwise(F.col("Description")))
+    write_event_csv(feed, path)
+    return read_event_csv(spark, path)
+
+
+def q_text_formats(spark, sf):
+    """the dashboard's money, count and percent texts per country."""
+    share = A.country_share(_dash(spark, sf))
+    return share.select("country", money_text("sales").alias("sales"), count_text(F.floor("sales")).alias("whole"),
+                        percent_text("share_pct").alias("share"))
+
+
 def q_upsert_latest(spark, sf):
     """Every clean feed row (no dedupe) applied in arrival order onto the
     rows loaded before the cut."""
@@ -185,15 +303,15 @@ def q_category_sales_top5(spark, sf):
 
 
 def q_row_count(spark, sf):
-    return A.row_count(stored_rows(spark, sf))
+    return A.row_count(stored_table(spark, sf))
 
 
 def q_month_partitions(spark, sf):
-    return TBL.month_partitions(stored_rows(spark, sf))
+    return TBL.month_partitions(stored_table(spark, sf))
 
 
 def q_month_rows(spark, sf):
-    return TBL.month_rows(stored_rows(spark, sf))
+    return TBL.month_rows(stored_table(spark, sf))
 
 
 def q_unique_violations(spark, sf):
@@ -203,7 +321,7 @@ def q_unique_violations(spark, sf):
 
 def _retail_window_kpi(duration):
     def q(spark, sf):
-        framed = time_window(stored_rows(spark, sf), duration, RETAIL_NOW,
+        framed = time_window(stored_table(spark, sf), duration, RETAIL_NOW,
                              "InvoiceDate", S.PARTITION_COLUMN)
         return A.kpi(A.dashboard_frame(framed))
     return q
@@ -239,6 +357,16 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_partitions": q_month_partitions,
         "month_rows": q_month_rows,
         "unique_violations": q_unique_violations,
+        "messages_faulty": q_messages_faulty,
+        "messages_faulty_dlq": q_messages_faulty_dlq,
+        "messages_lax": q_messages_lax,
+        "dlq_envelope": q_dlq_envelope,
+        "permissive_decode": q_permissive_decode,
+        "dates_mixed": q_dates_mixed,
+        "scoped_metrics": q_scoped_metrics,
+        "scoped_dlq": q_scoped_dlq,
+        "csv_roundtrip": q_csv_roundtrip,
+        "text_formats": q_text_formats,
     }
     for k, d in WINDOW_KEYS.items():
         if k != "all":

@@ -54,6 +54,12 @@ def create_table(spark: SparkSession, name: str, location: str | None = None) ->
               f"{S.PARTITION_COLUMN} string) USING parquet PARTITIONED BY ({S.PARTITION_COLUMN}){loc}")
 
 
+def register_partitions(spark: SparkSession, name: str) -> None:
+    """Make months that were written by path visible through the table's name."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def swap_tables(spark: SparkSession, old: str, new: str, archive: str) -> None:
     """Old -> archive, new -> old."""
     spark.sql(f"ALTER TABLE {old} RENAME TO {archive}")
@@ -81,7 +87,3 @@ def write_partitioned(stored: DataFrame, path: str, mode: str = "append",
     """Bulk copy into the month-partitioned table."""
     (layout_for_write(stored.select(*S.TABLE_COLUMNS), num_partitions)
      .write.mode(mode).partitionBy(S.PARTITION_COLUMN).parquet(path))
-
-
-def read_table_path(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -80,6 +80,9 @@ DASHBOARD_COLUMNS = {
 
 # Timestamp text format of the wire and of the DLQ record.
 WIRE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+WIRE_TS_PARSE_FORMAT = "yyyy-M-d H:m:s"
+# The whole seconds that 64-bit nanoseconds around 1970 can hold.
+TS_RANGE = ("1677-09-21 00:12:44", "2262-04-11 23:47:16")
 ISO_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 # Dead-letter reasons.

@@ -13,17 +13,34 @@ from tillflow.functions.scalar import row_to_json
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 
 
-def read_event_csv(spark: SparkSession, path: str) -> DataFrame:
+# Cell texts that the reference's CSV reader takes for null.
+NULL_CELLS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def read_event_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Replay CSV with its unnamed index column dropped.
 
     The schema is explicit (no inference pass over the data); the header row
-    is skipped, so the empty index header does not matter.  Files split by
-    byte range across tasks.
+    is skipped, so the empty index header does not matter.  A quote inside a quoted
+    cell is doubled.  Files split by byte range across tasks; with ``multi_line``
+    cells may hold line breaks, and a file is then read by one task.
     """
-    return (spark.read.schema(S.CSV_SCHEMA)
+    rows = (spark.read.schema(S.CSV_SCHEMA)
             .option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
             .csv(path)
             .drop(S.CSV_INDEX_COLUMN))
+    texts = {n for n, kind in S.WIRE_FIELDS if kind == "str"}
+    return rows.select(*[F.when(~F.col(c).isin(NULL_CELLS), F.col(c)).alias(c) if c in texts else F.col(c)
+                         for c in rows.columns])
+
+
+def write_event_csv(events: DataFrame, path: str) -> None:
+    """The replay CSV's form: an index column without a name, then the eight fields."""
+    (events.select(F.monotonically_increasing_id().alias(S.CSV_INDEX_COLUMN), *S.WIRE_NAMES)
+     .write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def to_messages(events: DataFrame, extra_cols=()) -> DataFrame:
@@ -55,11 +72,13 @@ def read_messages_stream(spark: SparkSession, path: str,
             .withColumn("source_mtime", F.col("_metadata.file_modification_time")))
 
 
-def append_backup_csv(clean: DataFrame, path: str) -> None:
-    """Every cleaned row, appended as CSV without a header."""
+def write_backup_csv(clean: DataFrame, path: str, query_id: str | None, batch_id: int | None) -> None:
+    """Every cleaned row as CSV without a header.  Each batch has a folder
+    of its own, which a replay of the batch replaces."""
     (clean.select(*S.STORE_COLUMNS)
      .withColumn("InvoiceDate", F.date_format("InvoiceDate", S.WIRE_TS_FORMAT))
-     .write.mode("append").option("header", False).csv(path))
+     .write.mode("overwrite").option("header", False)
+     .csv(f"{path}/query_id={query_id}/batch_id={batch_id}"))
 
 
 def csv_stream_sink(stream: DataFrame, path: str, checkpoint: str):
