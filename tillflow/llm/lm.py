@@ -48,7 +48,7 @@ CLASSES = 32
 TOKEN1, TOKEN2 = 1 << 13, 1 << 12
 PAIR = CLASSES * CLASSES
 FEATURES = TOKEN1 + TOKEN2 + 2 * PAIR
-BATCH, RATE = 8192, 0.15
+BATCH, RATE, DAMP = 8192, 0.2, 4.0
 #: Slices of the weight table and tasks whose slices one sum takes.
 SLICES, WIDE = 16, 64
 
@@ -168,7 +168,7 @@ def descend(weights: np.ndarray, power: np.ndarray, f: np.ndarray, target: np.nd
             g = np.add.reduceat(x[order], first, axis=0)
             name = name[first]
             power[name] += g * g
-            weights[name] -= RATE * g / np.sqrt(power[name] + 1e-3)
+            weights[name] -= RATE * g / np.sqrt(power[name] + DAMP)
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
