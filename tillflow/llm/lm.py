@@ -43,7 +43,7 @@ from tillflow.llm.toxicity import in_fold
 from tillflow.session import shared_path
 
 CHUNK_BYTES = 12 << 20
-CLASSES = 32
+CLASSES = 64
 #: Rows of the weight table: previous token, the one before, their classes, the classes before those.
 TOKEN1, TOKEN2 = 1 << 13, 1 << 12
 PAIR = CLASSES * CLASSES
