@@ -116,7 +116,18 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(_BYTE[data], starts, ends)
+    """Hash of each span of bytes; much data is taken in blocks, so that memory stays small."""
+    if len(data) <= 2 * STEP_BYTES:
+        return span_hash(_BYTE[data], starts, ends)
+    out = np.empty(len(starts), np.uint64)
+    order = np.argsort(starts, kind="stable")
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + STEP_BYTES, STEP_BYTES))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        if hi > lo:
+            own = order[lo:hi]
+            a, b = int(starts[own[0]]), int(ends[own].max())
+            out[own] = span_hash(_BYTE[data[a:b]], starts[own] - a, ends[own] - a)
+    return out
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ most toxic window. The word's share of the recurrent input is computed once per
 distinct word, so a step is one gather and one small matrix product.
 
 Training: a bounded sample of labelled rows (MAX_PER_CLASS a label, chosen by hash of
-the id) is fetched to the driver and trained there in numpy with Adam. Only the
+the id) goes to one task and is trained there in numpy with Adam. Only the
 text's label is known, so in each epoch a text is represented by the windows that the
 model of the epoch before holds most toxic. The log-odds of a text's words leave
 out its own fold. The finished model is a few hundred KB, whatever the input, and goes to
@@ -24,6 +24,7 @@ scored alike; further columns are not read by ``scores`` and are kept by ``keep_
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +36,9 @@ from tillflow.llm import textnp as T
 
 THRESHOLD = 0.7
 #: Labelled rows learned from, a label at most. The bound of the training sample.
-MAX_PER_CLASS = 1500
+MAX_PER_CLASS = 1000
 #: Windows of a training text that are kept at hand (chosen by hash); scoring uses all.
-MAX_TRAIN_WINDOWS = 64
+MAX_TRAIN_WINDOWS = 48
 LENGTH, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 5
 WORD_SLOTS, CHAR_SLOTS = 1 << 13, 1 << 11
@@ -47,6 +48,9 @@ PREFIXES, GRAM = (4, 5, 6), 5
 ODDS = 2 + len(PREFIXES)
 
 _U = np.uint64
+#: Bits for the number of a training text; 2 * MAX_PER_CLASS must fit.
+DOC_BITS = 14
+_DOC = _U((1 << DOC_BITS) - 1)
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -106,17 +110,15 @@ class Lexicon:
         rows.append(np.maximum.reduceat(_look(names, values, self.gram_hashes), self.gram_begin))
         return np.stack(rows, 1)
 
-    def features(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (feature, text) pairs, as two columns."""
-        pair = np.unique(np.stack([self.index, doc], 1), axis=0)
-        parts = [np.stack([h[pair[:, 0]], pair[:, 1].astype(np.uint64)], 1) for h in self.kinds]
-        many = np.diff(np.append(self.gram_begin, len(self.gram_hashes)))[pair[:, 0]]
-        at = T.ragged(self.gram_begin[pair[:, 0]], many)
-        parts.append(np.stack([self.gram_hashes[at], np.repeat(pair[:, 1], many).astype(np.uint64)], 1))
-        both = np.concatenate(parts)
-        both = both[np.lexsort((both[:, 1], both[:, 0]))]
-        both = both[np.concatenate([[True], (both[1:] != both[:-1]).any(1)])] if len(both) else both
-        return both[:, 0], both[:, 1].astype(np.int64)
+    def features(self, doc: np.ndarray) -> np.ndarray:
+        """Distinct (feature, text) pairs, sorted: the feature's hash, its last DOC_BITS bits the text number."""
+        pair = np.unique(self.index.astype(np.uint64) << _U(DOC_BITS) | doc.astype(np.uint64))
+        word, number = (pair >> _U(DOC_BITS)).astype(np.int64), pair & _DOC
+        parts = [np.unique(h[word] & ~_DOC | number) for h in self.kinds]
+        many = np.diff(np.append(self.gram_begin, len(self.gram_hashes)))[word]
+        at = T.ragged(self.gram_begin[word], many)
+        parts.append(np.unique(self.gram_hashes[at] & ~_DOC | np.repeat(number, many)))
+        return np.sort(np.concatenate(parts))
 
     def char_part(self, table: np.ndarray) -> np.ndarray:
         if len(self.begin) == 0:
@@ -130,9 +132,9 @@ def windows(doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(count) - count
     many = 1 + np.maximum(0, -(-(count - LENGTH) // STRIDE))
     owner = np.repeat(np.arange(n), many)
-    begin = (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * STRIDE
-    place = begin[:, None] + np.arange(LENGTH)
-    return np.where(place < count[owner][:, None], first[owner][:, None] + place, -1), owner
+    begin = ((np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * STRIDE).astype(np.int32)
+    place = begin[:, None] + np.arange(LENGTH, dtype=np.int32)
+    return np.where(place < count[owner][:, None], first[owner].astype(np.int32)[:, None] + place, np.int32(-1)), owner
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -274,13 +276,13 @@ def _back(p: dict, h, a, pooled, there, tapes, err) -> tuple[dict, dict]:
     return grad, gates
 
 
-def log_odds(h: np.ndarray, doc: np.ndarray, y: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def log_odds(pairs: np.ndarray, y: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features of LEAST_SEEN texts or more among ``use``, and the log-odds of standing in a toxic one,
-    drawn towards 0 by DOUBT standard errors. ``h`` is sorted; (h, doc) has no repeats."""
-    pick = use[doc]
-    h, doc = h[pick], doc[pick]
-    if len(h) == 0:
+    drawn towards 0 by DOUBT standard errors. ``pairs`` are those of Lexicon.features."""
+    pairs = pairs[use[(pairs & _DOC).astype(np.int64)]]
+    if len(pairs) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    h, doc = pairs & ~_DOC, (pairs & _DOC).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     seen = np.diff(np.append(first, len(h)))
     pos = np.add.reduceat(y[doc], first)
@@ -294,6 +296,7 @@ def log_odds(h: np.ndarray, doc: np.ndarray, y: np.ndarray, use: np.ndarray) ->
 def _look(names: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
     if len(names) == 0:
         return np.zeros(len(h), np.float32)
+    h = h & ~_DOC
     at = np.minimum(np.searchsorted(names, h), len(names) - 1)
     return np.where(names[at] == h, values[at], np.float32(0))
 
@@ -312,10 +315,10 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> dict[str, np.ndarray]:
     rank = np.arange(len(owner)) - np.searchsorted(owner[keep], owner[keep])
     keep = np.sort(keep[rank < MAX_TRAIN_WINDOWS])
     ids, owner = ids[keep], owner[keep]
-    ids = np.where(ids >= 0, lex.index[np.maximum(ids, 0)], -1) if len(lex.index) else ids
+    ids = np.where(ids >= 0, lex.index[np.maximum(ids, 0)], -1).astype(np.int32) if len(lex.index) else ids
     fold = (np.arange(len(rows)) * 7919 % 104729) % FOLDS
-    h, at = lex.features(doc)
-    z = np.stack([lex.odds(*log_odds(h, at, y, fold != k)) for k in range(FOLDS)])
+    pairs = lex.features(doc)
+    z = np.stack([lex.odds(*log_odds(pairs, y, fold != k)) for k in range(FOLDS)])
     p = _fresh(rng)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
     t = 0
@@ -323,7 +326,8 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> dict[str, np.ndarray]:
     def gate_input(k: int) -> np.ndarray:
         return np.concatenate([z[k], p["Ew"][lex.slots], lex.char_part(p["Ec"])], axis=1)
 
-    peak = np.where(ids >= 0, z[fold[owner][:, None], np.maximum(ids, 0)].max(2), 0).max(1).astype(np.float64)
+    top = z.max(2)
+    peak = np.where(ids >= 0, top[fold[owner][:, None], np.maximum(ids, 0)], 0).max(1).astype(np.float64)
     for epoch in range(EPOCHS):
         order = np.lexsort((-peak, owner))
         place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
@@ -374,9 +378,10 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> dict[str, np.ndarray]:
             for k in range(FOLDS):
                 mine = np.flatnonzero(fold[owner] == k)
                 table = _tables(p, gate_input(k).astype(np.float32))
-                for lo in range(0, len(mine), 8192):
-                    peak[mine[lo: lo + 8192]] = forward(p, table, ids[mine[lo: lo + 8192]])[0]
-    names, values = log_odds(h, at, y, np.ones(len(rows), bool))
+                quick = _quick(p, table)
+                for lo in range(0, len(mine), 1024):
+                    peak[mine[lo: lo + 1024]] = infer(p, quick, ids[mine[lo: lo + 1024]])
+    names, values = log_odds(pairs, y, np.ones(len(rows), bool))
     p["names"], p["values"] = names, values
     return p
 
@@ -406,8 +411,8 @@ def in_fold(fold: int, of: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(of)) == fold, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled texts a label, outside the held-out third: the first by hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> DataFrame:
+    """(doc_id, text, toxic, spot): about 1.2 x ``per_class`` labelled texts a label at most, outside the held-out third."""
     known = (labels.filter("doc_id is not null and toxic in (0, 1)").filter(~in_fold(1, 3))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     spot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(97)), F.lit(1 << 30))
@@ -415,15 +420,23 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -
     share = F.lit(0)
     for label, count in sizes.items():
         share = F.when(F.col("toxic") == label, F.lit(int(min(1.0, 1.2 * per_class / count) * (1 << 30)))).otherwise(share)
-    few = known.filter(spot < share).select("doc_id", "toxic", spot.alias("spot"))  # about 1.2 x per_class a label
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").collect()
-    rows.sort(key=lambda r: (r["spot"], r["doc_id"], r["text"] or ""))
-    out, seen = [], {0: 0, 1: 0}
-    for r in rows:
-        seen[r["toxic"]] += 1
-        if seen[r["toxic"]] <= per_class:
-            out.append((r["text"] or "", r["toxic"]))
-    return out
+    few = known.filter(spot < share).select("doc_id", "toxic", spot.alias("spot"))
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic", "spot")
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> dict:
+    """The model of the bounded sample, trained in one task: the first ``per_class`` texts a label by hash of the id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["spot"], r["doc_id"], r["text"] or "", r["toxic"]) for b in batches for r in b.to_pylist())
+        seen, some = {0: 0, 1: 0}, []
+        for _, _, text, label in rows:
+            seen[label] += 1
+            if seen[label] <= per_class:
+                some.append((text, label))
+        del rows
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(some))], pa.binary())], ["model"])
+    got = sample(docs, labels, per_class).repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else {}
 
 
 def _score_column(docs: DataFrame, model: dict, columns: list[str], out: str) -> DataFrame:
@@ -443,14 +456,14 @@ def _score_column(docs: DataFrame, model: dict, columns: list[str], out: str) ->
 def scores(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> DataFrame:
     """The contract's row per document."""
     docs = docs.select("doc_id", "text")
-    model = train(sample(docs, labels, per_class))
+    model = fit(docs, labels, per_class)
     return _score_column(docs, model, ["doc_id"], "score").select(
         "doc_id", in_fold(1, 3).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns unchanged."""
-    model = train(sample(docs, labels))
+    model = fit(docs, labels)
     own = [c for c in docs.columns if c != "__score"]
     return _score_column(docs.select(*[f"`{c}`" for c in own]), model, own, "__score").filter(
         F.col("__score") < THRESHOLD).drop("__score")
