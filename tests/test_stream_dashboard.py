@@ -9,7 +9,7 @@ from tillflow.plans.jobs import ingest_job
 from tillflow.operators.validate import validate_events
 from tillflow.sources.files import csv_stream_sink, read_messages_stream, to_messages
 from tillflow.sources.tables import RETAIL_ORDER_COLS, retail_events
-from tillflow.streaming.dashboard import country_share_from, start_dashboard
+from tillflow.streaming.dashboard import country_share_from, start_dashboard, start_windowed_dashboard
 from tillflow.streaming.dedupe import distinct_unbounded, distinct_within_watermark
 
 
@@ -32,6 +32,24 @@ def test_dashboard_stream_matches_batch(spark, scratch):
     assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
 
 
+def test_windowed_dashboard_refreshes_over_the_chosen_duration(spark, scratch):
+    table = f"{scratch}/table"
+    ingest_job(spark, validate_events(retail_events(spark, SF_SMALL)), RETAIL_ORDER_COLS, table)
+    rows = spark.read.parquet(table)
+    now = rows.agg(F.max("InvoiceDate")).first()[0]
+    seen = {}
+
+    def on_refresh(frames, batch_id):
+        seen[batch_id] = {k: v.collect() for k, v in frames.items()}
+    q = start_windowed_dashboard(spark, table, f"{scratch}/ckpt", "24 hours", on_refresh, now=lambda: now, available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None and seen
+    frame = A.dashboard_frame(rows.where(F.col("InvoiceDate") >= F.lit(now) - F.expr("INTERVAL 24 HOURS")))
+    last = seen[max(seen)]
+    assert last["kpi"] == A.kpi(frame).collect() and last["kpi"][0]["total_transactions"] > 0
+    assert last["category_sales"] == A.category_sales(frame).collect()
+
+
 def _events_stream(spark, scratch):
     src = f"{scratch}/src"
     ev = retail_events(spark, SF_SMALL)

@@ -248,6 +248,9 @@ x AS (
     WHEN 3 THEN '0001' || strftime(m, '-%m-%d %H:%M:%S') WHEN 4 THEN '2999' || strftime(m, '-%m-%d %H:%M:%S')
     WHEN 5 THEN strftime(m, '%Y-%m-%d') ELSE strftime(m, '%Y-%m-%d %H:%M:%S') END AS text FROM t)
 SELECT o_orderkey, text, {TS} AS ts FROM x""",
+        "coerced_window": """
+SELECT event_id, date_trunc('second', ts) AS invoicedate FROM events WHERE event_id % 5 <> 0 AND """
+                          + _between("date_trunc('second', ts)", EVENTS_WINDOWS["24h"]),
         "scoped_metrics": SCOPED + _counts("retail", "(SELECT 1 WHERE false)", later),
         "scoped_dlq": SCOPED + f"""
 SELECT 'Duplicate' AS error, 'Duplicate' AS reason, {STORED_JSON} AS data FROM classified WHERE later""",

@@ -18,7 +18,7 @@ from tillflow.operators.clean import clean_events, mark_missing_ids
 from tillflow.operators.store import mark_present, upsert_latest
 from tillflow.operators.dlq import envelope_json
 from tillflow.operators.validate import decode_permissive, raw_record_json, validate_events, validate_messages
-from tillflow.operators.window import time_window
+from tillflow.operators.window import coerce_timestamp, time_window
 from tillflow.plans import table as TBL
 from tillflow.plans.ingest import ingest
 from tillflow.plans.table import write_partitioned
@@ -239,6 +239,14 @@ def q_dates_mixed(spark, sf):
     return o.select("o_orderkey", text.alias("text")).select("o_orderkey", "text", parse_invoice_ts("text").alias("ts"))
 
 
+def q_coerced_window(spark, sf):
+    """Event times as text, some of it no time, coerced before the window."""
+    ev = read_table(spark, sf, "events")
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    coerced = coerce_timestamp(ev.select("event_id", text.alias("invoicedate")))
+    return time_window(coerced, "24 hours", EVENTS_NOW, "invoicedate")
+
+
 def _scoped(spark, sf):
     return _memo(spark, sf, "scoped", lambda: ingest(
         _validated(spark, sf).withColumn("scope", F.col("l_linenumber")), RETAIL_ORDER_COLS, scope_cols=["scope"]))
@@ -363,6 +371,7 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dlq_envelope": q_dlq_envelope,
         "permissive_decode": q_permissive_decode,
         "dates_mixed": q_dates_mixed,
+        "coerced_window": q_coerced_window,
         "scoped_metrics": q_scoped_metrics,
         "scoped_dlq": q_scoped_dlq,
         "csv_roundtrip": q_csv_roundtrip,

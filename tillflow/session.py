@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,15 +71,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "tillflow", *parts, uuid.uuid4().hex])
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

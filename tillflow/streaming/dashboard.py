@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import schema as S
+from tillflow.functions.scalar import anchor_now
 from tillflow.operators import aggregates as A
+from tillflow.operators.window import time_window
 
 REFRESH = "30 seconds"
 
@@ -20,7 +22,7 @@ def table_stream(spark: SparkSession, table_path: str) -> DataFrame:
 
 def dashboard_streams(frame: DataFrame, n: int = A.TOP_N) -> dict[str, DataFrame]:
     """Streaming versions of A1-A5 over the dashboard frame (the all-time
-    view; a moving window needs a moving 'now' and is a batch query)."""
+    view; for a moving window see start_windowed_dashboard)."""
     return {
         "kpi": A.kpi(frame),
         "top_products": A.top_products(frame, n),
@@ -47,6 +49,28 @@ def start_dashboard(spark: SparkSession, table_path: str, checkpoint_root: str,
     return queries
 
 
+def start_windowed_dashboard(spark: SparkSession, table_path: str, checkpoint: str, duration: str, on_refresh,
+                             now=None, processing_time: str = REFRESH, available_now: bool = False):
+    """T7 for a chosen duration: new files of the table are the tick, and every
+    tick answers the questions over the window that ends now.
+
+    The window moves, so nothing incremental can be kept: each refresh reads
+    the table pruned to the window's months and times (five columns).
+    ``on_refresh(frames, batch_id)`` gets the batch frames by name; ``now`` is a
+    function that gives the time a refresh is for."""
+    clock = now or anchor_now
+
+    def refresh(_: DataFrame, batch_id: int) -> None:
+        rows = time_window(spark.read.parquet(table_path), duration, clock(), "InvoiceDate", S.PARTITION_COLUMN)
+        frame = A.dashboard_frame(rows)
+        on_refresh({"kpi": A.kpi(frame), "top_products": A.top_products(frame), "hourly_revenue": A.hourly_revenue(frame),
+                    "country_share": A.country_share(frame), "category_sales": A.category_sales(frame)}, batch_id)
+
+    writer = (table_stream(spark, table_path).select(S.PARTITION_COLUMN).writeStream.foreachBatch(refresh)
+              .option("checkpointLocation", checkpoint))
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)).start()
+
+
 def country_share_from(sales: DataFrame) -> DataFrame:
     """W1 over the (at most n rows) streamed country table."""
     from pyspark.sql import Window
@@ -57,4 +81,4 @@ def country_share_from(sales: DataFrame) -> DataFrame:
                         .alias("share_pct"))
 
 
-__all__ = ["table_stream", "dashboard_streams", "start_dashboard", "country_share_from", "S"]
+__all__ = ["table_stream", "dashboard_streams", "start_dashboard", "start_windowed_dashboard", "country_share_from", "S"]
