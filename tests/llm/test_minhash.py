@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from tests.llm.helpers import ODD, SCHEMA, classes, docs, shingles
 from tillflow.llm import graph, minhash
@@ -91,11 +92,13 @@ def test_link_blocks_returns_no_pairs_of_one_class():
     assert len(set(classes(got.to_numpy().tolist() + [(0, i) for i in range(20)], range(40)).values())) == 1
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("links", [500_000, 40])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, links):
     rng = random.Random(5)
     pairs = [(i, i + 1) for i in range(100, 180)] + [(7, i) for i in range(200, 260)] + [(5, 5), (300, 301), (301, 300)]
     pairs += [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(80)]
     want = classes(pairs, {x for p in pairs for x in p})
+    monkeypatch.setattr(graph, "TASK_LINKS", links)
     got = {r["v"]: r["label"] for r in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {v: c for v, c in want.items() if any(a != b and v in (a, b) for a, b in pairs)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
