@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.llm import linededup, minhash, packing, quality, toxicity
 from tillflow.session import shared_path
@@ -30,7 +31,10 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that other documents repeat."""
-    return _same(docs, linededup.line_dedup(docs))
+    rest = [c for c in docs.columns if c != "text"]
+    packed = docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in rest]).alias("__own"))
+    out = linededup.line_dedup(packed)
+    return out.select(*[F.col("text") if c == "text" else F.col(f"__own.`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("too_short", "n_words < 20"),
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     ("symbol_heavy", "10 * n_symbols > 3 * n_words"),
-    ("duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("duplicate_lines", "2 * n_dup_lines > n_lines"),
     ("shouting", "2 * n_upper > word_chars"),
     ("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
 )

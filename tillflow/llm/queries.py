@@ -92,7 +92,7 @@ bits as (
     case when n_words < 20 then 1 else 0 end
     + case when 100 * n_repeat_words > 30 * n_words then 2 else 0 end
     + case when 10 * n_symbols > 3 * n_words then 4 else 0 end
-    + case when 10 * n_dup_lines > 3 * n_lines then 8 else 0 end
+    + case when 2 * n_dup_lines > n_lines then 8 else 0 end
     + case when 2 * n_upper > word_chars then 16 else 0 end
     + case when word_chars < 2 * n_words or word_chars > 20 * n_words then 32 else 0 end as failed
   from measured)
