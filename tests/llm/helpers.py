@@ -5,7 +5,7 @@ import zlib
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
-CLASHES = ("failed", "n_words", "score", "ids", "bytes", "rep", "label", "pos", "key", "kept")
+CLASHES = ("failed", "n_words", "score", "ids", "bytes", "rep", "label", "pos", "key", "kept", "n_lines", "n_dropped", "text2")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
