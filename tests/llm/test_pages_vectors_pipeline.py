@@ -42,6 +42,26 @@ def test_article_without_the_rest():
     assert html.extract(weights, "<nav>" + "menu " * 50 + "</nav>") == ""
 
 
+RICH = """<body><nav><ul><li>Home and more</li><li>About us</li></ul><table><tr><td>Menu cell</td></tr></table><blockquote><p>Menu words</p></blockquote></nav>
+<article><h1>Head</h1><p>Before it</p><ul><li>%s</li><li>two</li></ul><table><tr><td>cell one</td><td>cell two</td></tr></table>
+<aside>%s</aside><blockquote><p>Quoted here</p></blockquote><p>After it</p></article><footer><ul><li>Imprint</li></ul></footer></body>"""
+
+
+def test_lists_tables_and_quotations_of_the_article():
+    """Places that menus share lose nothing, on pages that mark their article and on others."""
+    items = " ".join(["item"] * 30)
+    page = RICH % (items, "advert " * 200)
+    want = f"Head\nBefore it\n{items}\ntwo\ncell one\ncell two\nQuoted here\nAfter it"
+    menus = "<nav><ul>" + "<li>menu words</li>" * 50 + "</ul></nav>"
+    for weights in (fit([PAGE] * 9 + [page]), fit([menus + PAGE] * 9)):
+        assert html.extract(weights, page) == want
+    weights = fit([menus + PAGE] * 9 + [page] * 3)
+    assert weights["ul>li"] > 0
+    assert html.extract(weights, page.replace("<body>", "<body><article>A teaser</article>")).endswith(want)
+    bare = re.sub("<aside>.*?</aside>", "", page).replace("<article>", "<div class=post>").replace("</article>", "</div>")
+    assert items in html.extract(weights, bare) and "cell two" in html.extract(weights, bare)
+
+
 def test_scan_finds_the_best_stretch():
     """The linear scan against all contiguous stretches of blocks."""
     rng = np.random.default_rng(3)
