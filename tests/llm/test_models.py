@@ -107,6 +107,58 @@ def test_class_probabilities_sum_to_one():
     assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_pairs_are_counted_over_the_corpus(spark):
+    """Counts of neighbours against a plain count, over several chunks and buckets; each distinct pair is gathered."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(rng.randint(0, 40)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    chunks = lm.chunk_table(df.withColumn("held_out", F.lit(False))).checkpoint()
+    want: Counter = Counter()
+    for _, t in rows:
+        w = [None, *t.split(), "<end>"]
+        want.update(zip(w, w[1:], strict=False))
+    got = [r for r in lm.gather_pairs(chunks).collect() if r["level"] == 1]
+    assert len({r["chunk"] for r in got}) > 3 and len({r["at"] for r in got}) > 3
+    assert sum(r["once"] for r in got) == sum(n == 1 for n in want.values())
+    assert sum(r["twice"] for r in got) == sum(n == 2 for n in want.values())
+    n = {}
+    for r in chunks.collect():
+        place, begins, _, _ = lm._unpack(r.asDict())
+        keys = np.unique(lm.pair_keys(place, begins, np.array(r["hashes"], np.int64).view(np.uint64), np.array(r["classes"]))[1])
+        mine = sorted((x for x in got if x["chunk"] == r["chunk"]), key=lambda x: x["at"])
+        n |= dict(zip(keys.tolist(), np.concatenate([lm._spread(x["n"], x["c"], "<i8") for x in mine]).tolist(), strict=True))
+    assert sorted(n.values()) == sorted(want.values())
+
+
+def test_word_order_of_the_corpus_is_learned(spark):
+    """Held-out texts whose pairs the training texts hold beat the same words in another order, at equal base scores."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) + "ab" for _ in range(20_000)]
+    held = [i for i in range(1500) if crc(i) % 7 == 2]
+    rows, sample = [], {}
+    for i in range(1500):
+        if i not in held:
+            k = rng.randrange(1000)
+            rows.append((i, " ".join(words[20 * k: 20 * k + 20])))
+            sample[k] = 1
+    for j, i in enumerate(held[:80]):
+        k = sorted(sample)[j // 2]
+        w = words[20 * k: 20 * k + 20]
+        rows.append((i, " ".join(w if j % 2 else w[::-1])))
+    got = {r["doc_id"]: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for back, on in zip(held[:80:2], held[1:80:2], strict=True):
+        assert got[on]["base_score"] == pytest.approx(got[back]["base_score"])
+        assert got[on]["score"] > got[back]["score"] + 10
+
+
+def test_interpolated_factors_sum_to_one():
+    rng = np.random.default_rng(9)
+    q = rng.dirichlet(np.ones(50))
+    n = rng.integers(0, 4, 50)
+    for whole, kinds in ((n.sum(), (n > 0).sum()), (0, 0)):
+        assert lm.interpolate(n if whole else 0 * n, whole, kinds, 0.6, q).sum() == pytest.approx(1)
+
+
 def test_no_rows_and_no_training_rows(spark):
     assert lm.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
     held = [i for i in range(200) if crc(i) % 7 == 2][:3]

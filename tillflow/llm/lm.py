@@ -2,11 +2,20 @@
 
     P(token | history) = P(class | history) * P(token | class)
 
-A token's class is hashed from its ending. The first factor is a softmax over the classes
+A token's class is hashed from its ending. The first factor starts from a softmax over the classes
 with hashed n-gram and skip features of the history: the previous token, the token before it,
-the classes of both, and the classes of the two tokens before those. The second is the
+the classes of both, and the classes of the two tokens before those. The second starts from the
 softmax within the class whose one feature is the token itself, with weight log(c + 1), c
-being the token's count in all training texts, and one share for tokens never seen. So the
+being the token's count in all training texts, and one share for tokens never seen.
+
+The weight table has a fixed size; what follows the input are the pairs. For every pair of neighbours
+(previous token, class) and (previous token and class, token) that training texts hold, its count n is
+gathered from the whole corpus, and for its left side the sum N and the number T of its pairs. Both factors
+are interpolated with them by absolute discounting, q being the softmax:
+
+    P = (max(n - D, 0) + D * T * q) / N, or q where N is 0
+
+with D = (n1 + 1) / (n1 + 2 n2 + 2) from the numbers of pairs seen once and twice. So the
 probabilities of all tokens sum to one.
 
 1. Texts become chunks: per chunk the distinct tokens (64-bit hash, class, count in its
@@ -17,9 +26,12 @@ probabilities of all tokens sum to one.
 3. Training: every task runs over the training texts of its chunks in minibatches (adaptive
    gradient steps) from common weights; the tasks' weights are averaged, each feature weighted
    by how often a task saw it, in a tree of sums, WIDE at a time.
-4. Scoring: a chunk meets its corpus counts and is scored in sparse numpy batches.
+4. Pairs: each chunk sends its distinct pairs, as sorted hashes, to buckets whose number grows with the
+   corpus; a left side lies in one bucket. A bucket adds them up and answers every chunk in its order.
+5. Scoring: a chunk meets its corpus counts and pairs and is scored in sparse numpy batches.
 
-Two tokens with one hash would count as one: at 10 billion distinct tokens about three pairs.
+Two tokens with one hash would count as one: at 10 billion distinct tokens about three pairs. Left sides have
+40 bits and tokens after them 24: at a billion left sides about one in 1,000 shares its counts with another.
 
 Edge cases: a null or empty text is its end token alone; rows with a null doc_id count as
 training rows; no training rows: all counts are 0 and the classes are equally likely; repeated
@@ -51,8 +63,11 @@ FEATURES = TOKEN1 + TOKEN2 + 2 * PAIR
 BATCH, RATE, DAMP = 8192, 0.2, 4.0
 #: Slices of the weight table and tasks whose slices one sum takes.
 SLICES, WIDE = 16, 64
+#: Token places whose pairs one bucket takes, and the least number of buckets.
+BUCKET, BUCKETS = 1 << 21, 64
 
 _U = np.uint64
+_LOW = _U((1 << 24) - 1)
 END_HASH = T.mix(np.array([0x51ED270B], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -233,6 +248,84 @@ def _doc_ranges(lengths: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int
         lo = hi
 
 
+def pair_keys(place: np.ndarray, begins: np.ndarray, hashes: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each place's (previous token, class) and (previous token and class, token): left side above, the rest below."""
+    before = np.zeros(len(place), np.uint64)
+    before[1:] = hashes[place[:-1]]
+    before[np.arange(len(place)) == begins] = 0
+    kind = cls.astype(np.uint64)
+    left = T.mix(before ^ T.mix(kind + _U(1))[place])
+    return (T.mix(before) & ~_LOW) | kind[place], (left & ~_LOW) | (T.mix(hashes) & _LOW)[place]
+
+
+def _squash(a: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, compressed."""
+    return bytes(pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), "zstd")) if len(a) else b""
+
+
+def _spread(blob: bytes, n: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(blob, n * width, "zstd"), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(flat.reshape(width, n).T).reshape(-1).view(kind)
+
+
+PAIRS = "chunk long, at int, c long, n binary, whole binary, kinds binary"
+
+
+def gather_pairs(chunks: DataFrame) -> DataFrame:
+    """For each chunk and bucket the corpus counts of the chunk's pairs in key order (PAIRS), and the bucket's
+    numbers of pairs seen once and twice. ``at`` is the bucket, those of the second factor after those of the first."""
+    places = chunks.agg(F.sum("n_places")).first()[0] or 0
+    bits = (max(BUCKETS, -(-places // BUCKET)) - 1).bit_length()
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {k: batch.column(k)[i].as_py() for k in ("places", "n_places", "lengths", "slots")}
+                place, begins, lengths, _ = _unpack(row)
+                hashes, cls = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in ("hashes", "classes"))
+                learn = np.repeat(~np.array(batch.column("held")[i].as_py(), bool), lengths)
+                chunk = batch.column("chunk")[i].as_py()
+                for level, key in enumerate(pair_keys(place, begins, hashes.view(np.uint64), cls)):
+                    name, back = np.unique(key, return_inverse=True)
+                    own = np.bincount(back[learn], minlength=len(name)).astype("<i4")
+                    cut = np.searchsorted(name >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+                    some = np.flatnonzero(np.diff(cut))
+                    out = [(int(b) + (level << bits), int(cut[b + 1] - cut[b]),
+                            _squash(np.diff(name[cut[b]: cut[b + 1]], prepend=_U(0))), _squash(own[cut[b]: cut[b + 1]])) for b in some]
+                    if out:
+                        at, c, keys, own_ = zip(*out, strict=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([chunk] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(c, pa.int64()),
+                             pa.array(keys, pa.binary()), pa.array(own_, pa.binary())], ["chunk", "at", "c", "keys", "own"])
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        c = frame["c"].to_numpy()
+        key = np.concatenate([np.cumsum(_spread(k, m, "<u8"), dtype=np.uint64) for k, m in zip(frame["keys"], c, strict=True)])
+        own = np.concatenate([_spread(k, m, "<i4") for k, m in zip(frame["own"], c, strict=True)])
+        name, back = np.unique(key, return_inverse=True)
+        n = np.bincount(back, own, len(name)).astype(np.int64)
+        left = name & ~_LOW
+        first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
+        many = np.diff(np.append(first, len(name)))
+        whole, kinds = (np.repeat(np.add.reduceat(a, first), many) for a in (n, (n > 0).astype(np.int64)))
+        ends = np.cumsum(c)
+        blobs = {k: [_squash(a[back[hi - m: hi]].astype("<i8")) for hi, m in zip(ends, c, strict=True)]
+                 for k, a in (("n", n), ("whole", whole), ("kinds", kinds))}
+        seen = np.zeros((2, len(c)), np.int64)
+        seen[:, 0] = (n == 1).sum(), (n == 2).sum()
+        return pd.DataFrame({"chunk": frame["chunk"], "at": frame["at"], "c": c, **blobs,
+                             "level": frame["at"].to_numpy() >> bits, "once": seen[0], "twice": seen[1]})
+    sent = chunks.select("chunk", "places", "n_places", "lengths", "slots", "hashes", "classes", "held").mapInArrow(
+        send, "chunk long, at int, c long, keys binary, own binary")
+    return sent.groupBy("at").applyInPandas(add, f"{PAIRS}, level int, once long, twice long")
+
+
+def interpolate(n: np.ndarray, whole: np.ndarray, kinds: np.ndarray, discount: float, q: np.ndarray) -> np.ndarray:
+    """Probabilities by absolute discounting over ``q``."""
+    return np.where(whole > 0, (np.maximum(n - discount, 0) + discount * kinds * q) / np.maximum(whole, 1), q)
+
+
 OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -251,12 +344,21 @@ def score_texts(docs: DataFrame) -> DataFrame:
     by_class = {r["cls"]: (r["n"], r["v"]) for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     size = np.array([sum(by_class.get(k, (0, 0))) + 1 for k in range(CLASSES)], np.float64)
     total, kinds = sum(n for n, _ in by_class.values()), sum(v for _, v in by_class.values())
-    shared = spark.sparkContext.broadcast((train(chunks), np.log10(size)))
-    other = (words.join(counts.select("hash", "c"), "hash").filter("c != own").select("chunk", "at", "c"))
-    parts = spark.read.schema(CHUNK_SCHEMA).parquet(path).select("chunk", "doc_ids", "held", "lengths", "places", "n_places", "counts", "classes", "slots")
+    gathered = shared_path(spark, "lm", "pairs")
+    gather_pairs(chunks).write.parquet(gathered)
+    pairs = spark.read.schema(f"{PAIRS}, level int, once long, twice long").parquet(gathered)
+    seen = {r["level"]: (r["n1"], r["n2"]) for r in pairs.groupBy("level").agg(F.sum("once").alias("n1"), F.sum("twice").alias("n2")).collect()}
+    discounts = [(a + 1) / (a + 2 * b + 2) for a, b in (seen.get(k, (0, 0)) for k in (0, 1))]
+    shared = spark.sparkContext.broadcast((train(chunks), size, discounts))
+    other = (words.join(counts.select("hash", "c"), "hash").filter("c != own").select(
+        "chunk", "at", "c", *[F.lit(None).cast("binary").alias(k) for k in ("n", "whole", "kinds")], F.lit(-1).alias("level")))
+    other = other.union(pairs.select("chunk", "at", "c", "n", "whole", "kinds", "level"))
+    parts = spark.read.schema(CHUNK_SCHEMA).parquet(path).select("chunk", "doc_ids", "held", "lengths", "places", "n_places", "hashes", "counts", "classes", "slots")
 
     def run(known: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        weights, log_size = shared.value
+        weights, size, discounts = shared.value
+        found = known[known["level"] >= 0].sort_values("at")
+        known = known[known["level"] < 0]
         out = []
         for row in part.to_dict("records"):
             place, begins, lengths, slots = _unpack(row)
@@ -264,13 +366,20 @@ def score_texts(docs: DataFrame) -> DataFrame:
             c = np.asarray(row["counts"]).astype(np.float64)
             c[known["at"].to_numpy()] = known["c"].to_numpy()
             doc = np.repeat(np.arange(len(lengths)), lengths)
-            gain = np.log10(c + 1)
-            plain = np.bincount(doc, gain[place], len(lengths))
-            model = plain - np.bincount(doc, log_size[cls][place], len(lengths))
+            plain = np.bincount(doc, np.log10(c + 1)[place], len(lengths))
+            logs = np.empty(len(place), np.float64)
             for lo, hi in _doc_ranges(lengths):
                 f = features(place[lo:hi], begins[lo:hi] - lo, slots, cls)
-                logs = class_logs(weights, f, cls[place[lo:hi]])
-                model += np.bincount(doc[lo:hi], logs, len(lengths)) / np.log(10)
+                logs[lo:hi] = class_logs(weights, f, cls[place[lo:hi]])
+            model = np.zeros(len(lengths))
+            keys = pair_keys(place, begins, np.asarray(row["hashes"]).view(np.uint64), cls)
+            for level, q in enumerate((np.exp(logs), ((c + 1) / size[cls])[place])):
+                mine = found[found["level"] == level]
+                n, whole, many = (np.concatenate([np.zeros(0, np.int64), *(_spread(b, m, "<i8") for b, m in zip(mine[k], mine["c"], strict=True))])
+                                   for k in ("n", "whole", "kinds"))
+                back = np.unique(keys[level], return_inverse=True)[1]
+                p = interpolate(n[back], whole[back], many[back], discounts[level], q)
+                model += np.bincount(doc, np.log10(p), len(lengths))
             ids = list(row["doc_ids"])
             out.append(pd.DataFrame({
                 "doc_id": pd.array([None if i is None or i != i else int(i) for i in ids], "Int64"),
