@@ -62,6 +62,14 @@ def test_lists_tables_and_quotations_of_the_article():
     assert items in html.extract(weights, bare) and "cell two" in html.extract(weights, bare)
 
 
+def test_marks_within_the_article_count_as_whole_classes():
+    page = """<body><div class="site-header"><p>Site name</p></div><article><div class="entry-header"><h1>Head</h1></div>
+<section id="related-work"><p>Earlier work</p></section><div class="header"><p>Lead</p></div><div class="Share sharedaddy"><p>Share it</p></div>
+<div role="navigation"><p>Next page</p></div><p class=noticeBoard>Board</p></article><div id="related-posts"><p>More</p></div></body>"""
+    assert html.extract({}, page) == "Head\nEarlier work\nLead\nBoard"
+    assert [never for _, _, home, never, _ in html.blocks(page)[0] if not home] == [True, True]
+
+
 def test_scan_finds_the_best_stretch():
     """The linear scan against all contiguous stretches of blocks."""
     rng = np.random.default_rng(3)
