@@ -92,6 +92,16 @@ def test_link_blocks_returns_no_pairs_of_one_class():
     assert len(set(classes(got.to_numpy().tolist() + [(0, i) for i in range(20)], range(40)).values())) == 1
 
 
+def test_components_have_no_last_round(spark, monkeypatch):
+    """A chain that one round leaves split is followed to its end, whatever number of rounds was once thought enough."""
+    pairs = [(i, i + 1) for i in range(120)]
+    random.Random(7).shuffle(pairs)
+    monkeypatch.setattr(graph, "TASK_LINKS", 4)
+    monkeypatch.setattr(graph, "MAX_ROUNDS", 1, raising=False)
+    got = graph.components(spark.createDataFrame(pairs, "a long, b long").repartition(8)).collect()
+    assert {r["v"] for r in got} == set(range(121)) and {r["label"] for r in got} == {0}
+
+
 @pytest.mark.parametrize("links", [500_000, 40])
 def test_components_of_chains_stars_and_loops(spark, monkeypatch, links):
     rng = random.Random(5)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tillflow.session import checkpoint_dir
 
-#: Star contraction halves path lengths in each round; 64 rounds reach any size.
-MAX_ROUNDS = 64
 #: Links that a task reduces to a forest at a time (16 bytes each).
 TASK_LINKS = 500_000
 
@@ -78,13 +76,13 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has long columns ``a`` and ``b``; loops, repeats and nulls are
     ignored. In each round the links are dealt TASK_LINKS a task at least, every task
     replaces its links by a forest with the same components, and where there are several tasks
-    a star contraction joins their forests. Each step ends in a reliable checkpoint. A hot
+    a star contraction joins their forests, until nothing changes. Each step ends in a reliable checkpoint. A hot
     vertex is an aggregate with map-side combine and a join that the runtime can split.
     """
     checkpoint_dir(edges.sparkSession)
     now = edges.select("a", "b").filter("a != b").checkpoint()
     mark = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         n = now.count()
         now = now.coalesce(max(1, n // TASK_LINKS)).mapInArrow(_forests, "a long, b long").checkpoint()
         if n < TASK_LINKS:  # one task, one forest
