@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, embed, html, langid, linededup, lm, minhash, packing, quality, toxicity
+from tillflow.llm import (
+    bpe, conversations, embed, html, langid, linededup, lm, minhash, packing, phrases, quality, tokencount, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,9 +64,25 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's collocations of two to five words, by the score of their weakest cut."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair as edits and a digest."""
+    rows = _table(spark, sf_dir, "conversations")
+    return conversations.report(rows, conversations.damage(rows))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_quality, op3_bpe, op4_langid, op5_lm, op6_packing, op7_line_dedup, op8_html,
-    op9_toxicity, op10_embeddings)}
+    op9_toxicity, op10_embeddings, op11_phrases, op12_token_counts, op13_conversations)}
 
 _OP2 = r"""
 with t as (select doc_id, row_number() over () as r, coalesce(text, '') as text from documents),
@@ -154,4 +172,30 @@ select vec_id, coalesce(n, 0)::bigint as n_links, c as component_id, vec_id = c
 from embeddings join comp on v = vec_id left join many on a = vec_id
 """
 
-SQL = {"op1_minhash": _OP1, "op10_embeddings": _OP10, "op2_quality": _OP2, "op7_line_dedup": _OP7}
+_OP11 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+total as (select lang, sum(len(w))::bigint as n from w group by lang),
+spelled as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) as phrase
+  from w, (select unnest(range(1, 6)) as k) where len(w) >= k),
+f as (select lang, k, phrase, count(*)::bigint as f from spelled group by all having count(*) >= 100),
+cuts as (
+  select c.lang, c.k, c.phrase, c.f as a, j, total.n, string_split(c.phrase, ' ') as ws
+  from f c join total using (lang), (select unnest(range(1, 5)) as j) where c.k >= 2 and j < c.k),
+scored as (
+  select cuts.*, l.f as l, r.f as r, (1000::hugeint * a * n) // (l.f::hugeint * r.f) as score
+  from cuts join f l on l.lang = cuts.lang and l.phrase = array_to_string(list_slice(ws, 1, j), ' ')
+  join f r on r.lang = cuts.lang and r.phrase = array_to_string(list_slice(ws, j + 1, cuts.k), ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+kept as (
+  select * from best where not exists (
+    select 1 from f longer where longer.lang = best.lang and longer.k > best.k and longer.f >= best.a
+    and contains(' ' || longer.phrase || ' ', ' ' || best.phrase || ' '))),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a, l, r, n, score::bigint as score from ranked where rank <= 2000
+"""
+
+SQL = {"op1_minhash": _OP1, "op10_embeddings": _OP10, "op11_phrases": _OP11, "op2_quality": _OP2, "op7_line_dedup": _OP7}
