@@ -42,7 +42,7 @@ _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BLANKS = b" \t"
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text of one step, and bounds of the filter in bits.
-STEP_BYTES = 12 << 20
+STEP_BYTES = 6 << 20
 LEAST_BITS, MAX_BITS, BITS_EACH, BLOCK_BITS = 1 << 20, 1 << 30, 16, 1 << 16
 #: Languages whose totals are broadcast at most; more are joined.
 MAX_BROADCAST_LANGS = 100_000
@@ -69,7 +69,7 @@ def words(text: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, n
     inner[1:-1] = kind == 0
     starts = np.flatnonzero(inner[1:-1] & (~inner[:-2] | cut[:-1]))
     ends = np.flatnonzero(inner[1:-1] & (~inner[2:] | cut[1:])) + 1
-    breaks = np.cumsum((kind == 2).astype(np.int32), dtype=np.int32)
+    breaks = np.cumsum(kind == 2, dtype=np.int32)
     owner = np.searchsorted(at, starts, "right") - 1
     if len(starts) == 0:
         return pa.array([], pa.large_string()), starts, starts, owner
@@ -77,7 +77,7 @@ def words(text: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, n
     turn[1:] = (breaks[starts[1:]] != breaks[starts[:-1]]) | (owner[1:] != owner[:-1])
     length = ends - starts
     offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
-    packed = data[T.ragged(starts, length)]
+    packed = data[kind == 0]
     coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(packed)).dictionary_encode()
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(turn), owner
 
