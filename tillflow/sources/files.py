@@ -57,6 +57,16 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).text(path)
 
 
+def read_messages_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of JSON-lines files with their place: ``source_file``, ``block_start`` (a large file is
+    read in blocks) and ``line``, which rises within a block.  Sorted by these three, the lines have the order of
+    the files' names and of the lines in each file."""
+    return (spark.read.schema(MESSAGE_SCHEMA).text(path)
+            .select("value", F.col("_metadata.file_path").alias("source_file"),
+                    F.col("_metadata.file_block_start").alias("block_start"),
+                    F.monotonically_increasing_id().alias("line")))
+
+
 def read_messages_stream(spark: SparkSession, path: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
     """S2/S3 stand-in: a stream of JSON-lines files (one message per line).
@@ -72,17 +82,27 @@ def read_messages_stream(spark: SparkSession, path: str,
             .withColumn("source_mtime", F.col("_metadata.file_modification_time")))
 
 
+# Cells as they are: outer blanks kept, a quote inside a quoted cell doubled, as the reference's CSV writer does.
+_PLAIN_CELLS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_backup_csv(clean: DataFrame, path: str, query_id: str | None, batch_id: int | None) -> None:
     """Every cleaned row as CSV without a header.  Each batch has a folder
     of its own, which a replay of the batch replaces."""
     (clean.select(*S.STORE_COLUMNS)
      .withColumn("InvoiceDate", F.date_format("InvoiceDate", S.WIRE_TS_FORMAT))
-     .write.mode("overwrite").option("header", False)
+     .write.mode("overwrite").option("header", False).options(**_PLAIN_CELLS)
      .csv(f"{path}/query_id={query_id}/batch_id={batch_id}"))
 
 
 def csv_stream_sink(stream: DataFrame, path: str, checkpoint: str):
     """Streaming CSV sink with a header, append mode."""
-    return (stream.writeStream.format("csv").option("header", True)
+    return (stream.writeStream.format("csv").option("header", True).options(**_PLAIN_CELLS)
             .option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append"))
+
+
+def read_csv_sink(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`csv_stream_sink` has committed, as stored rows.  Spark reads a stream's output through the
+    sink's log, so files of attempts that never committed are left out."""
+    return spark.read.schema(S.STORE_SCHEMA).option("header", True).options(**_PLAIN_CELLS).csv(path).select(*S.STORE_COLUMNS)
