@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E  # noqa: E402
-from tillflow.plans.registry import QUERIES  # noqa: E402
+from tillflow.plans.catalog import QUERIES  # noqa: E402
 from tools.check_oracle import TABLES, digest  # noqa: E402
 
 

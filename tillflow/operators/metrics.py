@@ -8,7 +8,7 @@ bad dates + store rejects + no partition + processed`` can be checked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillflow import schema as S
@@ -22,16 +22,15 @@ METRIC_COLUMNS = [
 ]
 
 
-def ingest_metrics(resolved: DataFrame) -> DataFrame:
-    """One row of counts.  ``resolved`` has one row per surviving record with
-    ``outcome`` (validation rejects carry their reason as outcome) and
-    ``group_rows`` for dedupe winners."""
+def metric_columns() -> list[Column]:
+    """The counters as aggregates over resolved rows: one row per surviving record with
+    ``outcome`` (validation rejects carry their reason as outcome) and ``group_rows`` for dedupe winners."""
     o = F.col("outcome")
     n = lambda cond: F.count_if(cond).cast("bigint")
     rows = F.coalesce(F.col(GROUP_ROWS), F.lit(1)).cast("bigint")
     inserted = o.isin(OUTCOME_INSERTED, OUTCOME_ALREADY)
     stored_outcomes = [OUTCOME_INSERTED, OUTCOME_ALREADY, OUTCOME_DUPLICATE]
-    return resolved.agg(
+    return [
         F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("received"),
         n(o == S.REASON_MALFORMED).alias("malformed"),
         n(o.isin(S.REASON_MALFORMED, S.REASON_SCHEMA)).alias("invalid"),
@@ -45,4 +44,16 @@ def ingest_metrics(resolved: DataFrame) -> DataFrame:
         n(inserted).alias("success"),
         n(o == OUTCOME_DUPLICATE).alias("failed"),
         n(o == OUTCOME_ALREADY).alias("already_written"),
-    )
+    ]
+
+
+def ingest_metrics(resolved: DataFrame) -> DataFrame:
+    """One row of counts (see :func:`metric_columns`)."""
+    return resolved.agg(*metric_columns())
+
+
+def observe_metrics(resolved: DataFrame) -> tuple[DataFrame, Observation]:
+    """``resolved`` with its counters observed on the way: the first action on the returned frame
+    fills the observation (``.get``), so counting needs no pass of its own."""
+    observed = Observation()
+    return resolved.observe(observed, *metric_columns()), observed

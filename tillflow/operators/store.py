@@ -17,6 +17,10 @@ from tillflow import schema as S
 # Largest incoming side (rows) we broadcast on purpose: a few key columns
 # per row keeps this well under the default 8 GB broadcast limit.
 BROADCAST_MAX_ROWS = 2_000_000
+# Largest change set (bytes) an upsert broadcasts: descriptions as measured, and for the other
+# columns of a row, whose lengths the schema limits, a fixed allowance.
+BROADCAST_MAX_BYTES = 256 << 20
+CHANGE_ROW_BYTES = 600
 
 OUTCOME_INSERTED = "inserted"
 OUTCOME_DUPLICATE = S.REASON_DUPLICATE
@@ -99,6 +103,47 @@ UPSERT_SET = ["Description", "Quantity", "UnitPrice", "TotalAmount"]
 UPSERT_KEEP = ["InvoiceDate", "CustomerID", "Country"]
 
 
+def change_set(incoming: DataFrame, order_cols, key=S.PAIR_KEY) -> DataFrame:
+    """One row per key of ``incoming``: ``_keep``, the kept columns of its first row in arrival
+    order, and ``_set``, the updated columns of its last.  Ties in arrival order are decided by
+    the rows' values.  An aggregate, so a hot key is reduced inside every map task."""
+    place = F.struct(*[F.col(c) for c in order_cols])
+    value = F.struct(*S.STORE_COLUMNS)
+    return (incoming.select(*S.STORE_COLUMNS, *order_cols).groupBy(*key)
+            .agg(F.min_by(F.struct(*UPSERT_KEEP), F.struct(place, value)).alias("_keep"),
+                 F.max_by(F.struct(*UPSERT_SET), F.struct(place, value)).alias("_set")))
+
+
+def _fits_broadcast(change: DataFrame) -> bool:
+    """Whether the (checkpointed) change set is small enough in bytes, by measuring it."""
+    texts = F.coalesce(F.octet_length("_set.Description"), F.lit(0)) + F.lit(CHANGE_ROW_BYTES)
+    return (change.agg(F.sum(texts)).first()[0] or 0) <= BROADCAST_MAX_BYTES
+
+
+def find_first(target: DataFrame, change: DataFrame, key=S.PAIR_KEY, keep=(), broadcast: bool = False) -> DataFrame:
+    """Of each changed key that ``target`` holds, its earliest InvoiceDate ``_first`` (and that row's ``keep`` columns).
+
+    The target is reduced to the changed keys before it is grouped, and read in the key columns only."""
+    keys = change.select(*key)
+    rows = target.select(*key, "InvoiceDate", *keep).join(F.broadcast(keys) if broadcast else keys, list(key), "left_semi")
+    return rows.groupBy(*key).agg(F.min("InvoiceDate").alias("_first"),
+                                  *[F.min_by(c, "InvoiceDate").alias(f"_{c}") for c in keep])
+
+
+def apply_changes(rows: DataFrame, plan: DataFrame, key=S.PAIR_KEY, broadcast: bool = False) -> DataFrame:
+    """``rows`` with the updated columns of ``plan`` (change set with ``_first``) in each key's first row."""
+    side = plan.where(F.col("_first").isNotNull()).select(*key, "_first", "_set")
+    joined = rows.join(F.broadcast(side) if broadcast else side, list(key), "left")
+    hit = F.col("InvoiceDate") == F.col("_first")
+    return joined.select(*[F.when(hit, F.col(f"_set.{c}")).otherwise(F.col(c)).alias(c) if c in UPSERT_SET else F.col(c)
+                           for c in rows.columns])
+
+
+def new_rows(plan: DataFrame, key=S.PAIR_KEY) -> DataFrame:
+    """The rows of keys that the target lacks: kept columns of the first incoming row, updated ones of the last."""
+    return plan.where(F.col("_first").isNull()).select(*key, "_keep.*", "_set.*").select(*S.STORE_COLUMNS)
+
+
 def upsert_latest(target: DataFrame, incoming: DataFrame, order_cols,
                   key=S.PAIR_KEY, incoming_rows_bound: int | None = None) -> DataFrame:
     """Apply incoming rows in arrival order as ``INSERT .. ON CONFLICT
@@ -108,25 +153,16 @@ def upsert_latest(target: DataFrame, incoming: DataFrame, order_cols,
     kept columns of its first and the updated ones of its last incoming row.
     Of a key that the target holds, the row with the earliest InvoiceDate gets
     the updated columns of the last incoming row; rows of the key at other
-    times, and rows of other keys, stay as they are.  Ties in arrival order are
-    decided by the rows' values.  The result doesn't depend on
-    ``incoming_rows_bound``: with a bound the incoming side is broadcast and the
-    target is not shuffled, without one it is joined.
+    times, and rows of other keys, stay as they are.
+
+    The change set and the first rows it meets are checkpointed (one row a changed key), so the
+    incoming side is computed once and the target read twice: its key columns to find
+    the first rows, then whole, in one join.
+    With a row bound, and if the measured change set is also small in bytes, it is
+    broadcast and the target isn't shuffled; the result is the same.
     """
-    place = F.struct(*[F.col(c) for c in order_cols])
-    value = F.struct(*S.STORE_COLUMNS)
-    change = (incoming.select(*S.STORE_COLUMNS, *order_cols).groupBy(*key)
-              .agg(F.min_by(F.struct(*UPSERT_KEEP), F.struct(place, value)).alias("_keep"),
-                   F.max_by(F.struct(*UPSERT_SET), F.struct(place, value)).alias("_set")))
-    hint = F.broadcast if _bounded(incoming_rows_bound) else lambda df: df
-    joined = target.select(*S.STORE_COLUMNS).join(hint(change.select(*key, "_set")), on=list(key), how="left")
-    touched = joined.where(F.col("_set").isNotNull())
-    first = touched.groupBy(*key).agg(F.min("InvoiceDate").alias("_first"))
-    now = touched.join(first, on=list(key), how="inner")
-    hit = F.col("InvoiceDate") == F.col("_first")
-    updated = now.select(*[F.when(hit, F.col(f"_set.{c}")).otherwise(F.col(c)).alias(c) if c in UPSERT_SET else F.col(c)
-                           for c in S.STORE_COLUMNS])
-    new = change.join(first.select(*key), on=list(key), how="left_anti")
-    return (joined.where(F.col("_set").isNull()).select(*S.STORE_COLUMNS)
-            .unionByName(updated)
-            .unionByName(new.select(*key, "_keep.*", "_set.*").select(*S.STORE_COLUMNS)))
+    change = change_set(incoming, order_cols, key).checkpoint()
+    small = _bounded(incoming_rows_bound) and _fits_broadcast(change)
+    plan = change.join(find_first(target, change, key, broadcast=small), list(key), "left").checkpoint()
+    rows = apply_changes(target.select(*S.STORE_COLUMNS), plan, key, small)
+    return rows.unionByName(new_rows(plan, key))

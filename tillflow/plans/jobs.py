@@ -28,9 +28,10 @@ from pyspark.sql.utils import AnalysisException
 from tillflow import schema as S
 from tillflow.functions.scalar import month_label, parse_invoice_ts
 from tillflow.operators.dlq import envelope_json
-from tillflow.operators.metrics import METRIC_COLUMNS
+from tillflow.operators.metrics import METRIC_COLUMNS, observe_metrics
+from tillflow.operators.store import apply_changes, change_set, find_first, new_rows
 from tillflow.plans.ingest import IngestResult, ingest
-from tillflow.plans.table import register_partitions, write_partitioned
+from tillflow.plans.table import layout_for_write, register_partitions, write_partitioned
 from tillflow.sources.files import write_backup_csv, write_messages
 
 ROWS_PER_FILE = 2_000_000
@@ -69,12 +70,13 @@ def prune_to_batch(target: DataFrame, validated: DataFrame) -> DataFrame:
 def write_outcomes(spark: SparkSession, result: IngestResult, table_path: str,
                    dlq_path: str | None, metrics_path: str | None,
                    backup_csv: str | None = None, dlq_messages: str | None = None,
-                   table_name: str | None = None) -> dict:
+                   table_name: str | None = None, metrics: dict | None = None) -> dict:
     """Write stored rows, dead-letter rows and counters of one ingest pass;
     ``result.resolved`` must already be materialized.  ``dlq_messages`` gets the
     dead letters as envelope messages (S9), ``table_name`` is a table registered
-    at ``table_path`` whose new months are to become visible.  Returns the counters."""
-    metrics = result.metrics().first().asDict()
+    at ``table_path`` whose new months are to become visible.  ``metrics`` are the counters if they were observed
+    already.  Returns the counters."""
+    metrics = metrics or result.metrics().first().asDict()
     stored = result.stored()
     n_parts = max(1, (metrics["success"] - metrics["already_written"]) // ROWS_PER_FILE + 1)
     if metrics["success"] - metrics["already_written"] > 0:
@@ -110,7 +112,8 @@ def ingest_job(spark: SparkSession, validated: DataFrame, order_cols, table_path
     """Batch ingest of a whole input (S8 + S15 at scale).
 
     The resolved frame is checkpointed to the shared checkpoint folder
-    (reliable storage, survives lost executors) before any write.
+    (reliable storage, survives lost executors) before any write; the counters
+    are observed on that same action.
 
     ``prune_target`` limits the insert-if-absent scan of the table to the
     months the input spans.  Spark applies no dynamic partition pruning to
@@ -123,9 +126,53 @@ def ingest_job(spark: SparkSession, validated: DataFrame, order_cols, table_path
         target = prune_to_batch(target, validated)
     result = ingest(validated, order_cols, scope_cols, target, query_id, batch_id,
                     allowed_months, incoming_rows_bound)
-    result.resolved = result.resolved.checkpoint(eager=True)
+    observed, counters = observe_metrics(result.resolved)
+    result.resolved = observed.checkpoint(eager=True)
     return write_outcomes(spark, result, table_path, dlq_path, metrics_path, backup_csv,
-                          dlq_messages, table_name)
+                          dlq_messages, table_name, counters.get)
+
+
+def upsert_table(spark: SparkSession, table_path: str, incoming: DataFrame, order_cols, key=S.PAIR_KEY,
+                 query_id: str = "upsert", batch_id: int = 0, table_name: str | None = None) -> dict:
+    """J2 on the stored table: apply ``incoming`` (clean rows) as :func:`upsert_latest` does, and rewrite
+    only the months that change.
+
+    1. The change set, one row a key, is checkpointed: the input is computed once.
+    2. The table's key columns are read once to find the row that each known key updates.
+    3. The months of those rows and of the new ones are read whole, changed, and checkpointed.
+       That is the new content of these months; nothing has been written yet.
+    4. Dynamic partition overwrite replaces exactly these months; files of other months stay.
+
+    A month is at most one distinct value of the time range (7,021 of them), so their list is
+    bounded.  Applying the same input again changes nothing.  Changed rows keep the ids of the batch that
+    created them; new rows get ``query_id`` and ``batch_id``.  A table that isn't there yet is created.
+    Readers that list a month while it is replaced may miss it: see :func:`tillflow.plans.table.publish`.
+    """
+    month = S.PARTITION_COLUMN
+    change = change_set(incoming, order_cols, key).checkpoint()
+    target = read_target(spark, table_path)
+    if target is None:
+        plan = change.withColumn("_first", F.lit(None).cast("timestamp_ntz")).withColumn(f"_{month}", F.lit(None).cast("string"))
+    else:
+        plan = change.join(find_first(target, change, key, [month]), list(key), "left").checkpoint()
+    touched = F.coalesce(F.col(f"_{month}"), month_label(F.col("_keep.InvoiceDate")))
+    counted = (plan.groupBy(touched.alias(month)).agg(F.count_if(F.col("_first").isNotNull()).alias("updated"),
+                                                      F.count_if(F.col("_first").isNull()).alias("inserted"))).collect()
+    months = [r[month] for r in counted]
+    done = {"updated": sum(r["updated"] for r in counted), "inserted": sum(r["inserted"] for r in counted), "months": len(months)}
+    if not months:
+        return done
+    rows = new_rows(plan, key).select(*S.STORE_COLUMNS, F.lit(query_id).alias("query_id"),
+                                      F.lit(batch_id).cast("bigint").alias("batch_id"),
+                                      month_label(F.col("InvoiceDate")).alias(month))
+    if target is not None:
+        old = target.where(F.col(month).isin(months)).select(*S.TABLE_COLUMNS)
+        rows = apply_changes(old, plan, key).unionByName(rows)
+    (layout_for_write(rows.checkpoint()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(month).parquet(table_path))
+    if table_name:
+        register_partitions(spark, table_name)
+    return done
 
 
 def ingest_micro_batch(spark: SparkSession, validated: DataFrame, order_cols,

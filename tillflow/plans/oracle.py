@@ -65,6 +65,9 @@ _NULL_CHECKS = ",\n     ".join(
     f"CASE WHEN {n} IS NULL{' OR isnan(' + n + ')' if n in FLOATS else ''} THEN '{n}:null' END"
     for n in WIRE)
 
+# A number that is no number passes the validation of messages, and is dropped as missing afterwards.
+_NULLS_ONLY = ",\n     ".join(f"CASE WHEN {n} IS NULL THEN '{n}:null' END" for n in WIRE)
+
 VALIDATED = f"""
 validated AS (
   SELECT *, concat_ws(';',
@@ -265,6 +268,142 @@ SELECT country, format('${:,.2f}', s) AS sales, format('{:,}', CAST(floor(s) AS
     }
 
 
+# Placed in the order of file (its number as text) and line; a batch is five valid records.
+PLACED = ("," + VALIDATED + """,
+files AS (SELECT greatest(8, CAST(ceil(count(*) / 100000.0) AS BIGINT)) AS n FROM every),
+placed AS (
+  SELECT *, position // 5 AS batch FROM (
+    SELECT v.*, row_number() OVER (ORDER BY CAST(CAST(InvoiceNo AS BIGINT) % n AS VARCHAR), CAST(InvoiceNo AS BIGINT),
+      CAST(StockCode AS BIGINT), l_linenumber, l_suppkey, l_extendedprice) - 1 AS position FROM valid v, files))""")
+BATCHED = (FAULTY + PLACED + """,
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY batch, InvoiceNo, StockCode ORDER BY position) AS rn,
+         count(*) OVER (PARTITION BY batch, InvoiceNo, StockCode) AS group_rows
+  FROM placed WHERE NOT (CustomerID IS NULL OR isnan(CustomerID) OR InvoiceDate IS NULL)),
+winners AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1),""" + classify("classified0", "winners") + """,
+classified AS (
+  SELECT *, outcome = 'clean' AND row_number() OVER (
+    PARTITION BY outcome, InvoiceNo, StockCode, ts ORDER BY position) > 1 AS later
+  FROM classified0)""")
+
+# A feed with customers that aren't numbers, long countries and large prices, for a table with 67 months.
+ODD = ("WITH " + RETAIL.replace("retail AS (", "every AS (", 1) + """,
+retail AS (
+  SELECT * REPLACE (
+    CASE WHEN (CAST(InvoiceNo AS BIGINT) + CAST(StockCode AS BIGINT)) % 31 = 0 THEN CAST('nan' AS DOUBLE) ELSE CustomerID END AS CustomerID,
+    CASE WHEN (CAST(InvoiceNo AS BIGINT) + 2 * CAST(StockCode AS BIGINT)) % 37 = 0 THEN repeat('x', 51) ELSE Country END AS Country,
+    CASE WHEN (CAST(InvoiceNo AS BIGINT) + 4 * CAST(StockCode AS BIGINT)) % 41 = 0 THEN 1e9 ELSE UnitPrice END AS UnitPrice)
+  FROM every)""" + "," + VALIDATED.replace(_NULL_CHECKS, _NULLS_ONLY) + "," + WINNERS + ","
+       + classify("classified0", "winners") + """,
+classified AS (
+  SELECT * REPLACE (CASE WHEN outcome = 'clean' AND NOT strftime(ts, '%Y_%m') BETWEEN '1995_06' AND '2000_12'
+    THEN 'no_partition' ELSE outcome END AS outcome) FROM classified0)""")
+
+# The three deliveries of the distinct stream, its watermarks, and what each lets through.
+DISTINCT = "WITH " + RETAIL + "," + VALIDATED + """,
+timed AS (
+  SELECT InvoiceNo, StockCode, CAST(InvoiceDate AS TIMESTAMP) AS ts,
+         (CAST(InvoiceNo AS BIGINT) + CAST(StockCode AS BIGINT)) % 10 AS h FROM valid WHERE InvoiceDate <> 'bad-date'),
+cut AS (SELECT TIMESTAMP '1997-01-01' AS c1, TIMESTAMP '1999-01-01' AS c2, INTERVAL 90 DAY AS delay),
+d0 AS (SELECT DISTINCT InvoiceNo, StockCode, ts FROM timed, cut WHERE ts < c1 AND h <> 3),
+d1 AS (SELECT DISTINCT InvoiceNo, StockCode, ts FROM timed, cut WHERE (ts >= c1 AND ts < c2) OR (ts < c1 AND h IN (3, 4))),
+d2 AS (
+  SELECT DISTINCT InvoiceNo, StockCode, ts FROM timed, cut WHERE ts >= c2 OR (ts >= c1 AND ts < c2 AND h = 6)
+  UNION SELECT DISTINCT InvoiceNo, StockCode, ts + INTERVAL 5 YEAR FROM timed, cut WHERE ts < c1 AND h = 5),
+w AS (
+  SELECT (SELECT max(ts) FROM d0) - delay AS w1,
+         greatest((SELECT max(ts) FROM d0), (SELECT max(ts) FROM d1)) - delay AS w2, delay FROM cut),
+e1 AS (
+  SELECT d1.* FROM d1, w WHERE d1.ts > w1 AND NOT EXISTS (
+    SELECT 1 FROM d0 WHERE d0.InvoiceNo = d1.InvoiceNo AND d0.StockCode = d1.StockCode AND d0.ts + delay > w1)),
+e01 AS (SELECT * FROM d0 UNION ALL SELECT * FROM e1),
+e2 AS (
+  SELECT d2.* FROM d2, w WHERE d2.ts > w2 AND NOT EXISTS (
+    SELECT 1 FROM e01 WHERE e01.InvoiceNo = d2.InvoiceNo AND e01.StockCode = d2.StockCode AND e01.ts + delay > w2))
+SELECT InvoiceNo, StockCode, ts AS event_time FROM e01
+UNION ALL SELECT InvoiceNo, StockCode, ts FROM e2"""
+
+
+def _writes() -> dict[str, str]:
+    """SQL of the queries that write, stream and restart."""
+    later = "(SELECT count(*) FROM classified WHERE later)"
+    loaded = f"InvoiceDate < TIMESTAMP '{LOADED_BEFORE}'"
+    replayed = "(SELECT count(*) FROM classified WHERE outcome = 'clean' AND CAST(InvoiceNo AS BIGINT) % 2 = 1)"
+    panel = "SELECT '{0}' AS panel, {1} AS item, '{2}' AS measure, CAST({3} AS DOUBLE) AS value FROM {4}"
+    return {
+        "valid_batches": FAULTY + PLACED + """
+SELECT InvoiceNo, StockCode, Description, CAST(Quantity AS BIGINT) AS Quantity, UnitPrice, position, batch FROM placed""",
+        "valid_batch_metrics": BATCHED + _counts("every", "broken", later),
+        "upsert_table": BASE + "," + EXISTING + "," + classify("inc_all", "kept") + f""",
+loaded AS (
+  SELECT {STORE_COLS} FROM existing
+  UNION ALL SELECT {STORE_COLS.replace('InvoiceDate', 'InvoiceDate + INTERVAL 40 DAY')} FROM existing
+  WHERE (CAST(InvoiceNo AS BIGINT) + CAST(StockCode AS BIGINT)) % 5 = 0),
+incoming AS (
+  SELECT InvoiceNo, StockCode, Description, qty_int AS Quantity, ts AS InvoiceDate,
+         price_dec AS UnitPrice, cust_text AS CustomerID, Country, total_dec AS TotalAmount,
+         row_number() OVER (PARTITION BY InvoiceNo, StockCode ORDER BY l_linenumber, l_suppkey, l_extendedprice) AS up,
+         row_number() OVER (PARTITION BY InvoiceNo, StockCode ORDER BY l_linenumber DESC, l_suppkey DESC, l_extendedprice DESC) AS down
+  FROM inc_all WHERE outcome = 'clean' AND ts >= TIMESTAMP '1998-01-01'),
+held AS (SELECT InvoiceNo, StockCode, min(InvoiceDate) AS first FROM loaded GROUP BY ALL)
+SELECT o.InvoiceNo, o.StockCode, CASE WHEN n.up IS NOT NULL THEN n.Description ELSE o.Description END AS Description,
+       CASE WHEN n.up IS NOT NULL THEN n.Quantity ELSE o.Quantity END AS Quantity, o.InvoiceDate,
+       CASE WHEN n.up IS NOT NULL THEN n.UnitPrice ELSE o.UnitPrice END AS UnitPrice, o.CustomerID, o.Country,
+       CASE WHEN n.up IS NOT NULL THEN n.TotalAmount ELSE o.TotalAmount END AS TotalAmount
+FROM loaded o JOIN held USING (InvoiceNo, StockCode)
+LEFT JOIN incoming n ON n.InvoiceNo = o.InvoiceNo AND n.StockCode = o.StockCode AND n.down = 1 AND o.InvoiceDate = first
+UNION ALL
+SELECT f.InvoiceNo, f.StockCode, l.Description, l.Quantity, f.InvoiceDate, l.UnitPrice, f.CustomerID, f.Country, l.TotalAmount
+FROM incoming f JOIN incoming l USING (InvoiceNo, StockCode)
+WHERE f.up = 1 AND l.down = 1 AND NOT EXISTS (
+  SELECT 1 FROM held h WHERE h.InvoiceNo = f.InvoiceNo AND h.StockCode = f.StockCode)""",
+        "insert_if_absent_bucketed": BASE + f"""
+SELECT InvoiceNo, StockCode, InvoiceDate, CASE WHEN {loaded} THEN 'Duplicate' ELSE 'inserted' END AS outcome,
+       'Duplicate' AS "then" FROM clean""",
+        "stream_distinct": DISTINCT,
+        "stream_dashboard": BASE + ",\n" + f"""
+sums AS ({KPI_FROM}),
+products AS (SELECT Description AS d, sum(Quantity) AS q FROM clean WHERE Description IS NOT NULL GROUP BY 1 ORDER BY q DESC, d LIMIT 10),
+hours AS (SELECT hour(InvoiceDate) AS h, sum(TotalAmount) AS r FROM clean GROUP BY 1),
+countries AS (SELECT Country AS c, sum(TotalAmount) AS s FROM clean WHERE Country IS NOT NULL GROUP BY 1 ORDER BY s DESC, c LIMIT 10),
+categories AS (
+  SELECT c, sum(TotalAmount) AS r FROM (SELECT {FIRST_WORD} AS c, TotalAmount FROM clean) WHERE c IS NOT NULL
+  GROUP BY 1 ORDER BY r DESC, c LIMIT 10)
+""" + "\nUNION ALL ".join(
+            [panel.format("kpi", "''", m, m, "sums") for m in ("total_sales", "total_transactions", "avg_transaction_value")]
+            + [panel.format("top_products", "d", "quantity", "q", "products"),
+               panel.format("hourly_revenue", "CAST(h AS VARCHAR)", "revenue", "r", "hours"),
+               panel.format("country_sales", "c", "sales", "s", "countries"),
+               panel.format("category_sales", "c", "revenue", "r", "categories")]),
+        "stream_restart_metrics": _metrics_sql(False).replace(
+            "CAST(0 AS BIGINT) AS already_written", f"{replayed} AS already_written"),
+        "observed_metrics": _metrics_sql(False),
+        "dlq_readback": BASE + f"""
+SELECT error, 'schema' AS reason, {RAW_JSON} AS data FROM validated WHERE error <> ''
+UNION ALL SELECT 'InvoiceDate:format', 'bad_date', {RAW_JSON} FROM classified WHERE outcome = 'bad_date'
+UNION ALL SELECT store_err, 'store_reject', {RAW_JSON} FROM classified WHERE outcome = 'store_reject'""",
+        "all_outcomes": ODD + _counts("retail", "(SELECT 1 WHERE false)", "0").replace(
+            "CAST(0 AS BIGINT) AS no_partition", "(SELECT count(*) FROM classified WHERE outcome = 'no_partition') AS no_partition"),
+        "outcome_errors": ODD + """
+SELECT outcome AS reason, CASE outcome WHEN 'store_reject' THEN store_err ELSE 'invoice_month:' || strftime(ts, '%Y_%m') END AS error,
+       count(*) AS n_rows FROM classified WHERE outcome IN ('store_reject', 'no_partition') GROUP BY ALL""",
+        "permissive_malformed": "WITH " + RETAIL + f"""
+SELECT InvoiceNo AS sent_InvoiceNo, StockCode AS sent_StockCode, CASE WHEN ok THEN InvoiceNo END AS InvoiceNo,
+       CASE WHEN ok THEN StockCode END AS StockCode, CASE WHEN ok THEN Description END AS Description,
+       CASE WHEN ok THEN Quantity END AS Quantity, CASE WHEN ok THEN InvoiceDate END AS InvoiceDate,
+       CASE WHEN ok THEN UnitPrice END AS UnitPrice, CASE WHEN ok THEN CAST(CustomerID AS VARCHAR) END AS CustomerID,
+       CASE WHEN ok THEN Country END AS Country
+FROM (SELECT *, NOT ({BAD_MESSAGE}) AS ok FROM retail)""",
+        "csv_sink_roundtrip": BASE + "," + classify("every_row", "kept") + """
+SELECT InvoiceNo, StockCode, Description, qty_int AS Quantity, ts AS InvoiceDate, price_dec AS UnitPrice,
+       cust_text AS CustomerID, Country, total_dec AS TotalAmount FROM every_row WHERE outcome = 'clean'""",
+        "swap_rows": BASE + f"""
+SELECT step, count(*) AS n_rows, CAST(sum(Quantity) AS BIGINT) AS quantity
+FROM clean, (VALUES ('old alone', true), ('both there', true), ('published', false)) s(step, old)
+WHERE NOT old OR {loaded} GROUP BY step""",
+    }
+
+
 def _build() -> dict[str, str]:
     out = {
         "retail_raw": "WITH " + RETAIL + "\nSELECT * FROM retail",
@@ -348,6 +487,7 @@ FROM retail GROUP BY InvoiceNo, StockCode, InvoiceDate HAVING count(*) > 1""",
         out[f"events_window_{k}"] = ("SELECT event_id, ts, user_id, event_type, value FROM events WHERE "
                                      + _between("ts", bounds))
     out.update(_messages())
+    out.update(_writes())
     return out
 
 

@@ -174,13 +174,16 @@ def _key_rule(mult: int, mod: int) -> F.Column:
     return (F.col("InvoiceNo").cast("bigint") + F.lit(mult) * F.col("StockCode").cast("bigint")) % mod
 
 
-def _faulty_messages(spark, sf):
-    """Messages of which every 43rd key is cut to malformed text; those all have one arrival order."""
+def _faulty_messages(spark, sf, keep=None):
+    """Messages of which every 43rd key is cut to malformed text; those all have one arrival order, unless
+    ``keep`` names the feed's columns that go along whole."""
     feed = _feed(spark, sf)
     bad = _key_rule(2, 43) == 0
-    text = to_messages(feed, ["InvoiceNo", "StockCode", *RETAIL_ORDER_COLS])
-    return text.select(F.when(bad, F.concat(F.lit("{bad "), F.col("InvoiceNo"))).otherwise(F.col("value")).alias("value"),
-                       *[F.when(~bad, F.col(c)).alias(c) for c in RETAIL_ORDER_COLS])
+    text = to_messages(feed, keep or ["InvoiceNo", "StockCode", *RETAIL_ORDER_COLS])
+    value = F.when(bad, F.concat(F.lit("{bad "), F.col("InvoiceNo"))).otherwise(F.col("value")).alias("value")
+    if keep:
+        return text.select(value, *keep)
+    return text.select(value, *[F.when(~bad, F.col(c)).alias(c) for c in RETAIL_ORDER_COLS])
 
 
 def _faulty(spark, sf):
@@ -277,13 +280,18 @@ def q_text_formats(spark, sf):
                         percent_text("share_pct").alias("share"))
 
 
-def q_upsert_latest(spark, sf):
-    """Every clean feed row (no dedupe) applied in arrival order onto the
-    rows loaded before the cut."""
+def _clean_feed(spark, sf):
+    """Every clean feed row, no dedupe."""
     valid = _validated(spark, sf).where(F.col("reason").isNull())
     kept = mark_missing_ids(valid).where(F.col("outcome").isNull()).drop("outcome")
-    incoming = clean_events(kept).where(F.col("outcome") == S.OUTCOME_CLEAN)
-    return upsert_latest(_existing(spark, sf), incoming, RETAIL_ORDER_COLS)
+    return clean_events(kept).where(F.col("outcome") == S.OUTCOME_CLEAN)
+
+
+def q_upsert_latest(spark, sf):
+    """Every clean feed row (no dedupe) applied in arrival order onto the stored
+    rows loaded before the cut."""
+    loaded = stored_table(spark, sf).where(F.col("InvoiceDate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
+    return upsert_latest(loaded, _clean_feed(spark, sf), RETAIL_ORDER_COLS)
 
 
 def q_kpi(spark, sf):

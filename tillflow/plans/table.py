@@ -54,6 +54,37 @@ def create_table(spark: SparkSession, name: str, location: str | None = None) ->
               f"{S.PARTITION_COLUMN} string) USING parquet PARTITIONED BY ({S.PARTITION_COLUMN}){loc}")
 
 
+def create_keyed_table(spark: SparkSession, name: str, buckets: int, location: str | None = None) -> None:
+    """D3: the table of :func:`create_table` in a keyed layout: bucketed and sorted on the unique key
+    (InvoiceNo, StockCode, InvoiceDate) inside each month (idempotent).
+
+    A join on that key reads each bucket of all months as one task and needs no shuffle of the
+    table.  ``buckets`` should leave a bucket of all months together a few hundred MB."""
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.STORE_SCHEMA.fields)
+    key = ", ".join(S.TRIPLE_KEY)
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, query_id string, batch_id bigint, "
+              f"{S.PARTITION_COLUMN} string) USING parquet PARTITIONED BY ({S.PARTITION_COLUMN}) "
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS{loc}")
+
+
+def table_buckets(spark: SparkSession, name: str) -> int:
+    """Buckets that a keyed table was created with."""
+    said = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Num Buckets").first()
+    if said is None:
+        raise ValueError(f"{name} isn't a keyed table")
+    return int(said["data_type"])
+
+
+def append_keyed(spark: SparkSession, name: str, stored: DataFrame) -> None:
+    """Append rows to a keyed table: one file for each month and bucket that gets any.
+
+    Rows are dealt out by the key exactly as the buckets are, so a hot month spreads
+    over all tasks and every task writes its own bucket."""
+    (stored.select(*S.TABLE_COLUMNS).repartition(table_buckets(spark, name), *S.TRIPLE_KEY)
+     .write.mode("append").insertInto(name))
+
+
 def register_partitions(spark: SparkSession, name: str) -> None:
     """Make months that were written by path visible through the table's name."""
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
@@ -66,6 +97,14 @@ def swap_tables(spark: SparkSession, old: str, new: str, archive: str) -> None:
     spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
 
 
+def publish(spark: SparkSession, view: str, table: str) -> None:
+    """D4 as readers see it: ``view`` shows ``table`` from now on.
+
+    Replacing a view is one change of the catalog, so a reader by the view's name finds the old table or the
+    new one, never none (between the two renames of :func:`swap_tables` there is no table of the old name)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+
+
 def layout_for_write(stored: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Range-partition by (month, time) before a partitioned write.
 

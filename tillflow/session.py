@@ -71,3 +71,11 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "tillflow", *parts, uuid.uuid4().hex])
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`shared_path` named, once nothing reads it any more."""
+    if not path.startswith(checkpoint_dir(spark).rstrip("/") + "/tillflow/"):
+        raise ValueError(f"{path} isn't a shared path of this session")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -32,16 +32,31 @@ def dashboard_streams(frame: DataFrame, n: int = A.TOP_N) -> dict[str, DataFrame
     }
 
 
+#: Of each answer the column that names its rows, and its measures.
+PANELS = {
+    "kpi": (None, ["total_sales", "total_transactions", "avg_transaction_value"]),
+    "top_products": ("description", ["quantity"]),
+    "hourly_revenue": ("hour", ["revenue"]),
+    "country_sales": ("country", ["sales"]),
+    "category_sales": ("category", ["revenue"]),
+}
+
+
 def start_dashboard(spark: SparkSession, table_path: str, checkpoint_root: str,
                     sink: str = "memory", processing_time: str = REFRESH,
-                    available_now: bool = False):
-    """Start one complete-mode query per aggregate; memory sink (tests) or
-    any sink that accepts complete mode."""
+                    available_now: bool = False, out: str | None = None):
+    """Start one complete-mode query per aggregate; a restart takes up its state from the checkpoint.
+
+    ``sink="memory"`` is for tests; with ``sink="parquet"`` every refresh replaces the answer's few rows in
+    ``out/<name>``; any other sink must accept complete mode."""
     frame = A.dashboard_frame(table_stream(spark, table_path))
     queries = {}
     for name, agg in dashboard_streams(frame).items():
-        w = (agg.writeStream.outputMode("complete").format(sink)
-             .option("checkpointLocation", f"{checkpoint_root}/{name}"))
+        w = agg.writeStream.outputMode("complete").option("checkpointLocation", f"{checkpoint_root}/{name}")
+        if sink == "parquet":
+            w = w.foreachBatch(_replace(f"{out}/{name}"))
+        else:
+            w = w.format(sink)
         if sink == "memory":
             w = w.queryName(f"dash_{name}")
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
@@ -49,6 +64,13 @@ def start_dashboard(spark: SparkSession, table_path: str, checkpoint_root: str,
     return queries
 
 
+def _replace(path: str):
+    """Each refresh is the whole answer (complete mode), at most a few dozen rows."""
+    def write(answer: DataFrame, _: int) -> None:
+        answer.coalesce(1).write.mode("overwrite").parquet(path)
+    return write
+
+
 def start_windowed_dashboard(spark: SparkSession, table_path: str, checkpoint: str, duration: str, on_refresh,
                              now=None, processing_time: str = REFRESH, available_now: bool = False):
     """T7 for a chosen duration: new files of the table are the tick, and every

@@ -2,19 +2,25 @@
 
 The deprecated reference job used ``dropDuplicates`` without a watermark,
 so its state grows for ever.  The default here is the micro-batch dedupe
-plus the table's insert-if-absent guard (no stream state at all); when a
-bounded in-stream distinct is wanted, ``dropDuplicatesWithinWatermark``
-keeps each key only for the watermark delay (RocksDB state store
-recommended for large state)."""
+plus the table's insert-if-absent guard (no stream state at all).  Where a
+bounded distinct inside the stream is wanted, each key is kept only until the watermark
+passes its first time plus the delay, in a RocksDB state store, which keeps the state
+on the executors' disks and uploads its changes to the checkpoint, not on the JVM heap."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import schema as S
+from tillflow.functions.scalar import parse_invoice_ts
 
 ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
                     "RocksDBStateStoreProvider")
+_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
 def distinct_within_watermark(stream: DataFrame, ts_col: str = "InvoiceDate",
@@ -25,3 +31,49 @@ def distinct_within_watermark(stream: DataFrame, ts_col: str = "InvoiceDate",
 def distinct_unbounded(stream: DataFrame, key=S.PAIR_KEY) -> DataFrame:
     """The reference's behaviour (state never expires); kept for parity."""
     return stream.dropDuplicates(list(key))
+
+
+def keyed_events(validated: DataFrame, key=S.PAIR_KEY) -> DataFrame:
+    """Valid events with a time (P5, F1): what a distinct by event time can take."""
+    return (validated.where("reason IS NULL")
+            .select(*key, parse_invoice_ts("InvoiceDate").cast("timestamp").alias("event_time"))
+            .where("event_time IS NOT NULL"))
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB (a stream takes its provider when it starts,
+    and a restart must use the one its checkpoint was made with)."""
+    before = spark.conf.get(_PROVIDER_CONF, None)
+    spark.conf.set(_PROVIDER_CONF, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER_CONF)
+        else:
+            spark.conf.set(_PROVIDER_CONF, before)
+
+
+def start_distinct(events: DataFrame, out_path: str, checkpoint: str, delay: str, key=S.PAIR_KEY,
+                   available_now: bool = False, processing_time: str = "30 seconds") -> StreamingQuery:
+    """Append the first event of each key to Parquet, exactly once over restarts.
+
+    ``events`` is a stream of key columns and ``event_time``.  An event at or before the watermark (the latest
+    time of the batches before, less ``delay``) is late and dropped.  A key that was let through is held until the
+    watermark passes its time plus ``delay``; until then further events of it are dropped, afterwards the key
+    counts as new.  Of several events of one key in one micro-batch, one is let through.
+    """
+    with rocksdb_state(events.sparkSession):
+        writer = (distinct_within_watermark(events, "event_time", delay, key).writeStream.format("parquet")
+                  .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append"))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+        return writer.start()
+
+
+def state_rows(query: StreamingQuery) -> int:
+    """Keys that the distinct holds after the last batch that reported its state."""
+    for progress in reversed(query.recentProgress):
+        if progress["stateOperators"]:
+            return int(progress["stateOperators"][0]["numRowsTotal"])
+    return 0
