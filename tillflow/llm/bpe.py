@@ -239,40 +239,22 @@ def replay(m: Merges, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
 
 
 class Pieces:
-    """The distinct pieces of a chunk, numbered in order of arrival."""
+    """The distinct pieces of a chunk, numbered exactly: an Arrow dictionary for each step, unified at the end."""
 
     def __init__(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.numbers = np.zeros(0, np.int64)
-        self.data: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
-        self.count = 0
-
-    def number(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The number of every piece ``data[starts[i]:starts[i + 1]]``."""
-        if len(starts) < 2:
-            return np.zeros(0, np.int32)
-        h, first, back = np.unique(T.word_hashes(data, starts[:-1], starts[1:]), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, h)
-        known = np.zeros(len(h), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == h[inside]
-        own = np.zeros(len(h), np.int64)
-        own[known] = self.numbers[at[known]]
-        new = ~known
-        own[new] = self.count + np.arange(int(new.sum()))
-        begin, length = starts[first[new]], starts[first[new] + 1] - starts[first[new]]
-        self.data.append(data[T.ragged(begin, length)])
-        self.lengths.append(length)
-        self.count += int(new.sum())
-        self.hashes = np.insert(self.hashes, at[new], h[new])
-        self.numbers = np.insert(self.numbers, at[new], own[new])
-        return own[back].astype(np.int32)
-
-    def encode(self, m: Merges) -> tuple[np.ndarray, np.ndarray]:
-        lengths = np.concatenate([np.zeros(1, np.int64), *self.lengths])
-        data = np.concatenate(self.data) if self.data else np.zeros(0, np.uint8)
-        return replay(m, data, np.cumsum(lengths))
+        self.steps: list[pa.DictionaryArray] = []
+
+    def add(self, data: np.ndarray, starts: np.ndarray) -> None:
+        """The pieces ``data[starts[i]:starts[i + 1]]`` of one step."""
+        plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [
+            None, pa.py_buffer(np.ascontiguousarray(starts, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        self.steps.append(plain.dictionary_encode())
+
+    def encode(self, m: Merges) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """The piece numbers of each step, the ids of the distinct pieces, and the first id of each piece (and the end)."""
+        whole = pa.chunked_array(self.steps).unify_dictionaries()
+        data, at = T.bytes_of(whole.chunk(0).dictionary)
+        return [step.indices.to_numpy(zero_copy_only=False) for step in whole.chunks], *replay(m, data, at)
 
 
 class Encoded(NamedTuple):
@@ -285,21 +267,23 @@ class Encoded(NamedTuple):
 
 def chunks(batches: Iterator[pa.RecordBatch], m: Merges, column: str = "text") -> Iterator[Encoded]:
     """The texts of a task, encoded chunk by chunk."""
-    book, rows, numbers, firsts, size = Pieces(), [], [], [], 0
+    book, rows, firsts, size = Pieces(), [], [], 0
     for batch in batches:
         text = T.large(batch.column(column))
         for lo, hi in T.steps(text):
             data, at = T.bytes_of(text.slice(lo, hi - lo))
             starts, first = pieces(data, at)
             rows.append((batch, lo, hi))
-            numbers.append(book.number(data, starts))
+            book.add(data, starts)
             firsts.append(first)
             size += len(data)
             if size >= CHUNK_BYTES:
-                yield Encoded(rows, numbers, firsts, *book.encode(m))
-                book, rows, numbers, firsts, size = Pieces(), [], [], [], 0
+                numbers, ids, cuts = book.encode(m)
+                yield Encoded(rows, numbers, firsts, ids, cuts)
+                book, rows, firsts, size = Pieces(), [], [], 0
     if rows:
-        yield Encoded(rows, numbers, firsts, *book.encode(m))
+        numbers, ids, cuts = book.encode(m)
+        yield Encoded(rows, numbers, firsts, ids, cuts)
 
 
 def texts(part: Encoded) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:

@@ -79,7 +79,7 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     starts, ends, doc = T.word_spans(low, at)
     n = len(at) - 1
     count = np.bincount(doc, minlength=n)
-    h = T.word_hashes(low, starts, ends)
+    h = T.word_digests(low, starts, ends)
     tail = T.word_hashes(low, np.maximum(ends - 2, starts), ends)
     cls = 1 + (tail >> _U(33)) % _U(CLASSES - 1)
     place = np.arange(len(h)) + doc

@@ -64,14 +64,14 @@ def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """(text number, 48-bit shingle hash) of every shingle, and two hashes of each text's word sequence."""
     starts, ends, doc = T.word_spans(data, at)
     n = len(at) - 1
-    h = T.word_hashes(data, starts, ends)
+    h = T.word_digests(data, starts, ends)
     count = np.bincount(doc, minlength=n)
     first = np.cumsum(count) - count
-    up, down = T.powers(len(h) + 1)
+    place = (np.arange(len(h)) - first[doc]).astype(np.uint64)
     content = []
-    for salt in (_U(3), _U(11)):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(h + salt) * up[: len(h)])])
-        content.append(T.mix((total[first + count] - total[first]) * down[first] + count.astype(np.uint64) * salt))
+    for salt in (_U(0x8CB92BA72F3D8DD7), _U(0xABC98388FB8FAC03)):  # each word mixed with its place, so that order counts
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(h ^ T.mix(place * _U(2) + salt)))])
+        content.append(T.mix(total[first + count] - total[first] + count.astype(np.uint64) * salt))
     wide = np.concatenate([h, np.zeros(SHINGLE - 1, np.uint64)])
     joined = np.zeros(len(h), np.uint64)
     left = (first + count)[doc] - np.arange(len(h))  # words from here to the text's end
@@ -209,7 +209,7 @@ def link_blocks(frame: pd.DataFrame, threshold: float = THRESHOLD) -> pd.DataFra
     Intersections are matrix products over the shingles that occur, in slices
     of bounded width.
     """
-    frame = frame.drop_duplicates("rep")
+    frame = frame.drop_duplicates(["rep", "grams"])  # a doc_id may have several texts
     sets = [np.frombuffer(g, "<u4") for g in frame["grams"]]
     piv = np.flatnonzero(frame["pivot"].to_numpy())
     rep, comp = frame["rep"].to_numpy(), frame["comp"].to_numpy()

@@ -62,7 +62,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for many spans, by prefix sums."""
+    """A 64-bit hash of ``values[start:end]`` for many spans, by prefix sums. For hashed features and filters only:
+    arithmetic modulo 2**64 makes some regular texts collide whatever the base; what stands for a text or a word
+    takes :func:`word_digests`."""
     up, down = powers(len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=total[1:])
@@ -130,6 +132,90 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+#: A prime modulus under which different spans rarely share a digest, and a base drawn once at random.
+PRIME = (1 << 61) - 1
+_ROOT = 0x0B5C1D9E3F7A2468 % PRIME
+_P, _M30, _M31 = np.uint64(PRIME), np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+_S1, _S30, _S31, _S61 = np.uint64(1), np.uint64(30), np.uint64(31), np.uint64(61)
+#: Bytes whose weighted sums stay within 64 bits.
+_SUM_BYTES = 1 << 23
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    x = (x >> _S61) + (x & _P)
+    return np.where(x >= _P, x - _P, x)
+
+
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME of numbers below it."""
+    au, ad, bu, bd = a >> _S31, a & _M31, b >> _S31, b & _M31
+    mid = ad * bu + au * bd
+    return _fold((au * bu << _S1) + (mid >> _S30) + ((mid & _M30) << _S31) + ad * bd)
+
+
+def _prime_powers(root: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, mulmod(out, np.uint64(pow(root, len(out), PRIME)))])
+    return out[:n]
+
+
+_PRIME_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _two_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    have = next(iter(_PRIME_POWERS.values()), None)
+    if have is None or len(have[0]) < n:
+        size = max(n, 2 * STEP_BYTES + 1)
+        have = _prime_powers(_ROOT, size), _prime_powers(pow(_ROOT, -1, PRIME), size)
+        if size <= _SUM_BYTES:
+            _PRIME_POWERS.clear()
+            _PRIME_POWERS[size] = have
+    return have
+
+
+def _weighed(data: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of at most _SUM_BYTES bytes weighted by the lower and upper bits of their powers."""
+    part = data.astype(np.uint64) + _S1
+    out = np.zeros((2, len(data) + 1), np.uint64)
+    np.cumsum(part * (up[: len(data)] & _M31), out=out[0, 1:])
+    np.cumsum(part * (up[: len(data)] >> _S31), out=out[1, 1:])
+    return out[0], out[1]
+
+
+def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return _fold(_fold(low) + mulmod(_fold(high), np.uint64(1 << 31)))
+
+
+def _span_sums(data: np.ndarray, up: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Sum modulo PRIME of each span's bytes, byte i weighted by the i-th power."""
+    if len(data) <= _SUM_BYTES:
+        low, high = _weighed(data, up)
+        return _joined(low[e] - low[s], high[e] - high[s])
+    total = np.zeros(len(data) + 1, np.uint64)
+    for lo in range(0, len(data), _SUM_BYTES):
+        part = data[lo: lo + _SUM_BYTES]
+        total[lo + 1: lo + 1 + len(part)] = _fold(_joined(*_weighed(part, up[lo:]))[1:] + total[lo])
+    return _fold(total[e] + _P - total[s])
+
+
+def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Digest of each span of bytes by which equal spans are known: a polynomial modulo the prime 2**61 - 1, so two
+    given different spans of n bytes share one for n of 2**61 bases at most. Much data is taken in blocks."""
+    out = np.empty(len(starts), np.uint64)
+    order = np.argsort(starts, kind="stable")
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + STEP_BYTES, STEP_BYTES))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        if hi > lo:
+            own = order[lo:hi]
+            a, b = int(starts[own[0]]), int(ends[own].max())
+            up, down = _two_powers(b - a + 1)
+            s, e = starts[own] - a, ends[own] - a
+            sums = _span_sums(data[a:b], up, s, e)
+            out[own] = mix(mulmod(sums, down[s]) + (e - s).astype(np.uint64) * _GOLD)
+    return out
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start+1, … of every span, one span after the other."""
     total = int(lengths.sum())
