@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import LABELS, ODD, SCHEMA, WORD, crc, docs
 from tillflow.llm import langid, lm, toxicity
+from tillflow.llm import textnp as T
 
 SF = "/root/testdata/sf0.01"
 
@@ -99,12 +100,13 @@ def test_model_beats_base_on_held_out_rows(spark):
     assert np.mean([r["score"] > r["base_score"] for r in rows]) > 0.8
 
 
-def test_class_probabilities_sum_to_one():
+def test_class_and_kind_probabilities_sum_to_one():
     rng = np.random.default_rng(3)
-    w = rng.standard_normal((lm.FEATURES, lm.CLASSES)).astype(np.float32)
-    f = np.stack([rng.integers(0, lm.FEATURES, 1) for _ in range(4)]).repeat(lm.CLASSES, 1)
-    logs = lm.class_logs(w, f, np.arange(lm.CLASSES))
-    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+    for rows, wide in lm.SHAPES:
+        w = rng.standard_normal((rows, wide)).astype(np.float32)
+        f = np.stack([rng.integers(0, rows, 1) for _ in range(4)]).repeat(wide, 1)
+        logs = lm.class_logs(w, f, np.arange(wide))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_pairs_are_counted_over_the_corpus(spark):
@@ -113,21 +115,89 @@ def test_pairs_are_counted_over_the_corpus(spark):
     rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(rng.randint(0, 40)))) for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     chunks = lm.chunk_table(df.withColumn("held_out", F.lit(False))).checkpoint()
-    want: Counter = Counter()
+    want, tokens = Counter(), Counter()
     for _, t in rows:
         w = [None, *t.split(), "<end>"]
         want.update(zip(w, w[1:], strict=False))
-    got = [r for r in lm.gather_pairs(chunks).collect() if r["level"] == 1]
-    assert len({r["chunk"] for r in got}) > 3 and len({r["at"] for r in got}) > 3
-    assert sum(r["once"] for r in got) == sum(n == 1 for n in want.values())
-    assert sum(r["twice"] for r in got) == sum(n == 2 for n in want.values())
-    n = {}
+        tokens.update(w[1:])
+    places = sum(want.values())
+    answers = lm.gather(chunks, places).checkpoint()
+    got = answers.collect()
+    pairs = [r for r in got if r["level"] == lm.PAIRS]
+    assert len({r["chunk"] for r in pairs}) > 3 and len({r["at"] for r in pairs}) > 3
+    n, c = {}, {}
     for r in chunks.collect():
         place, begins, _, _ = lm._unpack(r.asDict())
-        keys = np.unique(lm.pair_keys(place, begins, np.array(r["hashes"], np.int64).view(np.uint64), np.array(r["classes"]))[1])
-        mine = sorted((x for x in got if x["chunk"] == r["chunk"]), key=lambda x: x["at"])
-        n |= dict(zip(keys.tolist(), np.concatenate([lm._spread(x["n"], x["c"], "<i8") for x in mine]).tolist(), strict=True))
-    assert sorted(n.values()) == sorted(want.values())
+        hashes = np.array(r["hashes"], np.int64).view(np.uint64)
+        key, own = np.unique(lm.pair_keys(place, begins, hashes, lm._widths(places)[1]), return_counts=True)
+        for level, names, mine, into in ((lm.PAIRS, key, own, n), (lm.TOKENS, np.sort(hashes), np.array(r["counts"])[np.argsort(hashes)], c)):
+            rows_ = sorted((x for x in got if x["chunk"] == r["chunk"] and x["level"] == level), key=lambda x: x["at"])
+            more = np.concatenate([lm._spread(x["more"], x["c"], "<i8") for x in rows_])
+            into |= dict(zip(names.tolist(), (mine + more).tolist(), strict=True))
+    assert sorted(n.values()) == sorted(want.values()) and sorted(c.values()) == sorted(tokens.values())
+    cells = lm.add_sums(answers, lm.TOKENS, lm.CELLS)
+    assert cells[0].sum() == sum(tokens.values()) and cells[1].sum() == len(tokens)
+
+
+def test_a_frequent_tokens_pairs_lie_in_many_buckets(spark):
+    """The pairs of one left side are dealt out by both tokens."""
+    rows = [(i, " ".join(f"the w{i * 50 + j}" for j in range(50))) for i in range(40)]
+    chunks = lm.chunk_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(2).withColumn("held_out", F.lit(False))).checkpoint()
+    sizes = [r["c"] for r in lm.gather(chunks, 8_000).collect() if r["level"] == lm.PAIRS]
+    assert len(sizes) > 60 and max(sizes) < 120
+
+
+def test_scores_are_the_plain_ones(spark, monkeypatch):
+    """The model's score against its formula, token by token, from counts in dictionaries and softmaxes in full."""
+    rng = random.Random(5)
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "é"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    weights = lm.train(lm.chunk_table(df.withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2)))
+    monkeypatch.setattr(lm, "train", lambda _: weights)
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(df).collect()}
+
+    def spelled(t):
+        h, cell, _ = lm.tokens(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))
+        return list(zip(h.tolist(), cell.tolist(), strict=True))
+    c, pairs, cell_of = Counter(), Counter(), {}
+    for i, t in rows:
+        w = spelled(t)
+        cell_of.update(w)
+        if crc(i) % 7 != 2:
+            c.update(h for h, _ in w)
+            pairs.update(zip([0, *[h for h, _ in w]], [h for h, _ in w], strict=False))
+    size = Counter()
+    for h, n in c.items():
+        size[cell_of[h]] += n + 1
+    answers = lm.gather(lm.chunk_table(df.withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2)), 60 * 26)
+    once, twice = (sum(n == k for n in pairs.values()) for k in (1, 2))
+    free = lm.novelty(lm.add_sums(answers.checkpoint(), lm.NEW, lm.BINS)) * (once + 1) / (once + 2 * twice + 2)
+
+    def softmax(w, f):
+        x = np.sum([w[r].astype(np.float64) for r in f], axis=0)
+        x = np.exp(x - x.max())
+        return x / x.sum()
+    for i, t in rows:
+        w, score = spelled(t), 0.0
+        slot = [int(T.mix(np.array([h], np.uint64))[0]) & 0xFFFF for h, _ in w]
+        for k, (h, cell) in enumerate(w):
+            def at(a, d, k=k):
+                return a[k - d] if k >= d else 0
+            s1, s2 = at(slot, 1), at(slot, 2)
+            cls = [at([x // lm.KINDS for _, x in w], d) for d in (1, 2, 3, 4)]
+            own = cell // lm.KINDS
+            p = softmax(weights[0], [s1 % lm.TOKEN1, lm.TOKEN1 + s2 % lm.TOKEN2, lm.TOKEN1 + lm.TOKEN2 + cls[0] * lm.CLASSES + cls[1],
+                                     lm.TOKEN1 + lm.TOKEN2 + lm.PAIR + cls[2] * lm.CLASSES + cls[3]])[own]
+            m1, m2 = ((s * lm.CLASSES + own) * 0x9E3779B1 >> 7 for s in (s1, s2))
+            p *= softmax(weights[1], [m1 % lm.WITHIN1, lm.WITHIN1 + m2 % lm.WITHIN2,
+                                      lm.WITHIN1 + lm.WITHIN2 + own * lm.CELLS + at([x for _, x in w], 1)])[cell % lm.KINDS]
+            q = p * (c[h] + 1) / (size[cell] + 1)
+            before = w[k - 1][0] if k else 0
+            whole = c[before] if k else sum(crc(j) % 7 != 2 for j, _ in rows)
+            d = free[int(np.log2(max(whole, 1)))]
+            score += math.log10((1 - d) * pairs[before, h] / whole + d * q if whole else q)
+        assert got[i] == pytest.approx(score, rel=1e-4)
 
 
 def test_word_order_of_the_corpus_is_learned(spark):
@@ -151,12 +221,14 @@ def test_word_order_of_the_corpus_is_learned(spark):
         assert got[on]["score"] > got[back]["score"] + 10
 
 
-def test_interpolated_factors_sum_to_one():
+def test_interpolated_probabilities_sum_to_one():
     rng = np.random.default_rng(9)
     q = rng.dirichlet(np.ones(50))
     n = rng.integers(0, 4, 50)
-    for whole, kinds in ((n.sum(), (n > 0).sum()), (0, 0)):
-        assert lm.interpolate(n if whole else 0 * n, whole, kinds, 0.6, q).sum() == pytest.approx(1)
+    for whole in (n.sum(), 0):
+        assert lm.interpolate(n if whole else 0 * n, np.full(50, whole), np.full(50, 0.6), q).sum() == pytest.approx(1)
+    rates = lm.novelty(np.array([[10, 40, 0, 100] + [0] * (lm.BINS - 4), [10, 20, 0, 80] + [0] * (lm.BINS - 4)]))
+    assert rates[:5].tolist() == [1.0, 0.5, 0.5, 0.5, 0.5] and (np.diff(rates) <= 0).all()
 
 
 def test_no_rows_and_no_training_rows(spark):

@@ -1,42 +1,43 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-    P(token | history) = P(class | history) * P(token | class)
+    q(token | history) = P(class | history) * P(kind | class, history) * P(token | class, kind)
 
-A token's class is hashed from its ending. The first factor starts from a softmax over the classes
-with hashed n-gram and skip features of the history: the previous token, the token before it,
-the classes of both, and the classes of the two tokens before those. The second starts from the
-softmax within the class whose one feature is the token itself, with weight log(c + 1), c
+A token's class is hashed from its ending, its kind within the class from its beginning. The first two factors
+are softmaxes with hashed n-gram and skip features, trained by gradient steps: the class by the previous token,
+the token before it, the classes of both, and the classes of the two tokens before those; the kind
+by the class together with the previous token, with the token before it (a skip) and with the previous
+token's class and kind. The third is the softmax whose one feature is the token itself, with weight log(c + 1), c
 being the token's count in all training texts, and one share for tokens never seen.
 
-The weight table has a fixed size; what follows the input are the pairs. For every pair of neighbours
-(previous token, class) and (previous token and class, token) that training texts hold, its count n is
-gathered from the whole corpus, and for its left side the sum N and the number T of its pairs. Both factors
-are interpolated with them by absolute discounting, q being the softmax:
+The weight tables have a fixed size. What follows the input are the tokens' counts and, for every pair
+of neighbours in the training texts, its count n over the whole corpus, with N, the previous token's
+count. They are interpolated with q by the mass that absolute discounting sets free on average:
 
-    P = (max(n - D, 0) + D * T * q) / N, or q where N is 0
+    P = (1 - d) n / N + d q, or q where N is 0
 
-with D = (n1 + 1) / (n1 + 2 n2 + 2) from the numbers of pairs seen once and twice. So the
-probabilities of all tokens sum to one.
+with d = D * (distinct successors per occurrence of tokens about as frequent as N), which all chunks measure
+by powers of two of N, and D = (n1 + 1) / (n1 + 2 n2 + 2) from the numbers of pairs seen once and twice
+in the corpus. The probabilities of all tokens sum to one.
 
-1. Texts become chunks: per chunk the distinct tokens (64-bit hash, class, count in its
+1. Texts become chunks: per chunk the distinct tokens (64-bit digest, class and kind, count in its
    training texts) and all token places as numbers into them. They are written once to the
    shared folder, and everything later reads them instead of the texts.
-2. Counts: the chunks' distinct tokens are exploded and summed over the corpus; what a chunk
-   needs comes back by a join on the hash, only where it differs from the chunk's own count.
+2. Counts: each chunk sends its distinct tokens and its distinct pairs as sorted, packed hashes to buckets by hash,
+   whose number grows with the corpus. A bucket adds them up and answers every chunk in its order with
+   what the corpus has beyond the chunk's own count. A pair's bucket follows from both tokens, so
+   a frequent token's pairs lie in all buckets.
 3. Training: every task runs over the training texts of its chunks in minibatches (adaptive
    gradient steps) from common weights; the tasks' weights are averaged, each feature weighted
    by how often a task saw it, in a tree of sums, WIDE at a time.
-4. Pairs: each chunk sends its distinct pairs, as sorted hashes, to buckets whose number grows with the
-   corpus; a left side lies in one bucket. A bucket adds them up and answers every chunk in its order.
-5. Scoring: a chunk meets its corpus counts and pairs and is scored in sparse numpy batches.
+4. Scoring: a chunk meets its answers and is scored in sparse numpy batches.
 
-Two tokens with one hash would count as one: at 10 billion distinct tokens about three pairs. Left sides have
-40 bits and tokens after them 24: at a billion left sides about one in 1,000 shares its counts with another.
+Two tokens with one digest would count as one: at 10 billion distinct tokens about twenty pairs. Pairs are
+known by PAIR_BITS more bits than the corpus has places: about one in 16,000 shares its count with another.
 
 Edge cases: a null or empty text is its end token alone; rows with a null doc_id count as
-training rows; no training rows: all counts are 0 and the classes are equally likely; repeated
-rows count and score as often as they occur; an empty table gives an empty result; further columns
-are not read.
+training rows; no training rows: all counts are 0 and the classes are equally likely; a very long text is a
+chunk of its own; repeated rows count and score as often as they occur; an empty table gives an empty
+result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -55,42 +56,50 @@ from tillflow.llm.toxicity import in_fold
 from tillflow.session import shared_path
 
 CHUNK_BYTES = 12 << 20
-CLASSES = 64
-#: Rows of the weight table: previous token, the one before, their classes, the classes before those.
+CLASSES, KINDS = 32, 16
+CELLS = CLASSES * KINDS
+#: Rows of the classes' weight table: previous token, the one before, their classes, the classes before those.
 TOKEN1, TOKEN2 = 1 << 13, 1 << 12
 PAIR = CLASSES * CLASSES
 FEATURES = TOKEN1 + TOKEN2 + 2 * PAIR
+#: Rows of the kinds' weight table: class with previous token, with the one before, with the previous cell.
+WITHIN1, WITHIN2 = 1 << 14, 1 << 13
+WITHIN = WITHIN1 + WITHIN2 + CLASSES * CELLS
 BATCH, RATE, DAMP = 8192, 0.2, 4.0
 #: Slices of the weight table and tasks whose slices one sum takes.
 SLICES, WIDE = 16, 64
 #: Token places whose pairs one bucket takes, and the least number of buckets.
 BUCKET, BUCKETS = 1 << 21, 64
+#: Bits of a pair's hash beyond those that count the corpus's places.
+PAIR_BITS = 14
+#: Powers of two of a token's count by which new successors are measured.
+BINS = 48
 
 _U = np.uint64
-_LOW = _U((1 << 24) - 1)
 END_HASH = T.mix(np.array([0x51ED270B], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and class of every token of all texts in order, ends included, and tokens per text."""
+    """Digest and cell (class * KINDS + kind) of every token of all texts in order, ends included, and tokens per text."""
     low = _LOWER[data]
     starts, ends, doc = T.word_spans(low, at)
     n = len(at) - 1
     count = np.bincount(doc, minlength=n)
     h = T.word_digests(low, starts, ends)
     tail = T.word_hashes(low, np.maximum(ends - 2, starts), ends)
-    cls = 1 + (tail >> _U(33)) % _U(CLASSES - 1)
+    head = T.word_hashes(low, starts, np.minimum(starts + 2, ends))
+    cell = (1 + (tail >> _U(33)) % _U(CLASSES - 1)) * _U(KINDS) + (head >> _U(35)) % _U(KINDS)
     place = np.arange(len(h)) + doc
     hashes = np.full(len(h) + n, END_HASH, np.uint64)
-    kinds = np.zeros(len(h) + n, np.uint8)
-    hashes[place], kinds[place] = h, cls.astype(np.uint8)
-    return hashes, kinds, count + 1
+    cells = np.zeros(len(h) + n, np.uint16)
+    hashes[place], cells[place] = h, cell.astype(np.uint16)
+    return hashes, cells, count + 1
 
 
 CHUNK_SCHEMA = ("chunk long, doc_ids array<long>, held array<boolean>, lengths binary, places binary, n_places long, "
-                "hashes array<long>, counts array<int>, classes array<int>, slots binary")
+                "hashes array<long>, counts array<int>, cells array<int>, slots binary")
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
@@ -101,12 +110,12 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         lengths = np.concatenate([p[4] for p in parts])
         held = np.concatenate([p[1] for p in parts])
         counts = np.bincount(back[~np.repeat(held, lengths)], minlength=len(name))
-        cls = np.concatenate([p[3] for p in parts])[first]
+        cells = np.concatenate([p[3] for p in parts])[first]
         # Frequent tokens get small numbers, which pack well.
         order = np.argsort(-np.bincount(back, minlength=len(name)), kind="stable")
         rank = np.empty(len(name), np.int32)
         rank[order] = np.arange(len(name), dtype=np.int32)
-        name, cls, counts = name[order], cls[order], counts[order]
+        name, cells, counts = name[order], cells[order], counts[order]
         ids = [i for p in parts for i in p[0]]
         slots = (T.mix(name) & _U(0xFFFF)).astype("<u2")
         row = {"chunk": [number], "doc_ids": [ids], "held": [held.tolist()],
@@ -114,7 +123,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                "places": [bytes(pa.compress(rank[back].astype("<i4").tobytes(), "zstd"))], "n_places": [len(back)],
                "hashes": pa.ListArray.from_arrays(pa.array([0, len(name)], pa.int32()), pa.array(name.view(np.int64))),
                "counts": pa.ListArray.from_arrays(pa.array([0, len(name)], pa.int32()), pa.array(counts.astype(np.int32))),
-               "classes": pa.ListArray.from_arrays(pa.array([0, len(name)], pa.int32()), pa.array(cls.astype(np.int32))),
+               "cells": pa.ListArray.from_arrays(pa.array([0, len(name)], pa.int32()), pa.array(cells.astype(np.int32))),
                "slots": [slots.tobytes()]}
         kinds = {"chunk": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()),
                  "lengths": pa.binary(), "places": pa.binary(), "n_places": pa.int64(), "slots": pa.binary()}
@@ -137,23 +146,26 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, CHUNK_SCHEMA)
 
 
-def features(place: np.ndarray, begins: np.ndarray, slots: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """(4, tokens) rows of the weight table that are active for each token."""
+def features(place: np.ndarray, begins: np.ndarray, slots: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(4, tokens) rows of the classes' table and (3, tokens) rows of the kinds' table that are active for each token."""
     since = np.arange(len(place)) - begins
-    hash_, kind = slots[place], cls[place]
+    hash_, cell = slots[place], cells[place]
 
     def back(a: np.ndarray, k: int) -> np.ndarray:
         out = np.zeros(len(a), np.int64)
         out[k:] = a[:-k] if k else a
         out[since < k] = 0
         return out
-    k1, k2, k3, k4 = (back(kind, i) for i in (1, 2, 3, 4))
-    return np.stack([back(hash_, 1) % TOKEN1, TOKEN1 + back(hash_, 2) % TOKEN2,
-                     TOKEN1 + TOKEN2 + k1 * CLASSES + k2, TOKEN1 + TOKEN2 + PAIR + k3 * CLASSES + k4])
+    k1, k2, k3, k4 = (back(cell // KINDS, i) for i in (1, 2, 3, 4))
+    h1, h2, own = back(hash_, 1), back(hash_, 2), cell // KINDS
+    mixed = [(h * CLASSES + own) * 0x9E3779B1 >> 7 for h in (h1, h2)]
+    return (np.stack([h1 % TOKEN1, TOKEN1 + h2 % TOKEN2, TOKEN1 + TOKEN2 + k1 * CLASSES + k2,
+                      TOKEN1 + TOKEN2 + PAIR + k3 * CLASSES + k4]),
+            np.stack([mixed[0] % WITHIN1, WITHIN1 + mixed[1] % WITHIN2, WITHIN1 + WITHIN2 + own * CELLS + back(cell, 1)]))
 
 
 def class_logs(weights: np.ndarray, f: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log P(class of the token | history), natural, in batches."""
+    """log P(target | history), natural, in batches."""
     out = np.empty(len(target), np.float32)
     for lo in range(0, len(target), BATCH):
         x = weights[f[0, lo: lo + BATCH]]
@@ -194,25 +206,30 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return place, np.repeat(np.cumsum(lengths) - lengths, lengths), lengths, np.frombuffer(row["slots"], "<u2")
 
 
-def train(chunks: DataFrame) -> np.ndarray:
-    """Weights (FEATURES, CLASSES): every task descends over its chunks, then the tasks' weights are averaged."""
+SHAPES = ((FEATURES, CLASSES), (WITHIN, KINDS))
+
+
+def train(chunks: DataFrame) -> list[np.ndarray]:
+    """Weights of the classes and of the kinds (SHAPES): every task descends over its chunks, then the tasks' weights are averaged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros((FEATURES, CLASSES), np.float32)
-        power = np.zeros_like(weights)
-        seen = np.zeros(FEATURES)
+        weights = [np.zeros(shape, np.float32) for shape in SHAPES]
+        power = [np.zeros_like(w) for w in weights]
+        seen = [np.zeros(rows) for rows, _ in SHAPES]
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {k: batch.column(k)[i].as_py() for k in ("places", "n_places", "lengths", "slots")}
                 place, begins, lengths, slots = _unpack(row)
-                cls = batch.column("classes")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+                cells = batch.column("cells")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
                 learn = np.repeat(~np.array(batch.column("held")[i].as_py(), bool), lengths)
                 for lo, hi in _doc_ranges(lengths):
-                    f = features(place[lo:hi], begins[lo:hi] - lo, slots, cls)[:, learn[lo:hi]]
-                    descend(weights, power, f, cls[place[lo:hi]][learn[lo:hi]])
-                    seen += np.bincount(f.reshape(-1), minlength=FEATURES)
-        if seen.any():
-            both = np.concatenate([weights * seen[:, None], seen[:, None]], axis=1).astype(np.float64)
-            parts = np.array_split(both, SLICES)
+                    own = cells[place[lo:hi]][learn[lo:hi]]
+                    for k, f in enumerate(features(place[lo:hi], begins[lo:hi] - lo, slots, cells)):
+                        f = f[:, learn[lo:hi]]
+                        descend(weights[k], power[k], f, own % KINDS if k else own // KINDS)
+                        seen[k] += np.bincount(f.reshape(-1), minlength=len(seen[k]))
+        if seen[0].any():
+            flat = np.concatenate([np.concatenate([w * n[:, None], n[:, None]], axis=1).reshape(-1) for w, n in zip(weights, seen, strict=True)])
+            parts = np.array_split(flat, SLICES)
             task = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(SLICES), pa.int32()), pa.array([task] * SLICES, pa.int64()),
@@ -223,18 +240,22 @@ def train(chunks: DataFrame) -> np.ndarray:
         return pd.DataFrame({"slice": [frame["slice"].iloc[0]], "task": [frame["task"].iloc[0] // WIDE],
                              "total": [total.astype("<f4").tobytes()]})
     schema = "slice int, task long, total binary"
-    sums = chunks.select("places", "n_places", "lengths", "slots", "classes", "held").mapInArrow(run, schema).checkpoint()
+    sums = chunks.select("places", "n_places", "lengths", "slots", "cells", "held").mapInArrow(run, schema).checkpoint()
     top = sums.agg(F.max("task")).first()[0]
     if top is None:
-        return np.zeros((FEATURES, CLASSES), np.float32)
+        return [np.zeros(shape, np.float32) for shape in SHAPES]
     while True:
         sums = sums.groupBy("slice", F.floor(F.col("task") / WIDE)).applyInPandas(add, schema)
         top //= WIDE
         if top == 0:
             break
-    rows = {r["slice"]: np.frombuffer(r["total"], "<f4") for r in sums.collect()}  # SLICES rows, one table in all
-    both = np.concatenate([rows[k].reshape(-1, CLASSES + 1) for k in range(SLICES)])
-    return (both[:, :CLASSES] / np.maximum(both[:, CLASSES:], 1)).astype(np.float32)
+    rows = {r["slice"]: np.frombuffer(r["total"], "<f4") for r in sums.collect()}  # SLICES rows, both tables in all
+    flat, out, at = np.concatenate([rows[k] for k in range(SLICES)]), [], 0
+    for n, wide in SHAPES:
+        both = flat[at: at + n * (wide + 1)].reshape(n, wide + 1)
+        out.append((both[:, :wide] / np.maximum(both[:, wide:], 1)).astype(np.float32))
+        at += n * (wide + 1)
+    return out
 
 
 def _doc_ranges(lengths: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
@@ -248,14 +269,12 @@ def _doc_ranges(lengths: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int
         lo = hi
 
 
-def pair_keys(place: np.ndarray, begins: np.ndarray, hashes: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each place's (previous token, class) and (previous token and class, token): left side above, the rest below."""
+def pair_keys(place: np.ndarray, begins: np.ndarray, hashes: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` bits by which each place's (previous token, token) is known; no previous token counts as 0."""
     before = np.zeros(len(place), np.uint64)
     before[1:] = hashes[place[:-1]]
     before[np.arange(len(place)) == begins] = 0
-    kind = cls.astype(np.uint64)
-    left = T.mix(before ^ T.mix(kind + _U(1))[place])
-    return (T.mix(before) & ~_LOW) | kind[place], (left & ~_LOW) | (T.mix(hashes) & _LOW)[place]
+    return T.mix(T.mix(before) * _U(0xD6E8FEB86659FD93) + hashes[place]) >> _U(64 - width)
 
 
 def _squash(a: np.ndarray) -> bytes:
@@ -269,61 +288,107 @@ def _spread(blob: bytes, n: int, kind: str) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(width, n).T).reshape(-1).view(kind)
 
 
-PAIRS = "chunk long, at int, c long, n binary, whole binary, kinds binary"
+def _widths(places: int) -> tuple[int, int]:
+    """Bits of a bucket's number, and bits of a pair's key."""
+    return (max(BUCKETS, -(-places // BUCKET)) - 1).bit_length(), min(64, max(places, 2).bit_length() + PAIR_BITS)
 
 
-def gather_pairs(chunks: DataFrame) -> DataFrame:
-    """For each chunk and bucket the corpus counts of the chunk's pairs in key order (PAIRS), and the bucket's
-    numbers of pairs seen once and twice. ``at`` is the bucket, those of the second factor after those of the first."""
-    places = chunks.agg(F.sum("n_places")).first()[0] or 0
-    bits = (max(BUCKETS, -(-places // BUCKET)) - 1).bit_length()
+def _bin(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), BINS - 1)
+
+
+GATHERED = "chunk long, level int, at long, c long, more binary, sums binary"
+TOKENS, PAIRS, NEW = 0, 1, 2
+
+
+def gather(chunks: DataFrame, places: int) -> DataFrame:
+    """Answers to every chunk's tokens (level TOKENS, in order of digest) and pairs (PAIRS, in order of key), bucket by bucket:
+    ``more``, what the corpus counts beyond the chunk. ``sums`` are, once a bucket, the counts and numbers of known tokens by cell (TOKENS),
+    the numbers of pairs seen once and twice (PAIRS), and with level NEW, by bins of a token's count in a chunk, its occurrences and
+    distinct successors."""
+    bits, width = _widths(places)
+
+    def packed(chunk: int, level: int, key: np.ndarray, own: np.ndarray, wide: int, cells: np.ndarray | None = None) -> list[tuple]:
+        cut = np.searchsorted(key >> _U(wide - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        return [(chunk, level, int(b), int(cut[b + 1] - cut[b]), _squash(np.diff(key[cut[b]: cut[b + 1]], prepend=_U(0))),
+                 _squash(own[cut[b]: cut[b + 1]].astype("<i4")), b"" if cells is None else _squash(cells[cut[b]: cut[b + 1]].astype("<u2")))
+                for b in np.flatnonzero(np.diff(cut))]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {k: batch.column(k)[i].as_py() for k in ("places", "n_places", "lengths", "slots")}
                 place, begins, lengths, _ = _unpack(row)
-                hashes, cls = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in ("hashes", "classes"))
+                hashes, counts, cells = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in ("hashes", "counts", "cells"))
+                hashes, chunk = hashes.view(np.uint64), batch.column("chunk")[i].as_py()
+                order = np.argsort(hashes)
+                out = packed(chunk, TOKENS, hashes[order], counts[order], 64, cells[order])
                 learn = np.repeat(~np.array(batch.column("held")[i].as_py(), bool), lengths)
-                chunk = batch.column("chunk")[i].as_py()
-                for level, key in enumerate(pair_keys(place, begins, hashes.view(np.uint64), cls)):
-                    name, back = np.unique(key, return_inverse=True)
-                    own = np.bincount(back[learn], minlength=len(name)).astype("<i4")
-                    cut = np.searchsorted(name >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-                    some = np.flatnonzero(np.diff(cut))
-                    out = [(int(b) + (level << bits), int(cut[b + 1] - cut[b]),
-                            _squash(np.diff(name[cut[b]: cut[b + 1]], prepend=_U(0))), _squash(own[cut[b]: cut[b + 1]])) for b in some]
-                    if out:
-                        at, c, keys, own_ = zip(*out, strict=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([chunk] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(c, pa.int64()),
-                             pa.array(keys, pa.binary()), pa.array(own_, pa.binary())], ["chunk", "at", "c", "keys", "own"])
+                name, first, back = np.unique(pair_keys(place, begins, hashes, width), return_index=True, return_inverse=True)
+                own = np.bincount(back[learn], minlength=len(name))
+                out += packed(chunk, PAIRS, name, own, width)
+                left = np.where(first == begins[first], -1, place[np.maximum(first, 1) - 1])
+                new = np.bincount(left[(own > 0) & (left >= 0)], minlength=len(counts))
+                bins = _bin(counts)
+                sums = np.stack([np.bincount(bins[counts > 0], a[counts > 0], BINS) for a in (counts, new)]).astype("<i8")
+                out.append((chunk, NEW, chunk % BUCKETS, 0, b"", b"", sums.tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, t) for v, t in zip(zip(*out, strict=True), (
+                        pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
+                    ["chunk", "level", "at", "c", "keys", "own", "cells"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        c = frame["c"].to_numpy()
+        c, level = frame["c"].to_numpy(), int(frame["level"].iloc[0])
+        out = frame[["chunk", "level", "at", "c"]].copy()
+        if level == NEW:
+            total = sum(np.frombuffer(b, "<i8") for b in frame["cells"])
+            return out.iloc[:1].assign(more=[b""], sums=[total.astype("<i8").tobytes()])
         key = np.concatenate([np.cumsum(_spread(k, m, "<u8"), dtype=np.uint64) for k, m in zip(frame["keys"], c, strict=True)])
-        own = np.concatenate([_spread(k, m, "<i4") for k, m in zip(frame["own"], c, strict=True)])
-        name, back = np.unique(key, return_inverse=True)
+        own = np.concatenate([_spread(k, m, "<i4") for k, m in zip(frame["own"], c, strict=True)]).astype(np.int64)
+        name, first, back = np.unique(key, return_index=True, return_inverse=True)
         n = np.bincount(back, own, len(name)).astype(np.int64)
-        left = name & ~_LOW
-        first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
-        many = np.diff(np.append(first, len(name)))
-        whole, kinds = (np.repeat(np.add.reduceat(a, first), many) for a in (n, (n > 0).astype(np.int64)))
-        ends = np.cumsum(c)
-        blobs = {k: [_squash(a[back[hi - m: hi]].astype("<i8")) for hi, m in zip(ends, c, strict=True)]
-                 for k, a in (("n", n), ("whole", whole), ("kinds", kinds))}
-        seen = np.zeros((2, len(c)), np.int64)
-        seen[:, 0] = (n == 1).sum(), (n == 2).sum()
-        return pd.DataFrame({"chunk": frame["chunk"], "at": frame["at"], "c": c, **blobs,
-                             "level": frame["at"].to_numpy() >> bits, "once": seen[0], "twice": seen[1]})
-    sent = chunks.select("chunk", "places", "n_places", "lengths", "slots", "hashes", "classes", "held").mapInArrow(
-        send, "chunk long, at int, c long, keys binary, own binary")
-    return sent.groupBy("at").applyInPandas(add, f"{PAIRS}, level int, once long, twice long")
-
-
-def interpolate(n: np.ndarray, whole: np.ndarray, kinds: np.ndarray, discount: float, q: np.ndarray) -> np.ndarray:
-    """Probabilities by absolute discounting over ``q``."""
-    return np.where(whole > 0, (np.maximum(n - discount, 0) + discount * kinds * q) / np.maximum(whole, 1), q)
+        more, ends = n[back] - own, np.cumsum(c)
+        sums = [b""] * len(c)
+        if level == TOKENS:
+            cell = np.concatenate([_spread(k, m, "<u2") for k, m in zip(frame["cells"], c, strict=True)])[first][n > 0]
+            sums[0] = np.stack([np.bincount(cell, n[n > 0], CELLS), np.bincount(cell, minlength=CELLS)]).astype("<i8").tobytes()
+        else:
+            sums[0] = np.array([(n == 1).sum(), (n == 2).sum()], "<i8").tobytes()
+        return out.assign(more=[_squash(more[hi - m: hi].astype("<i8")) for hi, m in zip(ends, c, strict=True)], sums=sums)
+    sent = chunks.select("chunk", "places", "n_places", "lengths", "slots", "hashes", "counts", "cells", "held").mapInArrow(
+        send, "chunk long, level int, at long, c long, keys binary, own binary, cells binary")
+    return sent.groupBy("level", "at").applyInPandas(add, GATHERED)
+
+
+def add_sums(gathered: DataFrame, level: int, wide: int) -> np.ndarray:
+    """The (2, wide) sums of one level over all buckets; a task sends one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * wide, np.int64)
+        for batch in batches:
+            for b in batch.column("sums").to_pylist():
+                total += np.frombuffer(b, "<i8")
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(some, pa.int64()), "n": pa.array(total[some], pa.int64())})
+    rows = gathered.filter((F.col("level") == level) & (F.length("sums") > 0)).select("sums").mapInArrow(run, "i long, n long")
+    out = np.zeros(2 * wide, np.int64)
+    for r in rows.groupBy("i").agg(F.sum("n").alias("n")).collect():  # 2 * wide rows at most
+        out[r["i"]] = r["n"]
+    return out.reshape(2, wide)
+
+
+def novelty(sums: np.ndarray) -> np.ndarray:
+    """Distinct successors per occurrence by bins of a token's count, falling; a bin that no token is in takes that of the one before."""
+    out, last = np.ones(BINS), 1.0
+    for k in range(BINS):
+        if sums[0, k] > 0:
+            last = min(last, max(sums[1, k] / sums[0, k], 1e-9))
+        out[k] = last
+    return out
+
+
+def interpolate(n: np.ndarray, whole: np.ndarray, free: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Probabilities from counts ``n`` out of ``whole`` and ``q``, which gets the share ``free``."""
+    return np.where(whole > 0, (1 - free) * n / np.maximum(whole, 1) + free * q, q)
 
 
 OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -335,51 +400,45 @@ def score_texts(docs: DataFrame) -> DataFrame:
     path = shared_path(spark, "lm", "chunks")
     chunk_table(docs.select("doc_id", "text", in_fold(2, 7).alias("held_out"))).write.parquet(path)
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
-    words = chunks.select("chunk", F.posexplode(F.arrays_zip("hashes", "counts", "classes")).alias("at", "w")).select(
-        "chunk", "at", F.col("w.hashes").alias("hash"), F.col("w.counts").alias("own"), F.col("w.classes").alias("cls"))
-    counted = shared_path(spark, "lm", "counts")
-    (words.groupBy("hash").agg(F.sum("own").alias("c"), F.max("cls").alias("cls")).filter("c > 0").write.parquet(counted))
-    counts = spark.read.schema("hash long, c long, cls int").parquet(counted)
-    # At most one row a class comes to the driver.
-    by_class = {r["cls"]: (r["n"], r["v"]) for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    size = np.array([sum(by_class.get(k, (0, 0))) + 1 for k in range(CLASSES)], np.float64)
-    total, kinds = sum(n for n, _ in by_class.values()), sum(v for _, v in by_class.values())
-    gathered = shared_path(spark, "lm", "pairs")
-    gather_pairs(chunks).write.parquet(gathered)
-    pairs = spark.read.schema(f"{PAIRS}, level int, once long, twice long").parquet(gathered)
-    seen = {r["level"]: (r["n1"], r["n2"]) for r in pairs.groupBy("level").agg(F.sum("once").alias("n1"), F.sum("twice").alias("n2")).collect()}
-    discounts = [(a + 1) / (a + 2 * b + 2) for a, b in (seen.get(k, (0, 0)) for k in (0, 1))]
-    shared = spark.sparkContext.broadcast((train(chunks), size, discounts))
-    other = (words.join(counts.select("hash", "c"), "hash").filter("c != own").select(
-        "chunk", "at", "c", *[F.lit(None).cast("binary").alias(k) for k in ("n", "whole", "kinds")], F.lit(-1).alias("level")))
-    other = other.union(pairs.select("chunk", "at", "c", "n", "whole", "kinds", "level"))
-    parts = spark.read.schema(CHUNK_SCHEMA).parquet(path).select("chunk", "doc_ids", "held", "lengths", "places", "n_places", "hashes", "counts", "classes", "slots")
+    places = chunks.agg(F.sum("n_places")).first()[0] or 0
+    answered = shared_path(spark, "lm", "answers")
+    gather(chunks, places).write.parquet(answered)
+    answers = spark.read.schema(GATHERED).parquet(answered)
+    cells, fresh = add_sums(answers, TOKENS, CELLS), add_sums(answers, NEW, BINS)
+    total, kinds = int(cells[0].sum()), int(cells[1].sum())
+    size = cells.sum(0).astype(np.float64) + 1
+    once, twice = add_sums(answers, PAIRS, 1)[:, 0].tolist()
+    free = novelty(fresh) * (once + 1) / (once + 2 * twice + 2)
+    shared = spark.sparkContext.broadcast((train(chunks), size, free))
+    width = _widths(places)[1]
 
     def run(known: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        weights, size, discounts = shared.value
-        found = known[known["level"] >= 0].sort_values("at")
-        known = known[known["level"] < 0]
+        (by_class, by_kind), size, free = shared.value
+        found = known.sort_values("at")
         out = []
         for row in part.to_dict("records"):
             place, begins, lengths, slots = _unpack(row)
-            cls = np.asarray(row["classes"]).astype(np.int64)
-            c = np.asarray(row["counts"]).astype(np.float64)
-            c[known["at"].to_numpy()] = known["c"].to_numpy()
+            cells, hashes = np.asarray(row["cells"]).astype(np.int64), np.asarray(row["hashes"]).view(np.uint64)
+            more = [np.concatenate([np.zeros(0, np.int64), *(_spread(b, m, "<i8") for b, m in zip(mine["more"], mine["c"], strict=True))])
+                    for mine in (found[found["level"] == k] for k in (TOKENS, PAIRS))]
+            c = np.asarray(row["counts"]).astype(np.int64)
+            c[np.argsort(hashes)] += more[0]
             doc = np.repeat(np.arange(len(lengths)), lengths)
-            plain = np.bincount(doc, np.log10(c + 1)[place], len(lengths))
+            plain = np.bincount(doc, np.log10(c + 1.0)[place], len(lengths))
             logs = np.empty(len(place), np.float64)
             for lo, hi in _doc_ranges(lengths):
-                f = features(place[lo:hi], begins[lo:hi] - lo, slots, cls)
-                logs[lo:hi] = class_logs(weights, f, cls[place[lo:hi]])
-            model = np.zeros(len(lengths))
-            keys = pair_keys(place, begins, np.asarray(row["hashes"]).view(np.uint64), cls)
-            for level, q in enumerate((np.exp(logs), ((c + 1) / size[cls])[place])):
-                mine = found[found["level"] == level]
-                n, whole, many = (np.concatenate([np.zeros(0, np.int64), *(_spread(b, m, "<i8") for b, m in zip(mine[k], mine["c"], strict=True))])
-                                   for k in ("n", "whole", "kinds"))
-                back = np.unique(keys[level], return_inverse=True)[1]
-                p = interpolate(n[back], whole[back], many[back], discounts[level], q)
-                model += np.bincount(doc, np.log10(p), len(lengths))
+                own = cells[place[lo:hi]]
+                f, g = features(place[lo:hi], begins[lo:hi] - lo, slots, cells)
+                logs[lo:hi] = class_logs(by_class, f, own // KINDS) + class_logs(by_kind, g, own % KINDS)
+            q = np.exp(logs) * ((c + 1) / size[cells])[place]
+            back = np.unique(pair_keys(place, begins, hashes, width), return_inverse=True)[1]
+            learn = np.repeat(~np.asarray(row["held"], bool), lengths)
+            n = (np.bincount(back[learn], minlength=len(more[1])) + more[1])[back]
+            end = np.flatnonzero(hashes == END_HASH)
+            whole = np.full(len(place), c[end[0]] if len(end) else 0)   # every training text begins once and ends once
+            after = np.arange(len(place)) != begins
+            whole[after] = c[place[np.flatnonzero(after) - 1]]
+            model = np.bincount(doc, np.log10(interpolate(n, whole, free[_bin(whole)], q)), len(lengths))
             ids = list(row["doc_ids"])
             out.append(pd.DataFrame({
                 "doc_id": pd.array([None if i is None or i != i else int(i) for i in ids], "Int64"),
@@ -389,4 +448,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 "base_score": plain - lengths * np.log10(total + kinds + 1), "score": model}))
         return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in OUT.split(", ")})
 
+    parts = spark.read.schema(CHUNK_SCHEMA).parquet(path).select(
+        "chunk", "doc_ids", "held", "lengths", "places", "n_places", "hashes", "counts", "cells", "slots")
+    other = answers.filter(F.col("level") != NEW).select("chunk", "level", "at", "c", "more")
     return other.groupBy("chunk").cogroup(parts.groupBy("chunk")).applyInPandas(run, OUT)
