@@ -29,18 +29,28 @@ def test_phrases_are_longest_matches():
     text = "".join(rng.choice("abcd") for _ in range(200))
     syms = model.symbols[[ord(c) for c in text]]
 
-    def brute(s):
-        n = at = 0
-        while at < len(s):
-            k = 1
-            while at + k <= len(s) and s[at: at + k] in learned:
-                k += 1
-            at += max(k - 1, 1)
-            n += 1
-        return n
-    got = langid.phrases(model, syms, np.array([0, len(syms)]))[0, 0]
-    want = brute(text)
-    assert abs(got - want) <= 1 + text.count("d")  # an unknown letter ends a phrase and begins the next
+    # A phrase ends where no learned text goes on; a letter that none holds ends one and begins the next.
+    want, at = 1, ""
+    for ch in text:
+        if at + ch in learned:
+            at += ch
+        else:
+            want, at = want + 1, ch if ch in learned else ""
+    assert langid.phrases(model, syms, np.array([0, len(syms)]))[0, 0] == want
+
+
+def test_whole_distinct_texts_are_learned(spark, monkeypatch):
+    """No text is cut, copies count once, and a language of long texts learns from its shortest."""
+    from tillflow.llm import langid as L
+    taken = []
+    monkeypatch.setattr(L, "fit_checked", lambda rows, counts: taken.append((rows, counts)))
+    long = {i: f"long text {i} " * 400 for i in range(5)}
+    rows = [(i, f"copy {i % 3} of a text", "en") for i in range(300)] + [(1000 + i, t, "xx") for i, t in long.items()]
+    L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    (learned, counts), = taken
+    assert sorted(t for x, t in learned if x == "en") == [f"copy {i} of a text" for i in range(3)]
+    assert len([t for x, t in learned if x == "xx"]) == 1 and set(t for x, t in learned if x == "xx") <= set(long.values())
+    assert counts["en"] == sum(crc(i) % 4 != 2 for i in range(300))
 
 
 def test_languages_on_held_out_rows(spark):

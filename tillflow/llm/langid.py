@@ -12,8 +12,9 @@ flag; parsing is then one gather per symbol, for thousands of text segments in s
 Segments (SEGMENT symbols) cut a phrase here and there, in every language alike.
 Letters are lower-cased; everything else is a break, and runs of breaks count once.
 
-The learned text is a bounded sample: CHARS symbols a language from at most ROWS labelled
-rows (chosen by hash of the id), ROW_CHARS characters of each. Rows whose label the other half of
+The learned text is a bounded sample of whole labelled texts, a language at most ROWS distinct ones
+(chosen by hash of the text) of at most ROW_CHARS characters each and CHARS together; a language whose labelled
+texts are all longer learns from its shortest one. Rows whose label the other half of
 the sample contradicts are left out, as a copy of a mislabelled text would find itself in the
 wrong automaton. Every text is parsed whole.
 
@@ -120,7 +121,7 @@ def _squeeze(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return symbols[keep], total[at]
 
 
-def fit(rows: list[tuple[str, str]], counts: dict[str, int], chars: int = CHARS) -> Model | None:
+def fit(rows: list[tuple[str, str]], counts: dict[str, int]) -> Model | None:
     """A model from (language, text) rows; ``counts`` orders the languages for ties."""
     fold = _fold_table()
     parts: dict[str, list[np.ndarray]] = {}
@@ -140,7 +141,7 @@ def fit(rows: list[tuple[str, str]], counts: dict[str, int], chars: int = CHARS)
     tables, bits = [], []
     for x in langs:
         seq = np.where(text[x] > 0, number[text[x]], 0)
-        seq = _squeeze(seq, np.array([0, len(seq)]))[0][:chars]
+        seq = _squeeze(seq, np.array([0, len(seq)]))[0]
         tables.append(_dense(automaton(seq.tolist()), width))
         bits.append(np.log2(len(seq) + 2))
     return Model(langs, number, tables, np.array(bits), width)
@@ -208,20 +209,26 @@ def predict(model: Model | None, text: pa.LargeStringArray) -> tuple[list[str],
 def learn(docs: DataFrame) -> Model | None:
     """The model of the labelled rows outside the held-out quarter."""
     rows = docs.filter("lang is not null and text is not null").filter(~in_fold(2, 4))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    spot, size = F.xxhash64("text"), F.length("text")
+    about = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(F.when(size <= ROW_CHARS, spot)).alias("texts"),
+                                     F.min_by("text", F.struct(size, "text")).alias("least")).collect()
+    if not about:
         return None
-    spot = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 40))
     share = F.lit(0).cast("long")
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, 1.5 * ROWS / n) * (1 << 40)))).otherwise(share)
-    got = rows.filter(spot < share).select("lang", F.substring("text", 1, ROW_CHARS).alias("text"), spot.alias("spot")).collect()
-    got.sort(key=lambda r: (r["spot"], r["text"]))
+    for r in about:
+        share = F.when(F.col("lang") == r["lang"], F.lit(int(min(1.0, 1.5 * ROWS / max(r["texts"], 1)) * (1 << 40)))).otherwise(share)
+    few = rows.filter((size <= ROW_CHARS) & (F.pmod(spot, F.lit(1 << 40)) < share)).select("lang", "text", spot.alias("spot")).dropDuplicates()
     some: dict[str, list] = {}
-    for r in got:
-        if len(some.setdefault(r["lang"], [])) < ROWS:
-            some[r["lang"]].append(r["text"])
-    return fit_checked([(x, t) for x in sorted(some) for t in some[x]], counts)
+    room = {r["lang"]: CHARS for r in about}
+    for r in sorted(few.collect(), key=lambda r: (r["spot"], r["text"])):
+        mine = some.setdefault(r["lang"], [])
+        if len(mine) < ROWS and len(r["text"]) <= room[r["lang"]]:
+            mine.append(r["text"])
+            room[r["lang"]] -= len(r["text"])
+    for r in about:
+        if not some.get(r["lang"]):
+            some[r["lang"]] = [r["least"]]
+    return fit_checked([(x, t) for x in sorted(some) for t in some[x]], {r["lang"]: r["n"] for r in about})
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -37,8 +37,6 @@ from tillflow.llm import textnp as T
 THRESHOLD = 0.7
 #: Labelled rows learned from, a label at most. The bound of the training sample.
 MAX_PER_CLASS = 1000
-#: Windows of a training text that are kept at hand (chosen by hash); scoring uses all.
-MAX_TRAIN_WINDOWS = 48
 LENGTH, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 5
 WORD_SLOTS, CHAR_SLOTS = 1 << 13, 1 << 11
@@ -311,10 +309,6 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> dict[str, np.ndarray]:
     low, starts, ends, doc = words(data, at)
     lex = Lexicon(low, starts, ends)
     ids, owner = windows(doc, len(rows))
-    keep = np.lexsort((T.mix(np.arange(len(owner), dtype=np.uint64)), owner))
-    rank = np.arange(len(owner)) - np.searchsorted(owner[keep], owner[keep])
-    keep = np.sort(keep[rank < MAX_TRAIN_WINDOWS])
-    ids, owner = ids[keep], owner[keep]
     ids = np.where(ids >= 0, lex.index[np.maximum(ids, 0)], -1).astype(np.int32) if len(lex.index) else ids
     fold = (np.arange(len(rows)) * 7919 % 104729) % FOLDS
     pairs = lex.features(doc)
