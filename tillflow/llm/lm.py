@@ -66,6 +66,8 @@ FEATURES = TOKEN1 + TOKEN2 + 2 * PAIR
 WITHIN1, WITHIN2 = 1 << 14, 1 << 13
 WITHIN = WITHIN1 + WITHIN2 + CLASSES * CELLS
 BATCH, RATE, DAMP = 8192, 0.2, 4.0
+#: Bound of a logit either way, within which no sum of powers leaves 32 bits.
+LOGIT = 60
 #: Slices of the weight table and tasks whose slices one sum takes.
 SLICES, WIDE = 16, 64
 #: Token places whose pairs one bucket takes, and the least number of buckets.
@@ -147,7 +149,8 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
 
 def features(place: np.ndarray, begins: np.ndarray, slots: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(4, tokens) rows of the classes' table and (3, tokens) rows of the kinds' table that are active for each token."""
+    """(4, tokens) rows of the classes' table and (3, tokens) rows of the kinds' table that are active for each token,
+    as 16-bit numbers, which sort by their digits."""
     since = np.arange(len(place)) - begins
     hash_, cell = slots[place], cells[place]
 
@@ -160,8 +163,8 @@ def features(place: np.ndarray, begins: np.ndarray, slots: np.ndarray, cells: np
     h1, h2, own = back(hash_, 1), back(hash_, 2), cell // KINDS
     mixed = [(h * CLASSES + own) * 0x9E3779B1 >> 7 for h in (h1, h2)]
     return (np.stack([h1 % TOKEN1, TOKEN1 + h2 % TOKEN2, TOKEN1 + TOKEN2 + k1 * CLASSES + k2,
-                      TOKEN1 + TOKEN2 + PAIR + k3 * CLASSES + k4]),
-            np.stack([mixed[0] % WITHIN1, WITHIN1 + mixed[1] % WITHIN2, WITHIN1 + WITHIN2 + own * CELLS + back(cell, 1)]))
+                      TOKEN1 + TOKEN2 + PAIR + k3 * CLASSES + k4]).astype(np.uint16),
+            np.stack([mixed[0] % WITHIN1, WITHIN1 + mixed[1] % WITHIN2, WITHIN1 + WITHIN2 + own * CELLS + back(cell, 1)]).astype(np.uint16))
 
 
 def class_logs(weights: np.ndarray, f: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -171,9 +174,9 @@ def class_logs(weights: np.ndarray, f: np.ndarray, target: np.ndarray) -> np.nda
         x = weights[f[0, lo: lo + BATCH]]
         for row in f[1:]:
             x += weights[row[lo: lo + BATCH]]
-        x -= x.max(1, keepdims=True)
+        np.clip(x, -LOGIT, LOGIT, out=x)
         got = x[np.arange(len(x)), target[lo: lo + BATCH]]
-        out[lo: lo + BATCH] = got - np.log(np.exp(x, out=x).sum(1))
+        out[lo: lo + BATCH] = got - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], np.float32))
     return out
 
 
@@ -184,9 +187,9 @@ def descend(weights: np.ndarray, power: np.ndarray, f: np.ndarray, target: np.nd
         x = weights[rows[0]]
         for row in rows[1:]:
             x += weights[row]
-        x -= x.max(1, keepdims=True)
+        np.clip(x, -LOGIT, LOGIT, out=x)
         np.exp(x, out=x)
-        x /= x.sum(1, keepdims=True)
+        x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
         x[np.arange(len(t)), t] -= 1
         for row in rows:
             order = np.argsort(row, kind="stable")
@@ -277,15 +280,7 @@ def pair_keys(place: np.ndarray, begins: np.ndarray, hashes: np.ndarray, width:
     return T.mix(T.mix(before) * _U(0xD6E8FEB86659FD93) + hashes[place]) >> _U(64 - width)
 
 
-def _squash(a: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, compressed."""
-    return bytes(pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), "zstd")) if len(a) else b""
-
-
-def _spread(blob: bytes, n: int, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    flat = np.frombuffer(pa.decompress(blob, n * width, "zstd"), np.uint8) if n else np.zeros(0, np.uint8)
-    return np.ascontiguousarray(flat.reshape(width, n).T).reshape(-1).view(kind)
+_squash, _spread = T.squash, T.spread
 
 
 def _widths(places: int) -> tuple[int, int]:
