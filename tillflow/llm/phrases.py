@@ -3,9 +3,11 @@
 Counting goes level by level. A task numbers its words exactly (a dictionary), forms the
 phrases of k words as sorted numbers and sends each distinct one with its count once; Spark sums
 them. A phrase of k words can only reach the least count if both its parts of k - 1 words do, so
-phrases are sent only where a filter says so: a bit array over the frequent phrases of
-the level before, whose size follows their number up to MAX_BITS. It may let more through, never less,
-and only saves shuffling: the sums are exact.
+phrases are sent only where filters say so: a bit array over the frequent phrases of each
+level before, whose size follows their number up to MAX_BITS. Before the words' pairs are sent, of which
+frequent words form many, their occurrences are counted by slots: each task sends packed slot counts, and a pair
+whose slot doesn't reach the least count can't either. Filters may let more through, never less,
+and only save shuffling: the sums are exact.
 
 The counts of all levels then form one stream in prefix order (by words from the
 left) and one in suffix order (from the right). In prefix order a phrase directly follows
@@ -44,6 +46,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text of one step, and bounds of the filter in bits.
 STEP_BYTES = 6 << 20
 LEAST_BITS, MAX_BITS, BITS_EACH, BLOCK_BITS = 1 << 20, 1 << 30, 16, 1 << 16
+#: Parts of the table of slots, and places of the corpus a slot has about.
+SLOT_BLOCKS, PLACES_EACH = 1024, 4
 #: Languages whose totals are broadcast at most; more are joined.
 MAX_BROADCAST_LANGS = 100_000
 #: Parts of a language that are ranked on their own first.
@@ -117,34 +121,46 @@ def _unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[first], np.diff(np.append(first, len(key))), number
 
 
-def phrases(text: pa.LargeStringArray, lang: pa.Array, k: int, frequent: list[Filter]) -> pa.RecordBatch:
+class Places:
+    """The words of some texts, and where phrases of ``k`` words begin that the filters of shorter ones let through."""
+
+    def __init__(self, text: pa.LargeStringArray, lang: pa.Array, k: int, frequent: list[Filter]) -> None:
+        self.names, self.number, piece, owner = words(text)
+        self.langs = pc.fill_null(lang.cast(pa.string()), "und").dictionary_encode()
+        self.code = self.langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
+        at = np.arange(max(len(self.number) - k + 1, 0))
+        if k > 1 and len(at):
+            at = at[piece[at] == piece[at + k - 1]]
+            tongue = _word_hash(self.langs.dictionary.cast(pa.large_string()))
+            self.word = _word_hash(self.names)
+            self.first = _extend(tongue[self.code], self.word[self.number])  # hash of the phrase of one word at each place
+            ok = frequent[0].holds(self.first)
+            at = at[ok[at] & ok[at + 1]]
+            for j in range(2, k):
+                for d in range(k - j + 1):
+                    at = at[frequent[j - 1].holds(self.hashes(at + d, j))]
+        self.at = at
+
+    def hashes(self, at: np.ndarray, j: int) -> np.ndarray:
+        """Hashes of the phrases of ``j`` words that begin at these places."""
+        x = self.first[at]
+        for d in range(1, j):
+            x = _extend(x, self.word[self.number[at + d]])
+        return x
+
+
+def phrases(text: pa.LargeStringArray, lang: pa.Array, k: int, frequent: list[Filter], slots: Filter | None = None) -> pa.RecordBatch:
     """Distinct phrases of ``k`` words with their counts in some texts, of those that ``frequent``
-    (the filters of shorter ones) lets through. With k = 1 the empty phrase counts all words."""
-    names, number, piece, owner = words(text)
-    langs = pc.fill_null(lang.cast(pa.string()), "und").dictionary_encode()
-    code = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    many = max(len(names), 1)
-    own = code * many + number                       # a word of a language
-    at = np.arange(len(own) - k + 1)
+    (the filters of shorter ones) and ``slots`` let through. With k = 1 the empty phrase counts all words."""
+    p = Places(text, lang, k, frequent)
+    at, number, names = p.at, p.number, p.names
+    if slots is not None and len(at):
+        at = at[slots.holds(p.hashes(at, k))]
     if len(at) == 0:
         return pa.RecordBatch.from_pydict({"lang": [], "phrase": [], "n": []}, pa.schema(
             [("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())]))
-    if k > 1:
-        at = at[piece[at] == piece[at + k - 1]]
-        tongue = _word_hash(langs.dictionary.cast(pa.large_string()))
-        word = _word_hash(names)
-        h = _extend(tongue[code], word[number])      # of the phrase of one word at each place
-        ok = frequent[0].holds(h)
-        at = at[ok[at] & ok[at + 1]]
-        for j in range(2, k):                        # phrases of j words at both ends
-            def part(i: np.ndarray, j: int = j) -> np.ndarray:
-                x = h[i]
-                for d in range(1, j):
-                    x = _extend(x, word[number[i + d]])
-                return x
-            for d in range(k - j + 1):
-                at = at[frequent[j - 1].holds(part(at + d))]
-    key = own[at]
+    many = max(len(names), 1)
+    key = p.code[at] * many + number[at]             # a word of a language
     for d in range(1, k):
         _, _, key = _unique(key)
         key = key * many + number[at + d]
@@ -152,25 +168,75 @@ def phrases(text: pa.LargeStringArray, lang: pa.Array, k: int, frequent: list[Fi
     first = at[first]
     shown = pc.binary_join_element_wise(*[names.take(pa.array(number[first + d])) for d in range(k)],
                                         pa.scalar(" ", pa.large_string()))
-    tongues = langs.dictionary.take(pa.array(code[first]))
+    tongues = p.langs.dictionary.take(pa.array(p.code[first]))
     if k == 1:
-        total = np.bincount(code, minlength=len(langs.dictionary))
+        total = np.bincount(p.code, minlength=len(p.langs.dictionary))
         shown = pa.concat_arrays([shown, pa.array([""] * len(total), pa.large_string())])
-        tongues = pa.concat_arrays([tongues, langs.dictionary])
+        tongues = pa.concat_arrays([tongues, p.langs.dictionary])
         count = np.concatenate([count, total])
     return pa.RecordBatch.from_arrays([tongues, shown.cast(pa.string()), pa.array(count.astype(np.int64))],
                                       ["lang", "phrase", "n"])
 
 
-def level_counts(docs: DataFrame, k: int, least: int, filters: list) -> DataFrame:
+def slot_filter(docs: DataFrame, k: int, least: int, filters: list, places: int) -> Filter:
+    """The slots, by hash, that ``least`` or more occurrences of phrases of ``k`` words fall into; at most MAX_BITS of them.
+
+    A step sends its slots sorted and packed, a row for each part of the table; a task adds up one part at a time."""
+    bits = LEAST_BITS
+    while bits < min(MAX_BITS, places // PLACES_EACH):
+        bits *= 2
+    parts = min(SLOT_BLOCKS, bits // BLOCK_BITS)
+    wide = bits // parts
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [f.value for f in filters]
+        for batch in batches:
+            text = T.large(batch.column(0))
+            for lo, hi in T.steps(text, STEP_BYTES):
+                p = Places(text.slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), k, known)
+                if len(p.at) == 0:
+                    continue
+                slot = np.sort((p.hashes(p.at, k) & np.uint64(bits - 1)).astype(np.int64))
+                first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+                slot, n = slot[first], np.minimum(np.diff(np.append(first, len(slot))), least)
+                cut = np.searchsorted(slot, np.arange(parts + 1) * wide)
+                some = np.flatnonzero(np.diff(cut))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array(np.diff(cut)[some], pa.int64()),
+                     pa.array([T.squash(np.diff(slot[cut[b]: cut[b + 1]], prepend=b * wide).astype("<u4")) for b in some], pa.binary()),
+                     pa.array([T.squash(n[cut[b]: cut[b + 1]].astype("<u4")) for b in some], pa.binary())],
+                    ["part", "c", "slots", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(part: int, total: np.ndarray) -> pa.RecordBatch:
+            held = np.packbits(total >= least, bitorder="little").reshape(-1, BLOCK_BITS // 8)
+            some = np.flatnonzero(held.any(1))
+            return pa.RecordBatch.from_pydict({"block": pa.array(some + part * (wide // BLOCK_BITS), pa.int64()),
+                                               "bits": pa.array([held[i].tobytes() for i in some], pa.binary())})
+        part, total = None, None
+        for batch in batches:
+            for b, c, slots, n in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                if b != part:
+                    if part is not None:
+                        yield made(part, total)
+                    part, total = b, np.zeros(wide, np.int64)
+                total[np.cumsum(T.spread(slots, c, "<u4").astype(np.int64))] += T.spread(n, c, "<u4")
+        if part is not None:
+            yield made(part, total)
+    sent = docs.select("text", "lang").mapInArrow(send, "part long, c long, slots binary, n binary")
+    whole = sent.repartition("part").sortWithinPartitions("part").mapInArrow(add, "block long, bits binary")
+    return Filter(bits, {r["block"]: bytes(r["bits"]) for r in whole.collect()})
+
+
+def level_counts(docs: DataFrame, k: int, least: int, filters: list, slots=None) -> DataFrame:
     """lang, phrase, n of the phrases of ``k`` words that occur ``least`` times or more (with k = 1 also the empty
-    phrase, n being all words). ``filters`` are broadcast filters of the levels below."""
+    phrase, n being all words). ``filters`` are broadcast filters of the levels below, ``slots`` one of this level."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
         for batch in batches:
             text = T.large(batch.column(0))
             for lo, hi in T.steps(text, STEP_BYTES):
-                yield phrases(text.slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), k, known)
+                yield phrases(text.slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), k, known, slots.value if slots else None)
     found = docs.select("text", "lang").mapInArrow(run, COUNTS)
     return (found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
             .where((F.col("n") >= least) | (F.col("phrase") == "")))
@@ -218,9 +284,12 @@ def build_filter(counts: DataFrame) -> Filter:
 def count_levels(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """The counts of all frequent phrases of up to ``longest`` words, one level after the other."""
     sc = docs.sparkSession.sparkContext
-    filters, out = [], None
+    filters, out, places = [], None, 0
     for k in range(1, longest + 1):
-        counts = level_counts(docs, k, least, filters).checkpoint()
+        slots = sc.broadcast(slot_filter(docs, k, least, filters, places)) if k == 2 else None
+        counts = level_counts(docs, k, least, filters, slots).checkpoint()
+        if k == 1:
+            places = counts.where(F.col("phrase") == "").agg(F.sum("n")).first()[0] or 0
         out = counts if out is None else out.unionByName(counts)
         if k < longest:
             filters.append(sc.broadcast(build_filter(counts)))

@@ -216,6 +216,18 @@ def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return out
 
 
+def squash(a: np.ndarray) -> bytes:
+    """Numbers as bytes of equal weight side by side, compressed."""
+    return bytes(pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), "zstd")) if len(a) else b""
+
+
+def spread(blob: bytes, n: int, kind: str) -> np.ndarray:
+    """The ``n`` numbers of :func:`squash`."""
+    width = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(blob, n * width, "zstd"), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(flat.reshape(width, n).T).reshape(-1).view(kind)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start+1, … of every span, one span after the other."""
     total = int(lengths.sum())
