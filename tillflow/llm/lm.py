@@ -55,7 +55,7 @@ from tillflow.llm import textnp as T
 from tillflow.llm.toxicity import in_fold
 from tillflow.session import shared_path
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 CLASSES, KINDS = 32, 16
 CELLS = CLASSES * KINDS
 #: Rows of the classes' weight table: previous token, the one before, their classes, the classes before those.
