@@ -171,9 +171,9 @@ def class_logs(weights: np.ndarray, f: np.ndarray, target: np.ndarray) -> np.nda
     """log P(target | history), natural, in batches."""
     out = np.empty(len(target), np.float32)
     for lo in range(0, len(target), BATCH):
-        x = weights[f[0, lo: lo + BATCH]]
+        x = weights.take(f[0, lo: lo + BATCH], axis=0)
         for row in f[1:]:
-            x += weights[row[lo: lo + BATCH]]
+            x += weights.take(row[lo: lo + BATCH], axis=0)
         np.clip(x, -LOGIT, LOGIT, out=x)
         got = x[np.arange(len(x)), target[lo: lo + BATCH]]
         out[lo: lo + BATCH] = got - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], np.float32))
@@ -184,9 +184,9 @@ def descend(weights: np.ndarray, power: np.ndarray, f: np.ndarray, target: np.nd
     """One pass of adaptive gradient steps over the tokens, in place."""
     for lo in range(0, len(target), BATCH):
         rows, t = f[:, lo: lo + BATCH], target[lo: lo + BATCH]
-        x = weights[rows[0]]
+        x = weights.take(rows[0], axis=0)
         for row in rows[1:]:
-            x += weights[row]
+            x += weights.take(row, axis=0)
         np.clip(x, -LOGIT, LOGIT, out=x)
         np.exp(x, out=x)
         x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
@@ -195,10 +195,16 @@ def descend(weights: np.ndarray, power: np.ndarray, f: np.ndarray, target: np.nd
             order = np.argsort(row, kind="stable")
             name = row[order]
             first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
-            g = np.add.reduceat(x[order], first, axis=0)
+            # Two neighbouring 32-bit sums at a time, as the parts of one complex number.
+            g = np.add.reduceat(x.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
             name = name[first]
-            power[name] += g * g
-            weights[name] -= RATE * g / np.sqrt(power[name] + DAMP)
+            p = power.take(name, axis=0)
+            p += g * g
+            power[name] = p
+            p += DAMP
+            g /= np.sqrt(p, out=p)
+            g *= RATE
+            weights[name] = weights.take(name, axis=0) - g
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
