@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -322,6 +323,8 @@ def test_toxicity_odd_texts(spark):
     kept = toxicity.keep_clean(df, spark.createDataFrame([], LABELS))
     assert kept.columns == df.columns and kept.count() == len(ODD)
     assert toxicity.scores(spark.createDataFrame([], SCHEMA), labels).count() == 0
+    kept = toxicity.keep_clean(df.withColumn("__score", F.lit("own")), spark.createDataFrame([], LABELS))
+    assert kept.columns == [*df.columns, "__score"] and kept.filter("__score = 'own'").count() == len(ODD)
 
 
 def test_scores_of_several_batches_equal_one():
@@ -330,3 +333,67 @@ def test_scores_of_several_batches_equal_one():
     one = toxicity.score_texts(model, pa.array(texts, pa.large_string()))
     each = [toxicity.score_texts(model, pa.array([t], pa.large_string()))[0] for t in texts]
     assert np.allclose(one, each, atol=1e-5)
+
+
+def plain_toxicity(p, text):
+    """The score of one text word by word: a lookup, a recurrent step and a weighted sum at a time, in double precision."""
+    def hashed(piece, mark=0):
+        data = np.frombuffer(piece, np.uint8)
+        return int(T.word_hashes(data, np.array([0]), np.array([len(data)]))[0]) ^ mark
+
+    cut = (1 << toxicity.DOC_BITS) - 1
+    odds = {int(n): float(v) for n, v in zip(p["names"], p["values"], strict=True)}
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+
+    def word_input(word):
+        def known(piece, mark=0):
+            return odds.get(hashed(piece, mark) & ~cut, 0.0)
+        row = [known(word), *(known(word[:k], k) for k in toxicity.PREFIXES)]
+        row.append(max(known(word[i: i + toxicity.GRAM], 77) for i in range(max(len(word) - toxicity.GRAM + 1, 1))))
+        slot = int(T.mix(np.array([hashed(word)], np.uint64))[0]) % toxicity.WORD_SLOTS
+        chars = [0, *(b + 1 for b in word), 0]
+        grams = [int(T.mix(np.array([a << 18 | b << 9 | c], np.uint64))[0]) % toxicity.CHAR_SLOTS
+                 for a, b, c in zip(chars, chars[1:], chars[2:], strict=False)]
+        return np.concatenate([row, p["Ew"][slot], p["Ec"][grams].mean(0)]).astype(float)
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def read(inputs, side):
+        h, out, n = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
+        for x in inputs:
+            g, rec = x @ p["W" + side] + p["B" + side], h @ p["U" + side].astype(float)
+            r, z = sigmoid(g[:n] + rec[:n]), sigmoid(g[n: 2 * n] + rec[n: 2 * n])
+            h = (1 - z) * np.tanh(g[2 * n:] + r * rec[2 * n:]) + z * h
+            out.append(h)
+        return out
+
+    found, best, lo = re.findall(rb"[0-9a-z\x80-\xff]+", low), -math.inf, 0
+    while True:
+        x = [word_input(w) for w in found[lo: lo + toxicity.LENGTH]]
+        states = [np.concatenate(s) for s in zip(read(x, "f"), read(x[::-1], "b")[::-1], strict=True)]
+        heed = [math.exp(float(np.tanh(h) @ p["v"])) for h in states]
+        pooled = sum(a * h for a, h in zip(heed, states, strict=True)) / sum(heed) if heed else np.zeros(2 * toxicity.HIDDEN)
+        best = max(best, float(pooled @ p["u"] + p["c"][0]))
+        if lo + toxicity.LENGTH >= len(found):
+            return sigmoid(best)
+        lo += toxicity.STRIDE
+
+
+def test_toxicity_scores_are_the_plain_ones():
+    rng = random.Random(11)
+    letters = "abcdefgh"
+    pool = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    bad = ["scumbag", "vilenesses", "rotter"]
+    rows = []
+    for i in range(160):
+        w = [rng.choice(pool) for _ in range(rng.randint(5, 90))]
+        if i % 3 == 0:
+            w.insert(rng.randint(0, len(w)), rng.choice(bad))
+        rows.append((" ".join(w), int(i % 3 == 0)))
+    model = toxicity.train(rows)
+    texts = ["", " . ", "a", "Scumbag", "ROTTER, rotters! it's 42", "é ñ 中文 ß 😀", rows[0][0], rows[1][0],
+             " ".join(pool * 3), " ".join(pool) + " vilenesses " + " ".join(pool), " ".join(pool[:32]), " ".join(pool[:33])]
+    got = toxicity.score_texts(model, pa.array(texts, pa.large_string()))
+    assert np.allclose(got, [plain_toxicity(model, t) for t in texts], atol=1e-4)
+    assert got[3] > 0.7 > got[2]

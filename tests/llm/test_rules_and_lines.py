@@ -59,6 +59,16 @@ def test_keep_good_keeps_columns_and_clean_texts(spark):
     assert not has_python_udf(got)
 
 
+def test_scripts_without_blanks_are_no_long_words(spark):
+    lao, han, thai = "ພາສາລາວເປັນພາສາທີ່ສວຍງາມຫຼາຍ", "这是一个没有空格的很长的句子它说的是天气很好我们出去走走", "ภาษาไทยเขียนติดกันโดยไม่มีช่องว่างระหว่างคำ"
+    texts = [" ".join(f"{x}{i}" for i in range(24)) for x in (han, thai, lao, "averyveryverylongword" * 2)]
+    texts.append(texts[0] + " " + "x" * 600)
+    led = {r["doc_id"]: r for r in quality.ledger(docs(spark, texts)).collect()}
+    assert [bool(led[i]["failed"] & quality.BIT["word_length"]) for i in range(5)] == [False, False, False, True, True]
+    assert led[0]["n_unspaced"] == 24 * len(han) and led[3]["n_unspaced"] == 0
+    assert all(r["word_chars"] > quality.LONG_WORD * r["n_words"] for r in led.values())
+
+
 def brute_lines(rows):
     def key(line):
         return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\f\r"))
@@ -94,6 +104,12 @@ def test_line_dedup_keeps_columns(spark):
     assert set(df.columns) <= set(got.columns) and got.count() == len(ODD)
     assert got.filter(F.col("key") != "own key").count() == 0
     assert linededup.line_dedup_digest(spark.createDataFrame([], SCHEMA)).count() == 0
+    names = ("__id", "__row", "__drop", "__text", "__h", "__split", "__own", "__doc", "row", "h1", "n_dropped")
+    for c in names:
+        df = df.withColumn(c, F.lit(f"own {c}"))
+    got = linededup.line_dedup(df)
+    assert set(df.columns) <= set(got.columns) and got.count() == len(ODD)
+    assert all(got.filter(F.col(c) != f"own {c}").count() == 0 for c in ("__id", "__split", "__own", "row"))
 
 
 @pytest.mark.parametrize("policy", sorted(quality.POLICIES))

@@ -58,19 +58,21 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
              .filter("doc_id != keeper")
              .groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
              .agg(F.collect_set("pos").alias("__drop")))
-    text = F.coalesce(F.col("text"), F.lit(""))
+    # The caller's columns travel in one struct, so none of them can clash with those of the join.
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    both = (docs.withColumn("__text", text).withColumn("__h", F.xxhash64("__text"))
-            .join(drops, (F.col("doc_id") == F.col("__id")) & (F.col("__h") == F.col("__row")), "left"))
+    both = (docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__own"), F.col("doc_id").alias("__doc"),
+                        F.coalesce(F.col("text"), F.lit("")).alias("__text"))
+            .withColumn("__h", F.xxhash64("__text"))
+            .join(drops, (F.col("__doc") == F.col("__id")) & (F.col("__h") == F.col("__row")), "left"))
     split = F.split("__text", "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop")),
                        lambda i: F.get(F.col("__split"), i))
     out = both.withColumn("__split", split).select(
-        *[F.col(f"`{c}`") for c in rest],
+        "__own",
         F.when(F.col("__drop").isNull(), F.col("__text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.size("__split").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
-    return out.withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long")))
+        F.greatest(F.coalesce(F.size("__drop"), F.lit(0)), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.select(*[F.col(f"__own.`{c}`") for c in rest], "text", "n_lines", "n_dropped")
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:

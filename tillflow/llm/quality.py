@@ -22,7 +22,12 @@ SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")
+#: Scripts written without blanks between words.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+
+#: ``n_unspaced``, the characters of UNSPACED, is counted only where ``word_chars`` exceeds LONG_WORD a word, else 0.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines", "n_unspaced")
+LONG_WORD = 20
 
 #: The rules, in bit order: a name and a SQL condition on the measurements that
 #: is true if the document fails. The first two are the contract's base rules.
@@ -32,7 +37,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("symbol_heavy", "10 * n_symbols > 3 * n_words"),
     ("duplicate_lines", "2 * n_dup_lines > n_lines"),
     ("shouting", "2 * n_upper > word_chars"),
-    ("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
+    ("word_length", f"word_chars < 2 * n_words or word_chars - n_unspaced > {LONG_WORD} * n_words"),
 )
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 
@@ -91,9 +96,11 @@ def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] | None = N
     cut = _with_repeat_words(cut)
     t, w, lines = F.col("__t"), F.col("__w"), F.col("__l")
     chars = _length_without(t, WHITE)
+    others = "[^" + "".join(rf"\p{{Is{name}}}" for name in UNSPACED) + "]+"
+    unspaced = F.when(chars > LONG_WORD * F.size(w), F.length(F.regexp_replace(t, others, ""))).otherwise(F.lit(0))
     values = (
         F.size(w), chars, F.length(t) - _length_without(t, SYMBOLS), F.size(lines) - F.size(F.array_distinct(lines)),
-        F.col("__rep"), F.length(t) - _length_without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.size(lines))
+        F.col("__rep"), F.length(t) - _length_without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.size(lines), unspaced)
     # A one-row generator keeps later filters from being pushed below, where every condition
     # would evaluate the measurements anew.
     measured = cut.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(

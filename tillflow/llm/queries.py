@@ -103,7 +103,8 @@ measured as (
     (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
     coalesce(covered.n, 0)::bigint as n_repeat_words,
     (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::bigint as n_upper,
-    len(lines)::bigint as n_lines
+    len(lines)::bigint as n_lines,
+    length(regexp_replace(text, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g'))::bigint as n_unspaced
   from m left join covered using (r)),
 bits as (
   select *,
@@ -112,7 +113,7 @@ bits as (
     + case when 10 * n_symbols > 3 * n_words then 4 else 0 end
     + case when 2 * n_dup_lines > n_lines then 8 else 0 end
     + case when 2 * n_upper > word_chars then 16 else 0 end
-    + case when word_chars < 2 * n_words or word_chars > 20 * n_words then 32 else 0 end as failed
+    + case when word_chars < 2 * n_words or word_chars - n_unspaced > 20 * n_words then 32 else 0 end as failed
   from measured)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed & 3 <> 0 as base_failed, failed = 0 as kept, failed::bigint as failed

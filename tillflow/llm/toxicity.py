@@ -457,7 +457,7 @@ def scores(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns unchanged."""
-    model = fit(docs, labels)
-    own = [c for c in docs.columns if c != "__score"]
-    return _score_column(docs.select(*[f"`{c}`" for c in own]), model, own, "__score").filter(
-        F.col("__score") < THRESHOLD).drop("__score")
+    model, out = fit(docs, labels), "__score"
+    while out in docs.columns:
+        out += "_"
+    return _score_column(docs, model, docs.columns, out).filter(F.col(out) < THRESHOLD).drop(out)
