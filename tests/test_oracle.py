@@ -1,6 +1,8 @@
 """Every registered query against its SQL oracle (DuckDB) at sf0.001."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -27,6 +29,14 @@ def test_every_query_has_oracle():
     assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_entry_without_the_vocabularies():
+    code = ("import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as E; "
+            "print(*sorted(E.queries())); print(*sorted(E.oracle_sql()))")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=60, check=True)
+    assert [line.split() for line in out.stdout.splitlines()] == [sorted(QUERIES)] * 2
+
+
 def test_oracle_takes_nothing_from_the_engine():
     import tillflow.plans.oracle as oracle
     with open(oracle.__file__) as f:
