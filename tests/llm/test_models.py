@@ -40,6 +40,39 @@ def test_phrases_are_longest_matches():
     assert langid.phrases(model, syms, np.array([0, len(syms)]))[0, 0] == want
 
 
+def test_displaced_rows_hold_every_move():
+    rng = random.Random(2)
+    for width, n in ((5, 400), (60, 900), (2000, 1500)):
+        go = langid.automaton([rng.randrange(width) for _ in range(n)])
+        m = langid._displaced(go, width)
+        for s, row in enumerate(go):
+            got = m.slots[m.base[s] + np.arange(width)]
+            mine = np.flatnonzero(got >> 32 == s)
+            assert {int(c): int(got[c] & 0xFFFFFFFF) // 2 for c in mine} == row
+        assert [int(x) // 2 for x in m.root] == [go[0].get(c, 0) for c in range(width)]
+
+
+def test_thousands_of_letters_take_room_by_text():
+    rng = random.Random(3)
+    text = "".join(chr(0x4E00 + rng.randrange(6000)) for _ in range(16_000))
+    model = langid.fit([("zh", text), ("en", "some plain words to learn from " * 20)], {"zh": 1, "en": 1})
+    assert sum(a.nbytes for m in model.moves for a in m) < 4_000_000
+    got, _ = langid.predict(model, pa.array([text[500:900], "plain words", ""], pa.large_string()))
+    assert got == ["zh", "en", "und"]
+
+
+def test_segments_of_all_lengths_match_each_text_alone():
+    rng = random.Random(4)
+    model = langid.fit([(x, "".join(rng.choice(c) for _ in range(500))) for x, c in (("x", "abc "), ("y", "bcd "))], {})
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (0, 1, 255, 256, 257, 700, 3)]
+    syms = [model.symbols[[ord(c) for c in t]] if t else np.zeros(0, np.int32) for t in texts]
+    at = np.concatenate([[0], np.cumsum([len(s) for s in syms])])
+    got = langid.phrases(model, np.concatenate(syms), at)
+    for k, s in enumerate(syms):
+        parts = [langid.phrases(model, s[i:i + 256], np.array([0, len(s[i:i + 256])]))[0] for i in range(0, len(s), 256)]
+        assert (got[k] == sum(parts, np.zeros(2))).all()
+
+
 def test_whole_distinct_texts_are_learned(spark, monkeypatch):
     """No text is cut, copies count once, and a language of long texts learns from its shortest."""
     from tillflow.llm import langid as L

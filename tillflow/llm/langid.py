@@ -6,9 +6,11 @@ automaton into the longest matches, one after the other. A phrase costs about lo
 the learned text's length in bits, so phrases * log2(n) / length estimates the cross-entropy
 of the document under the language, and the language needing fewest bits wins.
 
-Only the automata's transitions are needed to parse. They are kept as one dense table
-per language, completed so that a failing transition restarts at the root and sets a
-flag; parsing is then one gather per symbol, for thousands of text segments in step.
+Only the automata's transitions are needed to parse. They are kept as displaced rows: the rows of
+all states share one array, each shifted to a place where its moves fall into free slots, and a slot
+names the state it belongs to. A transition that isn't there restarts at the root and sets a flag. The
+size of a model thus follows the learned text, not states times letters, in scripts with thousands
+of letters too. Thousands of text segments are parsed in step, a few gathers per symbol and language.
 Segments (SEGMENT symbols) cut a phrase here and there, in every language alike.
 Letters are lower-cased; everything else is a break, and runs of breaks count once.
 
@@ -46,12 +48,17 @@ UNKNOWN = "und"
 TEMPER = 0.5
 
 
+class Moves(NamedTuple):
+    base: np.ndarray       # state -> where its row begins in the slots
+    slots: np.ndarray      # base + symbol -> state it belongs to << 32 | next state * 2
+    root: np.ndarray       # symbol -> the root's next state * 2 + 1, for a move that a state lacks
+
+
 class Model(NamedTuple):
     langs: list            # best first among ties
     symbols: np.ndarray    # symbol of each BMP code point: 0 break, 1 other letter, 2… learned letters
-    tables: list           # per language, state * (alphabet + 1) + symbol -> next state * 2 + restart
+    moves: list            # per language
     bits: np.ndarray       # per language, bits of a phrase
-    width: int
 
 
 def _fold_table() -> np.ndarray:
@@ -95,17 +102,41 @@ def automaton(seq: list[int]) -> list[dict[int, int]]:
     return go
 
 
-def _dense(go: list[dict[int, int]], width: int) -> np.ndarray:
-    """The completed table; symbol ``width`` is the end mark, which changes nothing."""
-    root = np.zeros(width, np.int32)
-    for c, t in go[0].items():
-        root[c] = t
-    table = np.tile(root * 2 + 1, (len(go), 1)).astype(np.int32)
+def _displaced(go: list[dict[int, int]], width: int) -> Moves:
+    """The moves of an automaton over symbols below ``width`` as displaced rows, fullest rows first.
+
+    Rows of several moves search onwards from the last one's place; rows of one fill the gaps."""
+    room = 2 * sum(map(len, go)) + width
+    taken = bytearray(room)
+    base = np.zeros(len(go), np.int32)
+    at = gap = 0
+    for s in sorted(range(len(go)), key=lambda s: -len(go[s])):
+        row = list(go[s])
+        if len(row) > 1:
+            while any(taken[at + c] for c in row):
+                at += 1
+                if at + width > len(taken):
+                    taken.extend(bytes(len(taken)))
+            place = at
+        elif row:
+            while taken[gap] or gap < row[0]:
+                gap += 1
+                if gap + width > len(taken):
+                    taken.extend(bytes(len(taken)))
+            place = gap - row[0]
+        else:
+            continue
+        base[s] = place
+        for c in row:
+            taken[place + c] = 1
+    slots = np.full(int(base.max()) + width, -1 << 32, np.int64)
+    root = np.ones(width, np.int64)
     for s, moves in enumerate(go):
         for c, t in moves.items():
-            table[s, c] = t * 2
-    stay = (np.arange(len(go), dtype=np.int32) * 2)[:, None]
-    return np.concatenate([table, stay], axis=1).reshape(-1)
+            slots[base[s] + c] = s << 32 | t * 2
+    for c, t in go[0].items():
+        root[c] = t * 2 + 1
+    return Moves(base, slots, root)
 
 
 def _squeeze(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +169,13 @@ def fit(rows: list[tuple[str, str]], counts: dict[str, int]) -> Model | None:
     known = (fold > 0) & (letters[np.minimum(place, len(letters) - 1)] == fold)
     number[known] = place[known] + 2
     width = len(letters) + 2
-    tables, bits = [], []
+    moves, bits = [], []
     for x in langs:
         seq = np.where(text[x] > 0, number[text[x]], 0)
         seq = _squeeze(seq, np.array([0, len(seq)]))[0]
-        tables.append(_dense(automaton(seq.tolist()), width))
+        moves.append(_displaced(automaton(seq.tolist()), width))
         bits.append(np.log2(len(seq) + 2))
-    return Model(langs, number, tables, np.array(bits), width)
+    return Model(langs, number, moves, np.array(bits))
 
 
 def fit_checked(rows: list[tuple[str, str]], counts: dict[str, int]) -> Model | None:
@@ -166,23 +197,20 @@ def phrases(model: Model, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     many = -(-np.diff(at) // SEGMENT)
     owner = np.repeat(np.arange(n), many)
     begin = at[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * SEGMENT
-    place = begin + np.arange(SEGMENT)[:, None]
-    grid = np.where(place < at[owner + 1], symbols[np.minimum(place, max(0, len(symbols) - 1))], model.width) \
-        if len(owner) else np.zeros((SEGMENT, 0), np.int32)
-    grid = grid.astype(np.int32)
-    out = np.zeros((n, len(model.tables)))
-    step = np.int32(model.width + 1)
-    for k, table in enumerate(model.tables):
-        state = np.zeros(len(owner), np.int32)
-        count = np.ones(len(owner), np.int32)
-        for row in grid:
-            state *= step
-            state += row
-            state = table[state]
-            count += state & 1
-            state >>= 1
-        out[:, k] = np.bincount(owner, count, n)
-    return out
+    size = np.minimum(SEGMENT, at[owner + 1] - begin)
+    order = np.argsort(-size, kind="stable")  # those still running lie in front
+    owner, begin, size = owner[order], begin[order], size[order]
+    state = np.zeros((len(model.moves), len(owner)), np.int64)
+    count = np.ones((len(model.moves), len(owner)), np.int64)
+    for t in range(int(size.max(initial=0))):
+        live = int(np.searchsorted(-size, -t))
+        row = symbols[begin[:live] + t]
+        for m, now, seen in zip(model.moves, state[:, :live], count[:, :live], strict=True):
+            got = m.slots[m.base[now] + row]
+            move = np.where(got >> 32 == now, got & 0xFFFFFFFF, m.root[row])
+            seen += move & 1
+            np.right_shift(move, 1, out=now)
+    return np.stack([np.bincount(owner, c, n) for c in count], axis=1)
 
 
 def predict(model: Model | None, text: pa.LargeStringArray) -> tuple[list[str], np.ndarray]:
