@@ -204,6 +204,25 @@ def test_distant_blocks_are_skipped(spark):
     assert got == brute_vectors(rows)
 
 
+def test_axes_of_wide_vectors(spark):
+    """Beyond SKETCH components the axes come from a sketch: orthonormal, nearly as good, results as before."""
+    rng = np.random.default_rng(6)
+    dim = embed.SKETCH + 40
+    way = np.linalg.qr(rng.standard_normal((dim, embed.DIMS)))[0]
+    centre = (rng.standard_normal((60, embed.DIMS)) * 4) @ way.T
+    vectors = np.concatenate([centre[i % 60] + 0.05 * rng.standard_normal((1, dim)) for i in range(240)])
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    axes = embed.principal_axes(df, dim)
+    assert axes.shape == (dim, embed.DIMS) and np.allclose(axes.T @ axes, np.eye(embed.DIMS), atol=1e-9)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cov = np.cov(unit.T, bias=True)
+    best = np.linalg.eigvalsh(cov)[::-1][: embed.DIMS].sum()
+    assert np.trace(axes.T @ cov @ axes) > 0.95 * best
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed.near_duplicates(df, size=16).collect()}
+    assert got == {i: tuple(x) for i, x in brute_vectors(rows).items()}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed.near_duplicates(df).count() == 0

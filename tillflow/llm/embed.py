@@ -38,6 +38,8 @@ COSINE = 0.98
 DIMS = 6
 BLOCK = 512
 FAN_BITS = 4
+#: Directions that the covariance is summed along.
+SKETCH = 64
 #: Slack for rounding in the provable bound.
 SLACK = 1e-7
 
@@ -58,14 +60,21 @@ def _matrix(column: pa.Array, dim: int | None = None) -> np.ndarray:
 
 
 def principal_axes(reps: DataFrame, dim: int, dims: int = DIMS) -> np.ndarray:
-    """(dim, dims) axes of largest variance of the unit vectors; dim * dim sums reach the driver."""
+    """(dim, dims) orthonormal axes of large variance of the unit vectors.
+
+    The tasks sum the covariance times SKETCH fixed directions, so that dim * SKETCH sums reach the
+    driver; up to SKETCH components these are the coordinate axes and the sums the covariance itself, beyond
+    it is completed from them (Nystrom). Any orthonormal axes give right results; better ones skip more blocks."""
+    rank = min(dim, SKETCH)
+    ways = np.eye(dim) if dim <= SKETCH else np.linalg.qr(np.random.default_rng(11).standard_normal((dim, rank)))[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, first, n = np.zeros((dim, dim)), np.zeros(dim), 0
+        total, first, n = np.zeros((dim, rank)), np.zeros(dim), 0
         for batch in batches:
             if batch.num_rows:
                 u = _matrix(batch.column("embedding"))
                 u /= np.linalg.norm(u, axis=1, keepdims=True)
-                total += u.T @ u
+                total += u.T @ (u @ ways)
                 first += u.sum(0)
                 n += len(u)
         if n:
@@ -73,13 +82,17 @@ def principal_axes(reps: DataFrame, dim: int, dims: int = DIMS) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(both))), pa.array(both)], ["i", "x"])
     sums = (reps.filter(F.size("embedding") == dim).select("embedding").mapInArrow(run, "i long, x double")
             .groupBy("i").agg(F.sum("x").alias("x")).collect())
-    flat = np.zeros(dim * dim + dim + 1)
+    flat = np.zeros(dim * rank + dim + 1)
     for r in sums:
         flat[r["i"]] = r["x"]
     n = max(flat[-1], 1)
-    mean = flat[dim * dim: -1] / n
-    cov = flat[: dim * dim].reshape(dim, dim) / n - np.outer(mean, mean)
-    return np.linalg.eigh(cov)[1][:, ::-1][:, :dims]
+    mean = flat[dim * rank: -1] / n
+    part = flat[: dim * rank].reshape(dim, rank) / n - np.outer(mean, mean @ ways)
+    if dim <= SKETCH:
+        return np.linalg.eigh(part)[1][:, ::-1][:, :dims]
+    size, turn = np.linalg.eigh((ways.T @ part + part.T @ ways) / 2)
+    size = np.maximum(size, 1e-9 * max(size.max(), 1e-300))
+    return np.linalg.svd(part @ (turn / np.sqrt(size)), full_matrices=False)[0][:, :dims]
 
 
 def _block_table(reps: DataFrame, axes: np.ndarray, eps: float, size: int) -> DataFrame:
