@@ -50,6 +50,18 @@ def test_one_large_group_of_near_copies(spark):
     assert got == brute(rows)
 
 
+def test_last_wave_finds_what_single_pivots_miss(spark, monkeypatch):
+    """One pivot a bucket and blocks of 16: copies far around the threshold, in a few classes of very unequal size."""
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(1000)}" for _ in range(150)]
+    rows = [(i, mutate(rng, base, rng.choice([2, 3, 4, 5, 7]))) for i in range(160)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and 1 < len(set(got.values())) < len(rows)
+
+
 def test_keep_one_keeps_columns(spark):
     text = " ".join(f"w{i}" for i in range(60))
     df = docs(spark, [text, text + " more", "other words that are not the same", None], extra=True)

@@ -23,8 +23,9 @@ expanded into pairs:
    the shingle sets (``verify``);
 2. in buckets that still hold several classes, members are checked against some
    random pivots, in blocks, and only links that join classes are returned;
-3. in buckets that still hold several classes, all members are pivots. After
-   this no two candidates that were left apart are similar.
+3. in buckets that still hold several classes, all members outside the bucket's
+   largest class are pivots. After this no two candidates that were left apart are
+   similar, and a bucket costs its members times those few, not its members squared.
 
 Edge cases: a null or empty text (no words) is a class of its own; a text of one to
 four words is one shingle; rows with the same doc_id are one document, whose class is
@@ -235,19 +236,20 @@ def link_blocks(frame: pd.DataFrame, threshold: float = THRESHOLD) -> pd.DataFra
 
 
 def _wave(members: DataFrame, labels: DataFrame, docs: DataFrame, pivots: int | None) -> DataFrame:
-    """Links between classes that share a bucket; ``pivots`` a bucket, or all of its members."""
+    """Links between classes that share a bucket, from ``pivots`` members of a bucket, or from all of
+    its members outside its largest class: of two members in different classes one is such a member."""
     rows = (members.join(labels, members["rep"] == labels["v"], "left")
             .select("bucket", "rep", F.coalesce("label", "rep").alias("comp")))
-    open_ = (rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.count("*").alias("n"))
-             .filter("lo != hi and n > 2").select("bucket", "n"))
+    open_ = (rows.groupBy("bucket", "comp").agg(F.count("*").alias("many")).groupBy("bucket")
+             .agg(F.count("*").alias("classes"), F.sum("many").alias("n"), F.max("many").alias("most"),
+                  F.max_by("comp", F.struct("many", "comp")).alias("big"))
+             .filter("classes > 1 and n > 2").select("bucket", "n", "most", "big"))
     rows = rows.join(open_, "bucket")
-    want = F.lit(pivots if pivots else 1 << 62).cast("long")
-    rows = rows.withColumn("pivot", F.pmod(F.xxhash64("rep", "bucket", F.lit(pivots or 0)), "n") < want)
+    chosen = F.pmod(F.xxhash64("rep", "bucket", F.lit(pivots)), "n") < F.lit(pivots) if pivots else F.col("comp") != F.col("big")
+    rows = rows.withColumn("pivot", chosen)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    blocks = F.greatest(blocks, F.lit(1))
     mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    some = F.least(F.lit(1 << 30) if not pivots else F.lit(1), blocks)
+    some = F.lit(1) if pivots else F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int")
     part = F.pmod(F.xxhash64("rep"), some).cast("int")
     every = F.explode(F.sequence(F.lit(0), some - 1))
     own = rows.select("bucket", mine.alias("mb"), every.alias("pb"), "rep", "comp", F.lit(False).alias("pivot"))
