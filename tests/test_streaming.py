@@ -114,3 +114,39 @@ def test_replayed_batch_is_not_a_duplicate(spark, scratch):
     assert seen[1]["success"] == seen[0]["success"]
     assert spark.read.parquet(metrics).count() == 1
     assert os.path.basename(table) == "table"
+
+
+def test_the_table_is_appended_to_last(spark, scratch, monkeypatch):
+    from tillflow.plans import jobs
+    _write_feed(spark, f"{scratch}/src")
+    batch = spark.read.text(f"{scratch}/src").selectExpr("value", "1 AS offset").withColumn("offset", F.monotonically_increasing_id())
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("append")
+    monkeypatch.setattr(jobs, "write_partitioned", fail)
+    try:
+        batch_writer(f"{scratch}/table", f"{scratch}/dlq", f"{scratch}/metrics", "q", ["offset"])(batch, 0)
+    except RuntimeError as e:
+        assert str(e) == "append"
+    # an append drops the cached rows: whatever came after would compute the batch again
+    assert spark.read.parquet(f"{scratch}/metrics").count() == 1 and spark.read.json(f"{scratch}/dlq").count() > 0
+
+
+def test_batch_jobs_are_planned_with_aqe(spark):
+    from tillflow.streaming.ingest import adaptive
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        with adaptive(spark):
+            assert spark.conf.get(key) == "true"
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_batches_take_as_many_files_as_may_be_broadcast():
+    from tillflow.operators.store import BROADCAST_MAX_ROWS
+    from tillflow.plans import registry
+    assert registry._batch_files(registry.STREAM_LEAST_FILES) == registry.STREAM_LEAST_FILES // 2
+    assert registry._batch_files(10_000) * registry.STREAM_FILE_EVENTS == BROADCAST_MAX_ROWS
