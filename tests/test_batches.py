@@ -59,3 +59,10 @@ def test_files_are_read_in_the_order_of_file_and_line(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [r[0] for r in got] == [f"{n}{i:04d}" for n in "ab" for i in range(500)]
+
+
+def test_the_input_is_computed_once_and_valid_records_lose_their_text(spark):
+    df = spark.range(30).selectExpr("id AS offset", "IF(id % 3 = 0, 'schema', NULL) AS reason", "concat('m', id) AS raw")
+    got = valid_batches(df, ["offset"], 5)
+    assert "Range (" not in plan_text(got, "simple")  # valid and invalid records come from what was stored
+    assert {r["offset"]: r["raw"] for r in got.collect()} == {i: None if i % 3 else f"m{i}" for i in range(30)}

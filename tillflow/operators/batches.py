@@ -3,8 +3,10 @@
 The valid records are range-partitioned by arrival and sorted inside each partition, so a
 record's place inside its partition is its row index there. Counts per partition (one row each) are summed
 up over the partitions before, and the place plus that sum is the record's
-position in the whole feed. The partitioned rows are checkpointed first: range bounds are
-sampled, and a second evaluation could draw them elsewhere.
+position in the whole feed. The partitioned rows are stored first: range bounds are
+sampled, and a second evaluation could draw them elsewhere. They are stored as Parquet in the shared
+checkpoint folder, whose columns are compressed, and so is what comes in: the sample, the rows
+and the invalid records all read it, and it is parsed once.
 """
 
 from __future__ import annotations
@@ -12,12 +14,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillflow.session import shared_path
+
 # Records in one batch of the reference's consumer.
 BATCH_RECORDS = 5
 # monotonically_increasing_id holds the row index in its lower bits.
 _INDEX_BITS = 33
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    path = shared_path(rows.sparkSession, "batches")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def number_rows(rows: DataFrame, order_cols, position: str = "position") -> DataFrame:
     """``rows`` with their position (from 0) in the order of ``order_cols``.
 
@@ -25,8 +35,8 @@ def number_rows(rows: DataFrame, order_cols, position: str = "position") -> Data
     one row a partition. An empty input gives no rows.
     """
     index, start, part = "_index", "_start", "_part"
-    placed = (rows.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-              .withColumn(index, F.monotonically_increasing_id()).checkpoint())
+    placed = _stored(rows.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                     .withColumn(index, F.monotonically_increasing_id()))
     own = F.shiftright(F.col(index), _INDEX_BITS)
     counts = placed.groupBy(own.alias(part)).agg(F.count(F.lit(1)).alias("_rows"))
     # The window without a key sees one row a partition.
@@ -43,8 +53,11 @@ def valid_batches(validated: DataFrame, order_cols, size: int = BATCH_RECORDS,
 
     A batch closes after ``size`` valid records in arrival order, whatever invalid ones lie
     between; the last may be smaller. Invalid records have a null batch and position. Give ``batch``
-    to ``ingest`` as its scope.
+    to ``ingest`` as its scope. The message text (``raw``) is kept for invalid records only.
     """
+    if "raw" in validated.columns:
+        validated = validated.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
+    validated = _stored(validated)
     valid = number_rows(validated.where(F.col("reason").isNull()), order_cols, position)
     none = F.lit(None).cast("bigint")
     return (valid.withColumn(batch, F.floor(F.col(position) / size).cast("bigint"))
