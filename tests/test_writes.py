@@ -222,3 +222,30 @@ def test_backup_and_sink_keep_blanks_and_quotes(spark, scratch):
     write_backup_csv(stored(spark, [row("1", 1, 1, ' a "b", c ')]), scratch, "q", 0)
     text = spark.read.text(f"{scratch}/query_id=q/batch_id=0").first()[0]
     assert json.loads(json.dumps(text)).startswith('1,A," a ""b"", c ",1,2011-01-01 00:00:00')
+
+
+def test_rows_of_a_table_are_written_without_a_shuffle(spark, scratch, monkeypatch):
+    TBL.write_partitioned(stored(spark, [row(str(i), 1 + i % 4, 1, "x") for i in range(40)]), f"{scratch}/a")
+    rows = spark.read.parquet(f"{scratch}/a")
+
+    def fail(*args):
+        raise AssertionError("shuffled")
+    monkeypatch.setattr(TBL, "layout_for_write", fail)
+    TBL.write_partitioned(rows, f"{scratch}/b", laid_out=True)
+    again = spark.read.parquet(f"{scratch}/b")
+    assert sorted(map(str, again.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_change_set_carries_two_rows_a_key_and_takes_any_key(spark):
+    from tillflow import schema as S
+    inc = spark.createDataFrame([row("1", 2, 1, "a", 2), row("1", 2, 1, "b", 1), row("1", 3, 1, "c", 3)], COLS + ", seq int")
+    change = change_set(inc, ["seq"], S.TRIPLE_KEY)
+    assert "min_by" not in change._jdf.queryExecution().analyzed().toString()
+    got = {r["InvoiceDate"]: r for r in change.collect()}
+    assert len(got) == 2 and all(r["_keep"]["InvoiceDate"] == at for at, r in got.items())
+    assert sorted(r["_set"]["Description"] for r in got.values()) == ["a", "c"]
+
+
+def test_a_larger_table_gets_more_buckets():
+    from tillflow.plans import write_queries as W
+    assert W._buckets(10) == W.KEYED_BUCKETS and W._buckets(100 * W.BUCKET_ROWS) == 100
