@@ -139,3 +139,17 @@ def test_numeric_text(spark, text, as_int, as_float):
     q, p = got[0], got[1]
     assert q["Quantity"] == as_int and (q["reason"] is None) == (as_int is not None)
     assert p["UnitPrice"] == as_float and (p["reason"] is None) == (as_float is not None)
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, capsys):
+    """HotSpot leaves methods of more than 8,000 bytes of bytecode to its interpreter."""
+    import re
+    from tests.conftest import SF_SMALL
+    from tillflow.plans.registry import QUERIES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        QUERIES["messages_lax"](spark, SF_SMALL).select("*").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000

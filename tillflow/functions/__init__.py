@@ -4,6 +4,6 @@ from tillflow.functions.scalar import (  # noqa: F401
     row_to_json, anchor_now, window_bounds,
 )
 from tillflow.functions.validation import (  # noqa: F401
-    parse_message, message_is_object, field_check, field_probe, field_variant, wire_error_expr,
+    parse_message, message_is_object, field_check, field_probe, message_fields, wire_error_expr,
     typed_error_expr, typed_invalid_expr,
 )
