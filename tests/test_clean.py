@@ -136,3 +136,33 @@ def test_reconciliation_and_no_python(spark):
     assert m["received"] == sum(m[p] for p in parts)
     assert m["received"] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert not has_python_udf(q_clean_rows(spark, SF_SMALL))
+
+
+def test_branches_of_an_ingest_share_the_dedupe_shuffle(spark, scratch):
+    """Rows by outcome and the keys' first places come from one aggregate, computed once."""
+    spark.createDataFrame(
+        [(str(i % 7), "A", "d", 1, "2011-01-02 03:04:05", 1.0, 1.0, "UK", i % 3, i) for i in range(40)],
+        "InvoiceNo string, StockCode string, Description string, Quantity int, InvoiceDate string, UnitPrice double, "
+        "CustomerID double, Country string, scope int, pos int").write.parquet(scratch)
+    rows = spark.read.parquet(scratch)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = ingest(validate_events(rows), ["pos"], scope_cols=["scope"]).dlq()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("- Exchange hashpartitioning(scope") == 1
+        assert found.count() == 14  # seven keys, each in three scopes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_full_time_text_is_read_like_the_pattern(spark):
+    from tillflow.functions.scalar import parse_invoice_ts
+    texts = ["2011-01-02 03:04:05", "2011-1-2 3:4:5", "2011-02-30 00:00:00", "2011-01-01 24:00:00", "2012-02-29 23:59:59",
+             "2011-01-02 03:04:05\n", "0000-01-01 00:00:00", "1500-01-01 00:00:00", "2011-01-02T03:04:05", " 2011-01-02 03:04:05",
+             "2011-01-02 03:04:60", "٢٠١١-01-02 03:04:05", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.try_to_timestamp("t", F.lit(S.WIRE_TS_PARSE_FORMAT)).cast("timestamp_ntz")
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in S.TS_RANGE)
+    got = df.select("t", parse_invoice_ts("t").alias("got"), F.when((by_pattern >= lo) & (by_pattern <= hi), by_pattern).alias("want"))
+    assert [r for r in got.collect() if r.got != r.want] == []
+    assert got.where("got is not null").count() >= 3
