@@ -249,3 +249,14 @@ def test_change_set_carries_two_rows_a_key_and_takes_any_key(spark):
 def test_a_larger_table_gets_more_buckets():
     from tillflow.plans import write_queries as W
     assert W._buckets(10) == W.KEYED_BUCKETS and W._buckets(100 * W.BUCKET_ROWS) == 100
+
+
+def test_csv_sink_query_writes_compressed_text(spark, scratch, monkeypatch):
+    import pathlib
+    from tests.conftest import SF_SMALL
+    from tillflow.plans import write_queries as W
+    monkeypatch.setattr(W, "shared_path", lambda *_: scratch)
+    rows = W.q_csv_sink_roundtrip(spark, SF_SMALL)
+    assert rows.count() > 0
+    parts = [p for d in ("src", "out") for p in pathlib.Path(scratch.removeprefix("file:"), d).glob("part-*")]
+    assert parts and all(p.name.endswith(".lz4") for p in parts)

@@ -95,9 +95,9 @@ def write_backup_csv(clean: DataFrame, path: str, query_id: str | None, batch_id
      .csv(f"{path}/query_id={query_id}/batch_id={batch_id}"))
 
 
-def csv_stream_sink(stream: DataFrame, path: str, checkpoint: str):
+def csv_stream_sink(stream: DataFrame, path: str, checkpoint: str, compression: str = "none"):
     """Streaming CSV sink with a header, append mode."""
-    return (stream.writeStream.format("csv").option("header", True).options(**_PLAIN_CELLS)
+    return (stream.writeStream.format("csv").option("header", True).options(**_PLAIN_CELLS).option("compression", compression)
             .option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append"))
 
