@@ -1,6 +1,7 @@
 """Texts on which sums modulo 2**64 collide: words and pieces must be told apart by what they are."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -51,6 +52,35 @@ def test_long_spans_are_summed_in_parts(monkeypatch):
     assert (T.word_digests(data, *at) == whole).all() and whole[0] == whole[1] != whole[2]
 
 
+def test_long_spans_leave_the_tables_of_powers_small(monkeypatch):
+    monkeypatch.setattr(T, "DIGEST_BYTES", 512, raising=False)
+    T._PRIME_POWERS.clear()
+    data = np.random.default_rng(3).integers(0, 256, 9_000).astype(np.uint8)
+    start, end = np.array([0, 3, 700, 1_500, 8_990]), np.array([9_000, 5_000, 703, 4_100, 9_000])
+    got = T.word_digests(data, start, end).tolist()
+    kept = sum(len(t) for pair in T._PRIME_POWERS for t in pair)
+    T._PRIME_POWERS.clear()
+    for s, e, digest in zip(start.tolist(), end.tolist(), got, strict=True):
+        h = sum((c + 1) * pow(T._ROOT, i, T.PRIME) for i, c in enumerate(data[s:e].tolist())) % T.PRIME
+        assert digest == int(T.mix(np.array([(h + (e - s) * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+    assert kept == 4 * 512
+
+
+def test_digests_take_little_memory():
+    """What a Python worker of an executor needs beside 2 MB of text, at most and afterwards."""
+    T._PRIME_POWERS.clear()
+    data = np.tile(np.frombuffer(b"abcdefghi ", np.uint8), T.STEP_BYTES // 10)
+    start = np.arange(0, len(data), 10)
+    tracemalloc.start()
+    try:
+        out = T.word_digests(data, start, start + 9)
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(set(out.tolist())) == 1
+    assert most < 40 << 20 and kept < 16 << 20
+
+
 def test_tokenizers_keep_colliding_words_apart(spark):
     texts = [t for n in LENGTHS for t in twins(n)]
     df = docs(spark, texts).coalesce(1)

@@ -132,10 +132,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
 
 def bands(sig: np.ndarray, count: int = BANDS) -> np.ndarray:
     """An (n, count) array of band hashes, the band's number included."""
-    bits = np.ascontiguousarray(sig).view(np.uint32).astype(np.uint64).reshape(len(sig), count, -1)
+    bits = np.ascontiguousarray(sig).view(np.uint32).reshape(len(sig), count, -1)
     h = np.broadcast_to(np.arange(count, dtype=np.uint64), bits.shape[:2]).copy()
     for r in range(bits.shape[2]):
-        h = T.mix(h * _U(0xC2B2AE3D27D4EB4F) + bits[:, :, r])
+        h = T.mix(h * _U(0xC2B2AE3D27D4EB4F) + bits[:, :, r].astype(np.uint64))
     return h
 
 

@@ -139,6 +139,9 @@ _P, _M30, _M31 = np.uint64(PRIME), np.uint64((1 << 30) - 1), np.uint64((1 << 31)
 _S1, _S30, _S31, _S61 = np.uint64(1), np.uint64(30), np.uint64(31), np.uint64(61)
 #: Bytes whose weighted sums stay within 64 bits.
 _SUM_BYTES = 1 << 23
+#: Bytes in which the spans begin that are digested at a time. The tables of powers have twice as many entries,
+#: and every worker keeps them, so they must stay small.
+DIGEST_BYTES = 1 << 18
 
 
 def _fold(x: np.ndarray) -> np.ndarray:
@@ -160,18 +163,14 @@ def _prime_powers(root: int, n: int) -> np.ndarray:
     return out[:n]
 
 
-_PRIME_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_PRIME_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _two_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = next(iter(_PRIME_POWERS.values()), None)
-    if have is None or len(have[0]) < n:
-        size = max(n, 2 * STEP_BYTES + 1)
-        have = _prime_powers(_ROOT, size), _prime_powers(pow(_ROOT, -1, PRIME), size)
-        if size <= _SUM_BYTES:
-            _PRIME_POWERS.clear()
-            _PRIME_POWERS[size] = have
-    return have
+def _two_powers() -> tuple[np.ndarray, np.ndarray]:
+    """2 * DIGEST_BYTES powers of the base and of its inverse modulo PRIME."""
+    if not _PRIME_POWERS:
+        _PRIME_POWERS.append((_prime_powers(_ROOT, 2 * DIGEST_BYTES), _prime_powers(pow(_ROOT, -1, PRIME), 2 * DIGEST_BYTES)))
+    return _PRIME_POWERS[0]
 
 
 def _weighed(data: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,28 +187,31 @@ def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def _span_sums(data: np.ndarray, up: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Sum modulo PRIME of each span's bytes, byte i weighted by the i-th power."""
-    if len(data) <= _SUM_BYTES:
+    """Sum modulo PRIME of each span's bytes, byte i weighted by the i-th power; data longer than the table of
+    powers is summed in parts, each one multiplied by the power at which it begins."""
+    size = min(_SUM_BYTES, len(up))
+    if len(data) <= size:
         low, high = _weighed(data, up)
         return _joined(low[e] - low[s], high[e] - high[s])
     total = np.zeros(len(data) + 1, np.uint64)
-    for lo in range(0, len(data), _SUM_BYTES):
-        part = data[lo: lo + _SUM_BYTES]
-        total[lo + 1: lo + 1 + len(part)] = _fold(_joined(*_weighed(part, up[lo:]))[1:] + total[lo])
+    for lo in range(0, len(data), size):
+        part = data[lo: lo + size]
+        sums = mulmod(_joined(*_weighed(part, up))[1:], np.uint64(pow(_ROOT, lo, PRIME)))
+        total[lo + 1: lo + 1 + len(part)] = _fold(sums + total[lo])
     return _fold(total[e] + _P - total[s])
 
 
 def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Digest of each span of bytes by which equal spans are known: a polynomial modulo the prime 2**61 - 1, so two
-    given different spans of n bytes share one for n of 2**61 bases at most. Much data is taken in blocks."""
+    given different spans of n bytes share one for n of 2**61 bases at most. Data is taken in blocks."""
     out = np.empty(len(starts), np.uint64)
     order = np.argsort(starts, kind="stable")
-    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + STEP_BYTES, STEP_BYTES))
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + DIGEST_BYTES, DIGEST_BYTES))
+    up, down = _two_powers()
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         if hi > lo:
             own = order[lo:hi]
             a, b = int(starts[own[0]]), int(ends[own].max())
-            up, down = _two_powers(b - a + 1)
             s, e = starts[own] - a, ends[own] - a
             sums = _span_sums(data[a:b], up, s, e)
             out[own] = mix(mulmod(sums, down[s]) + (e - s).astype(np.uint64) * _GOLD)
