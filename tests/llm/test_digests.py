@@ -81,6 +81,24 @@ def test_digests_take_little_memory():
     assert most < 40 << 20 and kept < 16 << 20
 
 
+def test_hashes_take_little_memory_and_are_the_same_in_blocks():
+    T._POWERS.clear()
+    rng = np.random.default_rng(4)
+    data = rng.integers(0, 256, T.STEP_BYTES).astype(np.uint8)
+    start = np.append(np.sort(rng.integers(0, len(data), 5_000)), [0, len(data)])
+    end = np.minimum(start + np.append(rng.integers(0, 900, 5_000), [700_000, 0]), len(data))
+    whole = T.span_hash(T._BYTE[data], start, end)
+    assert (T.word_hashes(data, start, end) == whole).all()
+    T._POWERS.clear()
+    tracemalloc.start()
+    try:
+        T.word_hashes(data, start[:-2], end[:-2])
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 40 << 20 and kept < 16 << 20
+
+
 def test_tokenizers_keep_colliding_words_apart(spark):
     texts = [t for n in LENGTHS for t in twins(n)]
     df = docs(spark, texts).coalesce(1)

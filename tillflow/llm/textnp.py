@@ -21,6 +21,9 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 STEP_BYTES = 2 << 20
 #: Rows of one step, so that a row number fits 16 bits.
 STEP_ROWS = 60_000
+#: Bytes in which the spans begin that are hashed at a time. The tables of powers have twice as many entries,
+#: and every worker keeps them, so they must stay small.
+DIGEST_BYTES = 1 << 18
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -47,7 +50,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, ``n`` or more."""
     have = next(iter(_POWERS.values()), None)
     if have is None or len(have[0]) < n:
-        size = max(n, STEP_BYTES + 1)
+        size = max(n, 2 * DIGEST_BYTES + 1)
 
         def run(b):
             a = np.full(size, b, np.uint64)
@@ -119,11 +122,11 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each span of bytes; much data is taken in blocks, so that memory stays small."""
-    if len(data) <= 2 * STEP_BYTES:
+    if len(data) <= 2 * DIGEST_BYTES:
         return span_hash(_BYTE[data], starts, ends)
     out = np.empty(len(starts), np.uint64)
     order = np.argsort(starts, kind="stable")
-    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + STEP_BYTES, STEP_BYTES))
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + 1 + DIGEST_BYTES, DIGEST_BYTES))
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         if hi > lo:
             own = order[lo:hi]
@@ -139,9 +142,6 @@ _P, _M30, _M31 = np.uint64(PRIME), np.uint64((1 << 30) - 1), np.uint64((1 << 31)
 _S1, _S30, _S31, _S61 = np.uint64(1), np.uint64(30), np.uint64(31), np.uint64(61)
 #: Bytes whose weighted sums stay within 64 bits.
 _SUM_BYTES = 1 << 23
-#: Bytes in which the spans begin that are digested at a time. The tables of powers have twice as many entries,
-#: and every worker keeps them, so they must stay small.
-DIGEST_BYTES = 1 << 18
 
 
 def _fold(x: np.ndarray) -> np.ndarray:
@@ -206,7 +206,7 @@ def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     given different spans of n bytes share one for n of 2**61 bases at most. Data is taken in blocks."""
     out = np.empty(len(starts), np.uint64)
     order = np.argsort(starts, kind="stable")
-    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + DIGEST_BYTES, DIGEST_BYTES))
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + 1 + DIGEST_BYTES, DIGEST_BYTES))
     up, down = _two_powers()
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         if hi > lo:
