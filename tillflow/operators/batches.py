@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.session import shared_path
+from tillflow.session import stored
 
 # Records in one batch of the reference's consumer.
 BATCH_RECORDS = 5
@@ -22,12 +22,6 @@ BATCH_RECORDS = 5
 _INDEX_BITS = 33
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    path = shared_path(rows.sparkSession, "batches")
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def number_rows(rows: DataFrame, order_cols, position: str = "position") -> DataFrame:
     """``rows`` with their position (from 0) in the order of ``order_cols``.
 
@@ -35,8 +29,8 @@ def number_rows(rows: DataFrame, order_cols, position: str = "position") -> Data
     one row a partition. An empty input gives no rows.
     """
     index, start, part = "_index", "_start", "_part"
-    placed = _stored(rows.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-                     .withColumn(index, F.monotonically_increasing_id()))
+    placed = stored(rows.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                    .withColumn(index, F.monotonically_increasing_id()), "batches")
     own = F.shiftright(F.col(index), _INDEX_BITS)
     counts = placed.groupBy(own.alias(part)).agg(F.count(F.lit(1)).alias("_rows"))
     # The window without a key sees one row a partition.
@@ -57,7 +51,7 @@ def valid_batches(validated: DataFrame, order_cols, size: int = BATCH_RECORDS,
     """
     if "raw" in validated.columns:
         validated = validated.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
-    validated = _stored(validated)
+    validated = stored(validated, "batches")
     valid = number_rows(validated.where(F.col("reason").isNull()), order_cols, position)
     none = F.lit(None).cast("bigint")
     return (valid.withColumn(batch, F.floor(F.col(position) / size).cast("bigint"))
